@@ -11,14 +11,21 @@ anything unprintable) are encoded whole by the library.
 from __future__ import annotations
 
 import os
+from itertools import islice
+from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Entries kept per worker; beyond it the older half goes. Bounds memory, never changes ids.
 CACHE_ENTRIES = 600_000
 #: New pieces encoded in one library call.
 PIECES_PER_CALL = 2_000
 
+#: Separates pieces; texts that hold it are encoded whole.
+CUT = "\x1f"
+
 _MODELS: dict[str, "PieceEncoder"] = {}
 
 
@@ -34,6 +41,9 @@ class PieceEncoder:
         # the separator of a joint call; the others drop white space, so a control character is one
         self.mark = "\n" if self.keeps_space else " \x00 "
         self.mark_ids = self._ids(self.mark)
+        self.stops = {c: self._ids(c).tobytes() for c in ".,"}
+        # lower case first, where the vocabulary does that anyway and the order cannot matter
+        self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -49,29 +59,61 @@ class PieceEncoder:
             else:
                 self.known.update((piece, self._ids(piece).tobytes()) for piece in group)
 
-    def _split(self, text: str | None) -> list[str] | None:
-        if not text:
-            return []
+    def _prepared(self, text: str) -> str | None:
+        """The text with its pieces separated by ``CUT``; None if it must be encoded whole."""
         flat = text.replace("\n", " ")
         if "  " in flat or flat[0] == " " or flat[-1] == " " or "<|" in flat or not flat.isprintable():
             return None
         if self.keeps_space:
-            return text.replace("\n", "\x1f\n\x1f").replace(" ", "\x1f ").split("\x1f")
-        return flat.split(" ")
+            return text.replace("\n", CUT + "\n" + CUT).replace(" ", CUT + " ")
+        if self.lowers and "\u03a3" not in flat and is_normalized("NFC", flat):
+            flat = flat.lower()
+        return flat.replace(" ", CUT)
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, from the dictionary where it has them."""
+        found = list(map(self.known.get, pieces))
+        fresh = {w for w, ids in zip(pieces, found) if ids is None}
+        if fresh:
+            if len(self.known) + len(fresh) > CACHE_ENTRIES:
+                self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+            self.known |= {"": b"", "\n": self._ids("\n").tobytes()}
+            fresh -= {"", "\n"}
+            # a full stop or comma after a letter is a word of its own: such pieces follow from their stems
+            ends = {w for w in fresh if w[-1] in ".," and w[-2:-1].isalpha()}
+            self._learn(list((fresh - ends) | ({w[:-1] for w in ends} - self.known.keys())))
+            known = self.known
+            known.update((w, known[w[:-1]] + self.stops[w[-1]]) for w in ends)
+            found = [known[w] if ids is None else ids for w, ids in zip(pieces, found)]
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes; null counts as empty."""
-        split = [self._split(text) for text in texts]
-        needed = set().union(*(pieces for pieces in split if pieces))
-        fresh = needed - self.known.keys()
-        if len(self.known) + len(fresh) > CACHE_ENTRIES:
-            kept = [w for w in self.known if w in needed]  # this batch must be present as a whole
-            self.known = {w: self.known[w] for w in [*list(self.known)[CACHE_ENTRIES // 2 :], *kept]}
-        fresh -= {"", "\n"}
-        self.known |= {"": b"", "\n": self._ids("\n").tobytes()}
-        self._learn(list(fresh))
-        known = self.known.__getitem__
-        return [self._ids(text).tobytes() if pieces is None else b"".join(map(known, pieces)) for text, pieces in zip(texts, split)]
+        out: list[bytes] = [b""] * len(texts)
+        rows, ready = [], []
+        for i, text in enumerate(texts):
+            if text and (cut := self._prepared(text)) is not None:
+                rows.append(i)
+                ready.append(cut)
+            elif text:
+                out[i] = self._ids(text).tobytes()
+        if not rows:
+            return out
+        split = pc.split_pattern(pa.array(ready, pa.large_string()), CUT)
+        coded = split.flatten().dictionary_encode()
+        ids = self._ids_of(coded.dictionary.to_pylist())
+        # lay the ids of all pieces end to end, by one gather from those of the distinct pieces
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy()
+        lengths = sizes[which]
+        ends = np.cumsum(lengths)
+        take = np.repeat(starts[which] - (ends - lengths), lengths) + np.arange(ends[-1])
+        data = memoryview(np.frombuffer(b"".join(ids), "<u4")[take].tobytes())
+        bounds = 4 * np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        for i, a, b in zip(rows, bounds[:-1].tolist(), bounds[1:].tolist()):
+            out[i] = bytes(data[a:b])
+        return out
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -81,7 +123,7 @@ def encoder(path: str) -> PieceEncoder:
     return _MODELS[path]
 
 
-def batches(texts: list[str | None], at_most: int = 4 << 20):
+def batches(texts: list[str | None], at_most: int = 8 << 20):
     """Bounds of consecutive slices with at most so many characters (one row at least)."""
     start = total = 0
     for i, text in enumerate(texts):
