@@ -1,0 +1 @@
+"""Storm-track and polar-array analytics, declared as Spark DataFrames."""

@@ -1,6 +1,405 @@
-"""The engine's queries over the driver tables, with equivalent SQL."""
+"""The engine's queries over the driver tables, each with equivalent SQL.
+
+The tables hold no coordinates, so positions are derived from keys by integer arithmetic. Columns that
+come from trigonometry or sums of doubles are rounded, so that two engines' last digits agree.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import names
+from ..functions.geo import wrap_lon
+from ..functions.time import micros, millis
+from ..operators import bbox, grid, linking, polar, robust, sessions, sites
+from ..sources import outputs, reports, volumes
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _lat(k, by: int = 37) -> Column:
+    return F.lit(25.0) + (F.col(k) * by % 2500) / 100.0
+
+
+def _lon(k, by: int = 91) -> Column:
+    return F.lit(-125.0) + (F.col(k) * by % 5800) / 100.0
+
+
+def _points(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "events").withColumns({"latitude": _lat("event_id"), "longitude": _lon("event_id")})
+
+
+def _sites(spark, sf_dir) -> DataFrame:
+    s = _t(spark, sf_dir, "supplier").where("s_suppkey < 150")
+    return s.select(F.col("s_suppkey").alias("site"), _lat("s_suppkey", 613).alias("lat"), _lon("s_suppkey", 377).alias("lon"), "s_nationkey")
+
+
+def _r(c, digits: int = 4) -> Column:
+    return F.round(c, digits)
+
+
+P = "(SELECT *, 25e0 + (event_id * 37 % 2500) / 100e0 AS latitude, -125e0 + (event_id * 91 % 5800) / 100e0 AS longitude FROM events)"
+S = "(SELECT s_suppkey AS site, 25e0 + (s_suppkey * 613 % 2500) / 100e0 AS lat, -125e0 + (s_suppkey * 377 % 5800) / 100e0 AS lon FROM supplier WHERE s_suppkey < 150)"
+
+
+def _km(a: str, b: str, c: str, d: str) -> str:
+    return f"2 * 6371e0 * asin(sqrt(least(1e0, pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2))))"
+
+
+_NEAR = f"""near AS (SELECT * FROM (SELECT p.*, site, {_km('p.latitude', 'p.longitude', 's.lat', 's.lon')} AS d,
+  row_number() OVER (PARTITION BY event_id ORDER BY {_km('p.latitude', 'p.longitude', 's.lat', 's.lon')}, site) AS k
+  FROM {P} p JOIN {S} s ON {_km('p.latitude', 'p.longitude', 's.lat', 's.lon')} <= 250) WHERE k = 1)"""
+
+
+@query(f"WITH {_NEAR} SELECT event_id, site AS radar_site, round(d, 4) AS distance_km FROM near")
+def nearest_site(spark, sf_dir):
+    near = sites.nearest_only(_points(spark, sf_dir), _sites(spark, sf_dir), 250.0, ["event_id"])
+    return near.select("event_id", "radar_site", _r("distance_to_site").alias("distance_km"))
+
+
+@query(f"""WITH v AS (SELECT *, CASE WHEN site % 5 <> 0 THEN TIMESTAMP '2024-01-01' + to_days(CAST(site % 7 AS INTEGER)) END AS s0,
+  CASE WHEN site % 3 <> 0 THEN TIMESTAMP '2024-01-01' + to_days(CAST(site % 7 + 5 + site % 11 AS INTEGER)) END AS s1 FROM {S}),
+c AS (SELECT event_id, site, {_km('p.latitude', 'p.longitude', 'v.lat', 'v.lon')} AS d FROM {P} p JOIN v ON (s0 IS NULL OR ts >= s0) AND (s1 IS NULL OR ts <= s1))
+SELECT event_id, site AS radar_site, round(d, 4) AS distance_km FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY d, site) AS k FROM c WHERE d <= 250) WHERE k = 1""")
+def nearest_active_site(spark, sf_dir):
+    day = lambda n: F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(n)
+    start = F.when(F.col("site") % 5 != 0, day(F.col("site") % 7))
+    end = F.when(F.col("site") % 3 != 0, day(F.col("site") % 7 + 5 + F.col("site") % 11))
+    s = _sites(spark, sf_dir).withColumn("active_ranges", F.array(F.struct(start.alias("start"), end.alias("end"))))
+    found = sites.nearest_active_site(_points(spark, sf_dir), s, 250.0, "event_id", "ts")
+    return found.select("event_id", "radar_site", _r("distance_to_site").alias("distance_km"))
+
+
+_CLUSTERS = """c AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS cluster FROM
+  (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL {gap} HOUR THEN 0 ELSE 1 END AS f FROM {rows}))"""
+
+
+@query(f"WITH {_CLUSTERS.format(gap=6, rows='events')} SELECT event_id, user_id, CAST(cluster AS BIGINT) AS cluster FROM c")
+def track_sessions(spark, sf_dir):
+    found = sessions.gap_sessions(_t(spark, sf_dir, "events"), 6 * 3600, "user_id", "ts", ("event_id",))
+    return found.select("event_id", "user_id", F.col("cluster").cast("long").alias("cluster"))
+
+
+@query(f"""WITH {_NEAR}, {_CLUSTERS.format(gap=6, rows='near')}
+SELECT user_id, count(*) AS n_points, count(DISTINCT cluster) AS n_sessions, count(DISTINCT site) AS n_sites, round(max(d), 4) AS farthest_km FROM c GROUP BY user_id""")
+def nearest_site_sessions(spark, sf_dir):
+    near = sites.nearest_only(_points(spark, sf_dir), _sites(spark, sf_dir), 250.0, ["event_id", "user_id", "ts"])
+    found = sessions.gap_sessions(near, 6 * 3600, "user_id", "ts", ("event_id",))
+    return found.groupBy("user_id").agg(F.count("*").alias("n_points"), F.countDistinct("cluster").alias("n_sessions"), F.countDistinct("radar_site").alias("n_sites"), _r(F.max("distance_to_site")).alias("farthest_km"))
+
+
+@query(f"""WITH big AS (SELECT * FROM events WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) >= 3)), {_CLUSTERS.format(gap=36, rows='big')},
+z AS (SELECT user_id, cluster, count(*) AS n FROM c GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, cluster) AS place, sum(n) OVER (PARTITION BY user_id) AS total, max(n) OVER (PARTITION BY user_id) AS best FROM z),
+k AS (SELECT * FROM r WHERE best >= total * 0.5 AND best >= 3 AND n >= 3),
+m AS (SELECT user_id, cluster, CASE WHEN place = 1 THEN user_id ELSE (SELECT max(user_id) FROM big) + row_number() OVER (PARTITION BY place = 1 ORDER BY user_id, cluster) END AS storm_id FROM k)
+SELECT event_id, CAST(storm_id AS BIGINT) AS storm_id FROM c JOIN m USING (user_id, cluster)""")
+def majority_track_filter(spark, sf_dir):
+    rows = _t(spark, sf_dir, "events").select("event_id", "ts", F.col("user_id").alias("storm_id"))
+    return sessions.majority_filter(rows, 36 * 3600, 3, 0.5, "storm_id", "ts", ("event_id",)).select("event_id", F.col("storm_id").cast("long").alias("storm_id"))
+
+
+@query("""WITH e AS (SELECT *, CASE WHEN user_id % 2 = 0 THEN event_id % 2 ELSE 0 END AS site FROM events),
+p AS (SELECT user_id, site, min(ts) AS t FROM e GROUP BY 1, 2), q AS (SELECT * FROM p WHERE user_id IN (SELECT user_id FROM p GROUP BY 1 HAVING count(*) > 1)),
+n AS (SELECT user_id, site, (SELECT max(user_id) FROM events) + row_number() OVER (ORDER BY t, user_id, site) AS fresh FROM q)
+SELECT event_id, CAST(coalesce(fresh, user_id) AS BIGINT) AS storm_id FROM e LEFT JOIN n USING (user_id, site)""")
+def split_multi_group(spark, sf_dir):
+    rows = _t(spark, sf_dir, "events").withColumn("site", F.when(F.col("user_id") % 2 == 0, F.col("event_id") % 2).otherwise(F.lit(0)))
+    return sessions.split_by_site(rows, "user_id", "site", "ts").select("event_id", "storm_id")
+
+
+@query("SELECT event_id, user_id FROM events WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) >= 65)")
+def min_rows_filter(spark, sf_dir):
+    return sessions.min_rows(_t(spark, sf_dir, "events"), "user_id", 65).select("event_id", "user_id")
+
+
+@query("""WITH l AS (SELECT event_id, user_id % 25 AS site, ts FROM events WHERE event_type = 'click'), r AS (SELECT event_id AS k, user_id % 25 AS site, ts AS vt FROM events WHERE event_type = 'view'),
+c AS (SELECT event_id, k, vt, abs(epoch_us(ts) - epoch_us(vt)) AS gap FROM l JOIN r ON l.site = r.site AND CAST(ts AS DATE) = CAST(vt AS DATE))
+SELECT event_id, k AS volume_key, gap AS gap_us FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY gap, vt, k) AS n FROM c WHERE gap <= 1800000000) WHERE n = 1""")
+def asof_link(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").withColumn("radar_site", F.col("user_id") % 25)
+    left = e.where("event_type = 'click'").select("event_id", "radar_site", F.col("ts").alias("time"))
+    right = e.where("event_type = 'view'").select(F.col("event_id").alias("volume_key"), F.col("radar_site").alias("site"), F.col("ts").alias("volume_time"))
+    return linking.asof_nearest(left, right, 1800, "event_id").select("event_id", "volume_key", "gap_us")
+
+
+@query(f"""WITH p AS (SELECT * FROM {P}), c AS (SELECT * FROM p WHERE event_type = 'purchase'), r AS (SELECT * FROM p WHERE event_type = 'error')
+SELECT c.event_id AS cell_id, r.event_id AS report_id, round({_km('c.latitude', 'c.longitude', 'r.latitude', 'r.longitude')}, 4) AS obs_distance
+FROM c JOIN r ON abs(epoch_us(c.ts) - epoch_us(r.ts)) <= 3600000000 AND r.latitude BETWEEN c.latitude - 1e0 AND c.latitude + 1e0 AND r.longitude BETWEEN c.longitude - 2e0 AND c.longitude + 2e0""")
+def space_time_reports(spark, sf_dir):
+    p = _points(spark, sf_dir)
+    box = {"min_lat": F.col("latitude") - 1.0, "max_lat": F.col("latitude") + 1.0, "min_lon": F.col("longitude") - 2.0, "max_lon": F.col("longitude") + 2.0}
+    cells = p.where("event_type = 'purchase'").select(F.col("event_id").alias("cell_id"), F.col("ts").alias("time"), "latitude", "longitude").withColumns(box)
+    found = p.where("event_type = 'error'").select(F.lit("events").alias("source"), F.col("ts").alias("time"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("event_id").alias("gust"), F.lit("").alias("type"))
+    return linking.reports_near_cells(found, cells, 60).select("cell_id", F.col("gust").alias("report_id"), _r("obs_distance").alias("obs_distance"))
+
+
+@query(f"""SELECT source, count(*) AS n, round(sum(latitude), 4) AS lat_sum, min(event_id) AS first_id FROM (
+SELECT 'a' AS source, * FROM {P} WHERE lower(event_type) IN ('click', 'view') UNION ALL SELECT 'b', * FROM {P} WHERE event_type = 'error' UNION ALL SELECT 'c', * FROM {P} WHERE value > 10) GROUP BY source""")
+def union_reports(spark, sf_dir):
+    p = _points(spark, sf_dir)
+    feed = lambda name, rows: rows.select(F.lit(name).alias("source"), F.col("ts").alias("time"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("event_id").alias("gust"), F.col("event_type").alias("type"))
+    all_ = reports.union(feed("a", p.where(F.lower("event_type").isin("click", "view"))), feed("b", p.where("event_type = 'error'")), feed("c", p.where("value > 10")))
+    return all_.groupBy("source").agg(F.count("*").alias("n"), _r(F.sum("lat")).alias("lat_sum"), F.min("gust").alias("first_id"))
+
+
+@query("SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
+def json_props(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").withColumn("k", F.from_json("props", "k bigint")["k"])
+    return e.groupBy("event_type", "k").agg(F.count("*").alias("n"), _r(F.sum("value"), 2).alias("total"))
+
+
+@query("""WITH e AS (SELECT user_id, value AS w, CAST(event_id % 97 + 1 AS DOUBLE) AS h FROM events), m AS (SELECT user_id, median(w) AS mw, median(h) AS mh FROM e GROUP BY 1),
+d AS (SELECT e.user_id, any_value(mw) AS mw, any_value(mh) AS mh, median(abs(w - mw)) AS dw, median(abs(h - mh)) AS dh FROM e JOIN m USING (user_id) GROUP BY 1),
+c AS (SELECT user_id, avg(w) FILTER (abs(w - mw) <= 2.5 * CASE WHEN dw = 0 THEN 1 ELSE dw END) AS cw, avg(h) FILTER (abs(h - mh) <= 2.5 * CASE WHEN dh = 0 THEN 1 ELSE dh END) AS ch,
+  greatest(any_value(dw), 1) AS sw, greatest(any_value(dh), 1) AS sh FROM e JOIN d USING (user_id) GROUP BY 1),
+s AS (SELECT user_id, w, h, 1 / (1 + abs(w - cw) / (sw + 1e-12)) / (1 + abs(h - ch) / (sh + 1e-12)) AS q FROM e JOIN c USING (user_id))
+SELECT user_id, round(sum(q * w) / sum(q), 4) AS avg_width, round(sum(q * h) / sum(q), 4) AS avg_height FROM s GROUP BY 1""")
+def robust_weighted_mean(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select("user_id", F.col("value").alias("width_m"), (F.col("event_id") % 97 + 1).cast("double").alias("height_m"))
+    return robust.weighted_dimensions(e, ["user_id"]).select("user_id", _r("avg_width").alias("avg_width"), _r("avg_height").alias("avg_height"))
+
+
+@query("""WITH e AS (SELECT l_returnflag AS f, min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 20 AS step FROM lineitem GROUP BY 1),
+b AS (SELECT l_returnflag AS f, lo, step, least(floor((l_extendedprice - lo) / step), 19) AS bin FROM lineitem JOIN e ON l_returnflag = f),
+c AS (SELECT f, bin, count(*) AS n, any_value(lo) AS lo, any_value(step) AS step FROM b GROUP BY 1, 2)
+SELECT f AS l_returnflag, CAST(bin AS BIGINT) AS bin, n, round(lo + (bin + 0.5) * step, 4) AS mode FROM (SELECT *, row_number() OVER (PARTITION BY f ORDER BY n DESC, bin) AS k FROM c) WHERE k = 1""")
+def hist_mode(spark, sf_dir):
+    found = robust.histogram_mode(_t(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice")
+    return found.select("l_returnflag", F.col("bin").cast("long").alias("bin"), "n", _r("mode").alias("mode"))
+
+
+@query("""SELECT CAST(least(floor((l_quantity - 1e0) * 10 / 49e0), 9) AS BIGINT) AS bx, CAST(least(floor((l_discount - 0e0) * 5 / 0.1e0), 4) AS BIGINT) AS by, count(l_extendedprice) AS n, round(avg(l_extendedprice), 4) AS mean
+FROM lineitem WHERE l_quantity BETWEEN 1 AND 50 AND l_discount BETWEEN 0e0 AND 0.1e0 GROUP BY 1, 2""")
+def hist_2d_mean(spark, sf_dir):
+    found = robust.histogram_2d_mean(_t(spark, sf_dir, "lineitem"), "l_quantity", "l_discount", "l_extendedprice", (1.0, 50.0, 0.0, 0.1), (10, 5))
+    return found.select(F.col("bx").cast("long").alias("bx"), F.col("by").cast("long").alias("by"), "n", _r("mean").alias("mean"))
+
+
+_GATES = "(SELECT label, vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS gate FROM embeddings)"
+
+
+def _gates(spark, sf_dir) -> DataFrame:
+    return volumes.gates(_t(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "values"), 0.0, 1.0)
+
+
+@query(f"SELECT label, CAST(gate AS INTEGER) AS gate, round(CAST(max(v) AS DOUBLE), 6) AS value FROM {_GATES} GROUP BY 1, 2")
+def composite_max(spark, sf_dir):
+    return _gates(spark, sf_dir).groupBy("label", "gate").agg(_r(F.max("value").cast("double"), 6).alias("value"))
+
+
+@query(f"SELECT label, CAST(gate AS INTEGER) AS gate, vec_id AS winner FROM (SELECT *, row_number() OVER (PARTITION BY label, gate ORDER BY v DESC, vec_id) AS k FROM {_GATES}) WHERE k = 1")
+def winner_index(spark, sf_dir):
+    best = F.max(F.struct("value", (-F.col("vec_id")).alias("i")))
+    return _gates(spark, sf_dir).groupBy("label", "gate").agg(best.alias("b")).select("label", "gate", (-F.col("b.i")).alias("winner"))
+
+
+def _rays(spark, sf_dir) -> DataFrame:
+    e = _t(spark, sf_dir, "embeddings")
+    return e.select("label", F.col("vec_id").alias("ray"), ((F.col("vec_id") * 37 % 3600) / 10.0).alias("azimuth"), (F.col("vec_id") % 5).cast("int").alias("sweep"), ((F.col("vec_id") % 5) * 7 % 5).cast("double").alias("fixed_angle"), F.lit(0.5).alias("elevation"), F.col("embedding").alias("values"))
+
+
+@query("""WITH s AS (SELECT label, CAST(vec_id % 5 AS INTEGER) AS sweep, vec_id % 5 * 7 % 5 AS a, count(*) AS n FROM embeddings GROUP BY 1, 2, 3)
+SELECT label, sweep, n AS n_rays FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, a, sweep) AS k FROM s) WHERE k = 1""")
+def host_sweep(spark, sf_dir):
+    return polar.host_sweep(_rays(spark, sf_dir), ["label"])
+
+
+@query("""WITH r AS (SELECT label, vec_id, vec_id * 37 % 3600 AS a, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS ray, count(*) OVER (PARTITION BY label) AS n FROM embeddings),
+f AS (SELECT label, ray AS first FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY a, ray) AS k FROM r) WHERE k = 1)
+SELECT label, vec_id, CAST((ray - first + n) % n AS INTEGER) AS rolled FROM r JOIN f USING (label)""")
+def canonical_roll(spark, sf_dir):
+    from pyspark.sql import Window
+
+    r = _rays(spark, sf_dir).withColumnRenamed("ray", "vec_id").withColumn("ray", F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1)
+    return polar.canonical_roll(r.select("label", "vec_id", "ray", "azimuth"), ["label"]).select("label", "vec_id", "rolled")
+
+
+@query("""WITH r AS (SELECT label, vec_id, (vec_id * 37 % 3600) / 10e0 AS a FROM embeddings),
+c AS (SELECT h.label, h.vec_id AS host_ray, s.vec_id AS source_ray, round(least((h.a - s.a + 360) % 360, 360 - (h.a - s.a + 360) % 360), 9) AS d FROM r h JOIN r s ON h.label = s.label AND h.vec_id % 2 = 0 AND s.vec_id % 2 = 1)
+SELECT label, host_ray, source_ray, round(d, 6) AS angle FROM (SELECT *, row_number() OVER (PARTITION BY label, host_ray ORDER BY d, source_ray) AS k FROM c) WHERE k = 1""")
+def angular_match(spark, sf_dir):
+    r = _rays(spark, sf_dir)
+    hosts = r.where("ray % 2 = 0").select("label", F.col("ray").alias("host_ray"), F.col("azimuth").alias("host_azimuth"))
+    sources = r.where("ray % 2 = 1").select("label", F.lit(0).alias("source_sweep"), F.col("ray").alias("source_ray"), F.col("azimuth").alias("source_azimuth"))
+    return polar.angular_match(hosts, sources, ["label"]).select("label", "host_ray", "source_ray", _r("angle", 6).alias("angle"))
+
+
+@query(f"""SELECT vec_id, count(*) FILTER (coalesce(v, 0) >= 0.1) AS n_hits, count(v) FILTER (gate BETWEEN 8 AND 40) AS n_kept, round(sum(CAST(v AS DOUBLE)) FILTER (gate BETWEEN 8 AND 40), 4) AS kept_sum FROM {_GATES} GROUP BY 1""")
+def threshold_crop(spark, sf_dir):
+    e = _t(spark, sf_dir, "embeddings").withColumn("embedding", F.col("embedding").cast("array<double>"))
+    hits = F.size(F.filter(polar.threshold_mask(F.col("embedding"), 0.1), lambda x: x))
+    kept = F.filter(polar.crop(F.col("embedding"), F.transform("embedding", lambda v, i: i.between(8, 40))), lambda v: v.isNotNull())
+    return e.select("vec_id", hits.cast("long").alias("n_hits"), F.size(kept).cast("long").alias("n_kept"), _r(F.aggregate(kept, F.lit(0.0), lambda s, v: s + v)).alias("kept_sum"))
+
+
+def _cells(spark, sf_dir) -> DataFrame:
+    from pyspark.sql import Window
+
+    row = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    e = _t(spark, sf_dir, "embeddings").select("label", row.alias("row"), "embedding")
+    # grids of a fixed size: 64 vectors of a label by their components
+    return e.select("label", F.floor(F.col("row") / 64).cast("int").alias("block"), (F.col("row") % 64).alias("y"), F.posexplode("embedding").alias("x", "value"))
+
+
+@query()
+def region_stats(spark, sf_dir):
+    return grid.region_stats(_cells(spark, sf_dir), ["label", "block"], 0.05, 4)
+
+
+@query()
+def blob_for_point(spark, sf_dir):
+    cells = _cells(spark, sf_dir).withColumn("point_y", F.lit(20.0)).withColumn("point_x", F.lit(30.0))
+    return grid.blob_for_point(cells, ["label", "block"], 0.05, 4, 1.0)
+
+
+@query()
+def polar_composite(spark, sf_dir):
+    found = polar.composite(_rays(spark, sf_dir), ["label"], 360.0)
+    return found.select("label", "ray", F.size("values").alias("n_gates"), F.array_max("values").alias("top"), F.array_max("winner_sweep").alias("last_sweep"))
+
+
+@query("""WITH p AS (SELECT event_type, (event_id * 37 % 400) / 10e0 - 20 AS x, (event_id * 91 % 400) / 10e0 - 20 AS y FROM events WHERE value >= 10),
+c AS (SELECT ix, iy, ix - 10e0 AS cx, iy - 10e0 AS cy FROM range(21) a(ix), range(21) b(iy)),
+h AS (SELECT event_type, ix, iy, cx, cy, count(*) AS hits FROM p JOIN c ON abs(x - cx) <= 5 + 1e-9 AND abs(y - cy) <= 5 + 1e-9 GROUP BY ALL)
+SELECT event_type, cx AS centre_x, cy AS centre_y, hits FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY hits DESC, ix, iy) AS k FROM h) WHERE k = 1""")
+def box_fit(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select("event_type", ((F.col("event_id") * 37 % 400) / 10.0 - 20).alias("x"), ((F.col("event_id") * 91 % 400) / 10.0 - 20).alias("y"), (F.col("value") >= 10).alias("hit"))
+    return bbox.box_fit(e, ["event_type"], 5.0, 5.0, 10.0, 1.0)
+
+
+@query(f"""WITH p AS (SELECT *, min(ts) OVER (PARTITION BY user_id) AS t0, max(ts) OVER (PARTITION BY user_id) AS t1, event_type IN ('click', 'view') AND ts IN (min(ts) OVER (PARTITION BY user_id), max(ts) OVER (PARTITION BY user_id)) AS fit FROM {P})
+SELECT user_id, round(coalesce(min(latitude - 0.5) FILTER (fit), min(latitude - 0.5)), 6) AS min_lat, round(coalesce(max(latitude + 0.5) FILTER (fit), max(latitude + 0.5)), 6) AS max_lat,
+  round(coalesce(min(longitude - 0.5) FILTER (fit), min(longitude - 0.5)), 6) AS min_lon, round(coalesce(max(longitude + 0.5) FILTER (fit), max(longitude + 0.5)), 6) AS max_lon FROM p GROUP BY 1""")
+def stationary_bbox(spark, sf_dir):
+    p = _points(spark, sf_dir).select("user_id", F.col("ts").alias("time"), F.col("event_type").isin("click", "view").alias("fitted"), "latitude", "longitude")
+    found = bbox.stationary_box(bbox.default_box(p, "latitude", "longitude"), ["user_id"])
+    return found.select("user_id", *[_r(s, 6).alias(s) for s in bbox.SIDES])
+
+
+_FILES = """(SELECT doc_id, n_chars, 'K' || lpad(CAST(doc_id % 20 AS VARCHAR), 3, '0') || '_' || CAST(doc_id % 7 AS VARCHAR) || CASE WHEN doc_id % 3 = 0 THEN '_context_T' || CAST(doc_id % 50 AS VARCHAR) WHEN doc_id % 11 = 0 THEN '_bad-name'
+  ELSE '_' || CASE WHEN doc_id % 2 = 0 THEN 'reflectivity' ELSE 'velocity' END || '_T' || CAST(doc_id % 50 AS VARCHAR) || '_64x' || CAST(doc_id % 9 + 1 AS VARCHAR) || 'x1ch' END || '_20220101T000000Z_20220101T000100Z.h5' AS name FROM documents)"""
+_FILE_RE = r"^([A-Z0-9]{4})_(\d+?)_(context|[a-zA-Z0-9_]+?)(?:_T(\d+))?(?:_(\d+)x(\d+)x(\d+)ch)?_(\d{8}T\d{6}Z)_(\d{8}T\d{6}Z)\.(?:h5|parquet)$"
+_PARTS = ", ".join(f"nullif(regexp_extract(name, '{_FILE_RE}', {k}), '') AS {n}" for k, n in enumerate(("site", "storm", "kind", "t", "h", "w", "c", "t0", "t1"), 1))
+
+
+def _files(spark, sf_dir) -> DataFrame:
+    text = lambda c: c.cast("string")
+    i = F.col("doc_id")
+    product = F.concat(F.lit("_"), F.when(i % 2 == 0, "reflectivity").otherwise("velocity"), F.lit("_T"), text(i % 50), F.lit("_64x"), text(i % 9 + 1), F.lit("x1ch"))
+    middle = F.when(i % 3 == 0, F.concat(F.lit("_context_T"), text(i % 50))).when(i % 11 == 0, "_bad-name").otherwise(product)
+    name = F.concat(F.lit("K"), F.lpad(text(i % 20), 3, "0"), F.lit("_"), text(i % 7), middle, F.lit("_20220101T000000Z_20220101T000100Z.h5"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("size_bytes"), name.alias("name"))
+
+
+@query(f"SELECT doc_id, site, coalesce(CAST(storm AS INTEGER), -1) AS storm_id, kind, coalesce(CAST(t AS INTEGER), -1) AS n_times, coalesce(CAST(w AS INTEGER), -1) AS width, t0 FROM (SELECT doc_id, {_PARTS} FROM {_FILES})")
+def manifest_parse(spark, sf_dir):
+    rows = _files(spark, sf_dir).withColumns(names.dataset_file_parts(F.col("name")))
+    known = lambda c, n: F.coalesce(F.col(c), F.lit(-1)).alias(n)
+    return rows.select("doc_id", "site", known("storm_id", "storm_id"), "kind", known("T", "n_times"), known("W", "width"), "t0")
+
+
+@query(f"""WITH f AS (SELECT doc_id, n_chars, name, {_PARTS} FROM {_FILES})
+SELECT site, CAST(storm AS INTEGER) AS storm_id, coalesce(max(CAST(t AS INTEGER)) FILTER (kind = 'context'), -1) AS n_times, coalesce(string_agg(DISTINCT kind, ',' ORDER BY kind) FILTER (kind <> 'context'), '') AS products,
+  coalesce(string_agg(kind || ':' || h || 'x' || w || 'x' || c, ';' ORDER BY lpad(CAST(doc_id AS VARCHAR), 12, '0')) FILTER (kind <> 'context' AND h IS NOT NULL), '') AS dims, CAST(sum(n_chars) AS BIGINT) AS total_bytes
+FROM f WHERE site IS NOT NULL GROUP BY 1, 2""")
+def catalog_rollup(spark, sf_dir):
+    rows = _files(spark, sf_dir).withColumns(names.dataset_file_parts(F.col("name"))).withColumn("relpath", F.lpad(F.col("doc_id").cast("string"), 12, "0"))
+    found = outputs.catalog(rows.withColumn("type", F.when(F.col("kind") == "context", "context").otherwise("product")))
+    return found.select("site", "storm_id", F.coalesce("T", F.lit(-1)).alias("n_times"), "products", "dims", "total_bytes")
+
+
+@query("""SELECT split_part(split_part(url, '://', 2), '/', 1) AS host, count(*) AS n, count(DISTINCT sha256(html)) AS n_contents, CAST(sum(octet_length(encode(html))) AS BIGINT) AS total_bytes FROM pages GROUP BY 1""")
+def page_manifest(spark, sf_dir):
+    p = _t(spark, sf_dir, "pages").withColumn("host", F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1)))
+    return p.groupBy("host").agg(F.count("*").alias("n"), F.countDistinct(F.sha2("html", 256)).alias("n_contents"), F.sum(F.octet_length("html").cast("long")).alias("total_bytes"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority = '1-URGENT')")
+def resume_skip(spark, sf_dir):
+    saved = _t(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return sessions.resume(_t(spark, sf_dir, "customer"), saved, ["c_custkey"]).select("c_custkey", "c_name")
+
+
+@query("SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name IN ('NATION_1', 'NATION_2', 'NATION_7')")
+def subset_by_site(spark, sf_dir):
+    n = _t(spark, sf_dir, "nation").where(F.col("n_name").isin("NATION_1", "NATION_2", "NATION_7"))
+    return _t(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+
+
+@query("""SELECT event_id, CAST(epoch_ms(ts) AS BIGINT) AS time_unix_ms, round(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) - 360 * floor(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) / 360) - 180, 6) AS longitude,
+strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS time_utc FROM events""")
+def context_normalize(spark, sf_dir):
+    return _points(spark, sf_dir).select("event_id", millis("ts").alias("time_unix_ms"), _r(wrap_lon(F.col("longitude") * 3), 6).alias("longitude"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time_utc"))
+
+
+@query("""SELECT kind, name, n FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, name) AS k FROM (
+SELECT 'source' AS kind, source AS name, count(*) AS n FROM documents GROUP BY 2 UNION ALL SELECT 'event', event_type, count(*) FROM events GROUP BY 2)) WHERE k <= 5""")
+def top_counts(spark, sf_dir):
+    from pyspark.sql import Window
+
+    count = lambda df, kind, c: df.groupBy(F.col(c).alias("name")).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "name", "n")
+    both = count(_t(spark, sf_dir, "documents"), "source", "source").unionByName(count(_t(spark, sf_dir, "events"), "event", "event_type"))
+    return both.withColumn("k", F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "name"))).where("k <= 5").drop("k")
+
+
+@query("""SELECT orderkey, count(*) AS n, count(custkey) AS n_orders, round(sum(price), 2) AS price FROM (SELECT o_orderkey AS orderkey, o_custkey AS custkey, NULL AS price FROM orders UNION ALL SELECT l_orderkey, NULL, l_extendedprice FROM lineitem) GROUP BY 1""")
+def scan_chain(spark, sf_dir):
+    o = names.snake_columns(_t(spark, sf_dir, "orders").toDF(*["O OrderKey", " custkey ", "Status", "Total-Price", "order date", "prio"])).select(F.col("o_orderkey").alias("orderkey"), "custkey")
+    l = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderkey"), F.col("l_extendedprice").alias("price"))
+    both = o.unionByName(l, allowMissingColumns=True)
+    return both.groupBy("orderkey").agg(F.count("*").alias("n"), F.count("custkey").alias("n_orders"), F.round(F.sum("price"), 2).alias("price"))
+
+
+@query("""WITH k AS (SELECT 'K' || lpad(CAST(event_id % 40 AS VARCHAR), 3, '0') || strftime(ts, '%Y%m%d_%H%M%S') || CASE WHEN event_id % 4 = 0 THEN '_V06_MDM' ELSE '_V06' END AS key FROM events),
+v AS (SELECT key, regexp_extract(key, '^([A-Z0-9]{4})(\\d{8})_(\\d{6})(?:_([A-Za-z0-9]+))?(?:\\.gz)?$', 1) AS site, substr(key, 5, 15) AS stamp FROM k)
+SELECT site, max(key) AS volume_key, CAST(epoch_us(strptime(stamp, '%Y%m%d_%H%M%S')) AS BIGINT) AS time_us FROM v WHERE site <> '' GROUP BY site, stamp""")
+def volume_listing(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    key = F.concat(F.lit("K"), F.lpad((F.col("event_id") % 40).cast("string"), 3, "0"), F.date_format("ts", "yyyyMMdd_HHmmss"), F.when(F.col("event_id") % 4 == 0, "_V06_MDM").otherwise("_V06"))
+    return volumes.listing(e.select(key.alias("volume_key"))).select("site", "volume_key", micros("volume_time").alias("time_us"))
+
+
+@query("""SELECT CASE event_id % 6 WHEN 0 THEN 'reflectivity' WHEN 1 THEN 'differential_reflectivity' WHEN 2 THEN 'velocity' WHEN 3 THEN 'cross_correlation_ratio' WHEN 4 THEN 'my_field_2' ELSE 'spectrum_width' END AS field, count(*) AS n FROM events GROUP BY 1""")
+def field_alias(spark, sf_dir):
+    raw = F.element_at(F.array(*map(F.lit, (" Refl", "ZDR", "vr", "rhohv", "My field-2", "SW "))), (F.col("event_id") % 6 + 1).cast("int"))
+    return _t(spark, sf_dir, "events").select(names.canonical_field(raw).alias("field")).groupBy("field").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT CAST((i % 512) // 32 AS INTEGER) AS i_lat, CAST(i % 32 AS INTEGER) AS i_lon, round(CAST(max(v) AS DOUBLE), 6) AS value FROM (SELECT vec_id * 64 + gate AS i, v FROM {_GATES}) GROUP BY 1, 2")
+def vertical_composite(spark, sf_dir):
+    cells = _gates(spark, sf_dir).select((F.col("vec_id") * 64 + F.col("gate")).alias("index"), "value")
+    return polar.vertical_composite(cells, 16, 32).select("i_lat", "i_lon", _r(F.col("value").cast("double"), 6).alias("value"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, coalesce((a + b) / 2, a, b) AS position FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 <> 0 THEN l_quantity END AS a, CASE WHEN l_linenumber % 4 <> 0 THEN l_discount END AS b FROM lineitem) WHERE coalesce(a, b) IS NOT NULL""")
+def report_positions(spark, sf_dir):
+    n = F.col("l_linenumber")
+    lat = {"slat": F.when(n % 3 != 0, F.col("l_quantity")), "elat": F.when(n % 4 != 0, F.col("l_discount"))}
+    raw = _t(spark, sf_dir, "lineitem").withColumns({"date": F.lit("2017-05-01"), "time": F.lit("12:00:00"), **lat, "slon": F.lit(1.0), "elon": F.lit(1.0), "mag": F.col("l_orderkey").cast("double"), "type": n.cast("string")})
+    return reports.feed_b(raw).select(F.col("gust").cast("long").alias("l_orderkey"), F.col("type").cast("int").alias("l_linenumber"), F.col("lat").alias("position"))
+
+
+@query("SELECT n_name AS network, count(*) AS stations, count(*) FILTER (s_acctbal > 0) AS reporting, round(max(s_acctbal), 2) AS top FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1 HAVING count(*) >= 2")
+def network_summary(spark, sf_dir):
+    rows = _t(spark, sf_dir, "supplier").join(_t(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    found = rows.groupBy(F.col("n_name").alias("network")).agg(F.count("*").alias("stations"), F.count_if(F.col("s_acctbal") > 0).alias("reporting"), F.round(F.max("s_acctbal"), 2).alias("top"))
+    return found.where("stations >= 2").orderBy(F.desc("reporting"), "network")
