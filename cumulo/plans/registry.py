@@ -345,7 +345,7 @@ def subset_by_site(spark, sf_dir):
     return _t(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
 
 
-@query("""SELECT event_id, CAST(epoch_ms(ts) AS BIGINT) AS time_unix_ms, round(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) - 360 * floor(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) / 360) - 180, 6) AS longitude,
+@query("""SELECT event_id, epoch_us(ts) // 1000 AS time_unix_ms, round(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) - 360 * floor(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) / 360) - 180, 6) AS longitude,
 strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS time_utc FROM events""")
 def context_normalize(spark, sf_dir):
     return _points(spark, sf_dir).select("event_id", millis("ts").alias("time_unix_ms"), _r(wrap_lon(F.col("longitude") * 3), 6).alias("longitude"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time_utc"))
