@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Entries kept per worker; beyond it the older half goes. Bounds memory, never changes ids.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 900_000
 #: New pieces encoded in one library call.
 PIECES_PER_CALL = 2_000
 
