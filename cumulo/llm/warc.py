@@ -227,10 +227,11 @@ def assemble(found: DataFrame) -> DataFrame:
     others = found.where(F.col("type").isin("request", "metadata")).select("record_id", "type", "concurrent_to", F.struct("record_id", "target_uri", "date", "fields").alias("rec"))
     named = others.select(F.explode("concurrent_to").alias("capture_id"), "type", "rec")
     pointing = captures.select(F.col("record_id").alias("capture_id"), F.explode("concurrent_to").alias("record_id"))
-    named = named.unionByName(pointing.join(others.drop("concurrent_to"), "record_id").select("capture_id", "type", "rec"))
+    # merge joins: the size of what a Python reader yields cannot be estimated, so nothing is broadcast
+    named = named.unionByName(pointing.hint("merge").join(others.drop("concurrent_to"), "record_id").select("capture_id", "type", "rec"))
     by_id = lambda kind: F.min_by(F.when(F.col("type") == kind, F.col("rec")), F.when(F.col("type") == kind, F.col("rec.record_id")))
     joined = named.groupBy("capture_id").agg(by_id("request").alias("request"), by_id("metadata").alias("metadata"))
-    return captures.join(joined, captures["record_id"] == joined["capture_id"], "left").select(
+    return captures.hint("merge").join(joined, captures["record_id"] == joined["capture_id"], "left").select(
         F.col("record_id").alias("capture_id"), "target_uri", "date", F.col("type").alias("record_type"), "payload_digest", "payload_bytes", F.col("refers_to").alias("refers_to_record"), "payload", "request", "metadata"
     )
 
@@ -239,7 +240,7 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write the pages, read the files back, and give per page what the files say."""
     spark = pages.sparkSession
     paths = write(pages, folder or fresh_path(spark, "warc"))
-    whole = assemble(read(spark, paths, with_payload=False))
+    whole = assemble(materialize(read(spark, paths, with_payload=False), "warc-records"))
     page = F.expr("try_cast(metadata.fields['page-id'] as bigint)")
     rows = materialize(whole.select("capture_id", page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to_record"), "captures")
     first = materialize(rows.where("record_type = 'response'").groupBy(F.col("capture_id").alias("refers_to_record")).agg(F.max("page_id").alias("refers_to")), "responses")
