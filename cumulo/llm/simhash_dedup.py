@@ -138,35 +138,3 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2)
     """doc_id, fingerprint (16 hexadecimal digits), component_id (smallest doc_id reachable)."""
     prints = materialize(fingerprints(docs, shingle_words), "fingerprints")
     return components(prints, max_bits).select("doc_id", to_hex64(F.col("fp")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
-    """The documents without near duplicates: of each component, the row with the smallest doc_id.
-
-    Rows that repeat that id are cut to one as well; a component whose ids are all null keeps one row.
-    """
-    prints = materialize(fingerprints(docs, shingle_words), "fingerprints")
-    found = components(prints, max_bits)
-    kept = materialize(found.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is not null"), "kept-ids")
-    single = docs.join(kept.where("n = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = kept.where("n > 1").select("doc_id")
-    if not repeated.isEmpty():
-        single = single.unionByName(docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    nameless = found.where("component_id is null").select("label").distinct()
-    if not nameless.isEmpty():
-        single = single.unionByName(_nameless(docs, found, shingle_words))
-    return single.select(*docs.columns)
-
-
-def _nameless(docs: DataFrame, found: DataFrame, shingle_words: int) -> DataFrame:
-    """One row of each component that has no id at all."""
-
-    @F.pandas_udf("long")
-    def print_of(texts):
-        import pandas as pd
-
-        return pd.Series(np.array([fingerprint((t or "").encode(), shingle_words) for t in texts], "<u8").view("<i8"))
-
-    labels = found.where("component_id is null").select(F.col("fp").alias("__fp"), F.col("label").alias("__label")).distinct()
-    rows = docs.where("doc_id is null").withColumn("__fp", print_of(F.col("text")))
-    return rows.join(labels, "__fp").dropDuplicates(["__label"]).select(*docs.columns)

@@ -30,7 +30,7 @@ from .sampling import labelled_sample
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Bounds of the fit: clean and toxic labelled documents, characters of a document, tokens in the model.
-FIT_CLEAN, FIT_TOXIC, FIT_CHARS, MODEL_TOKENS = 12_000, 4_000, 65_536, 20_000
+FIT_CLEAN, FIT_TOXIC, FIT_CHARS, MODEL_TOKENS = 8_000, 4_000, 20_000, 20_000
 #: Weight of the Dirichlet prior as a share of the counted tokens, least z-score of a scored token,
 #: penalty of any other token.
 PRIOR_SHARE, LEAST_Z, PENALTY = 0.05, 2.0, 0.25
