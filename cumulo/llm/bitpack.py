@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import AtomicFile, fresh_path, make_folder, open_input, parallelism
-from .tokenize import batches, encoder
+from .common import AtomicFile, bound_batches, fresh_path, make_folder, open_input, parallelism
+from .tokenize import encoded
 
 MAGIC, VERSION = b"CUMBITS1", 1
 TRAILER = struct.Struct("<8sIIIIQQQ")  # magic, version, bits, ids per block, vocabulary, ids, docs, table position
@@ -177,18 +177,16 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, vocabu
         from pyspark import TaskContext
 
         number, out = TaskContext.get().partitionId(), None
-        path, codec, end = f"{folder}/shard-{number:06d}.bits", encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
-        for batch in rows:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in batches(texts):
-                for doc_id, data in zip(ids[a:b], codec.encode(texts[a:b])):
-                    out = out or ShardWriter(path, vocabulary)
-                    out.add(doc_id, np.frombuffer(data + end, "<u4"))
+        path, end = f"{folder}/shard-{number:06d}.bits", np.array([end_id], "<u4").tobytes()
+        for ids, tokens in encoded(rows, tokenizer_path):
+            for doc_id, data in zip(ids, tokens):
+                out = out or ShardWriter(path, vocabulary)
+                out.add(doc_id, np.frombuffer(data + end, "<u4"))
         if out:
             size = out.close()
             yield pa.RecordBatch.from_pydict({"shard": [number], "path": [path], "n_ids": [out.total], "n_docs": [len(out.ends)], "bytes": [size]})
 
-    rows = docs.select(F.col(id_column).cast("bigint").alias("__id"), F.coalesce(F.col(text_column), F.lit("")).alias("__text"))
+    rows = bound_batches(docs).select(F.col(id_column).cast("bigint").alias("__id"), F.coalesce(F.col(text_column), F.lit("")).alias("__text"))
     ordered = rows.repartitionByRange(parallelism(docs.sparkSession), "__id").sortWithinPartitions("__id", "__text")
     written = ordered.mapInArrow(shard, "shard long, path string, n_ids long, n_docs long, bytes long").collect()
     return [r.asDict() for r in sorted(written, key=lambda r: r.shard)]

@@ -60,6 +60,31 @@ def to_hex64(column):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
+#: Rows in an Arrow batch between Spark and Python: with long texts the default of 10,000 is too many.
+ARROW_ROWS = 1_000
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batch size to ARROW_ROWS, if it is larger; ``df`` as it is."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= ARROW_ROWS:
+        df.sparkSession.conf.set(key, str(ARROW_ROWS))
+    return df
+
+
+def release_memory() -> None:
+    """Give freed memory of this Python worker back to the system: workers live on between stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 # --- files in the shared folder -------------------------------------------------------------
 
 

@@ -24,6 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
 from .sampling import language_sample
 
 #: Bounds of the fit: documents and characters per language, characters of a document, letters kept.
@@ -194,7 +195,7 @@ def fit_model(docs: DataFrame, allowed) -> Model:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score, from the whole text alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the fit's bounds
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(model)  # bounded by the fit's bounds
 
     @F.pandas_udf("lang_pred string, score double")
     def identified(texts):

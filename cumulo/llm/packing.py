@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
-from .tokenize import batches, encoder
+from .common import bound_batches, materialize
+from .tokenize import encoded
 
 #: Pieces that one bucket of a length holds on average; the number of buckets follows the input.
 PIECES_PER_BUCKET = 2_000
@@ -112,30 +112,28 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, max_token
     """Pieces of at most ``max_tokens`` ids: doc_id, piece, start, length, ids_crc32 (and ids as bytes)."""
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, end, step = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes(), 4 * max_tokens
-        for batch in rows:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in batches(texts):
-                doc, piece, start, length, crc, raw = [], [], [], [], [], []
-                for doc_id, data in zip(ids[a:b], codec.encode(texts[a:b])):
-                    data += end
-                    for k, at in enumerate(range(0, len(data), step)):
-                        part = data[at : at + step]
-                        doc.append(doc_id)
-                        piece.append(k)
-                        start.append(at // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        if keep_ids:
-                            raw.append(part)
-                arrays = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if keep_ids:
-                    arrays, names = [*arrays, pa.array(raw, pa.binary())], [*names, "ids"]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+        end, step = np.array([end_id], "<u4").tobytes(), 4 * max_tokens
+        for ids, tokens in encoded(rows, tokenizer_path):
+            doc, piece, start, length, crc, raw = [], [], [], [], [], []
+            for doc_id, data in zip(ids, tokens):
+                data += end
+                for k, at in enumerate(range(0, len(data), step)):
+                    part = data[at : at + step]
+                    doc.append(doc_id)
+                    piece.append(k)
+                    start.append(at // 4)
+                    length.append(len(part) // 4)
+                    crc.append(zlib.crc32(part))
+                    if keep_ids:
+                        raw.append(part)
+            arrays = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if keep_ids:
+                arrays, names = [*arrays, pa.array(raw, pa.binary())], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
-    return docs.select(F.col(id_column).cast("bigint").alias("__id"), F.col(text_column).alias("__text")).mapInArrow(cut, schema)
+    return bound_batches(docs).select(F.col(id_column).cast("bigint").alias("__id"), F.col(text_column).alias("__text")).mapInArrow(cut, schema)
 
 
 def assign(pieces: DataFrame, limits: Limits) -> DataFrame:

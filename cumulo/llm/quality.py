@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
 from .sampling import labelled_sample
 
 EMBED, WIDTH, FILTERS = 4, 8, 16
@@ -167,7 +168,7 @@ def fit_network(docs: DataFrame, labels: DataFrame, allowed, label_column: str =
 
 def score(docs: DataFrame, net: Network) -> DataFrame:
     """``docs`` with a column ``score``: the probability of label 1, from the whole text alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # a few thousand numbers
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(net)  # a few thousand numbers
 
     @F.pandas_udf("double")
     def probabilities(texts):

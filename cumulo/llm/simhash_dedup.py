@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, to_hex64
+from .common import bound_batches, materialize, release_memory, to_hex64
 from .graph import connected_components
 
 SEED = 42
@@ -60,8 +60,9 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, id_column: str = "doc_
         for batch in rows:
             values = [fingerprint(t or b"", shingle_words) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(values, "<u8").view("<i8"))], names=["doc_id", "fp"])
+        release_memory()
 
-    return docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("__text")).mapInArrow(scan, "doc_id long, fp long")
+    return bound_batches(docs).select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("__text")).mapInArrow(scan, "doc_id long, fp long")
 
 
 def _forest(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:

@@ -11,15 +11,18 @@ anything unprintable) are encoded whole by the library.
 from __future__ import annotations
 
 import os
-from itertools import islice
+from collections.abc import Iterator
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Entries kept per worker; beyond it the older half goes. Bounds memory, never changes ids.
-CACHE_ENTRIES = 900_000
+from .common import release_memory
+
+#: Pieces kept per worker, in two generations: when the young one is full it becomes the old one, and
+#: what was not used meanwhile goes. Bounds memory, never changes ids.
+CACHE_ENTRIES = 500_000
 #: New pieces encoded in one library call.
 PIECES_PER_CALL = 2_000
 
@@ -37,10 +40,12 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space = "ByteLevel" in str(type(self.tokenizer.pre_tokenizer))
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         # byte-level vocabularies: a line feed between words is a word of its own and serves as
         # the separator of a joint call; the others drop white space, so a control character is one
         self.mark = "\n" if self.keeps_space else " \x00 "
         self.mark_ids = self._ids(self.mark)
+        self.newline = self._ids("\n").tobytes()
         self.stops = {c: self._ids(c).tobytes() for c in ".,"}
         # lower case first, where the vocabulary does that anyway and the order cannot matter
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
@@ -72,13 +77,14 @@ class PieceEncoder:
 
     def _ids_of(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces, from the dictionary where it has them."""
+        if len(self.known) >= CACHE_ENTRIES // 2:
+            self.old, self.known = self.known, {}
         found = list(map(self.known.get, pieces))
-        fresh = {w for w, ids in zip(pieces, found) if ids is None}
-        if fresh:
-            if len(self.known) + len(fresh) > CACHE_ENTRIES:
-                self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
-            self.known |= {"": b"", "\n": self._ids("\n").tobytes()}
-            fresh -= {"", "\n"}
+        if None in found:
+            missing = [w for w, ids in zip(pieces, found) if ids is None]
+            self.known.update((w, ids) for w, ids in zip(missing, map(self.old.get, missing)) if ids is not None)
+            self.known |= {"": b"", "\n": self.newline}
+            fresh = set(missing) - self.known.keys()
             # a full stop or comma after a letter is a word of its own: such pieces follow from their stems
             ends = {w for w in fresh if w[-1] in ".," and w[-2:-1].isalpha()}
             self._learn(list((fresh - ends) | ({w[:-1] for w in ends} - self.known.keys())))
@@ -123,14 +129,18 @@ def encoder(path: str) -> PieceEncoder:
     return _MODELS[path]
 
 
-def batches(texts: list[str | None], at_most: int = 8 << 20):
-    """Bounds of consecutive slices with at most so many characters (one row at least)."""
-    start = total = 0
-    for i, text in enumerate(texts):
-        n = len(text or "")
-        if i > start and total + n > at_most:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if len(texts) > start:
-        yield start, len(texts)
+def encoded(rows: Iterator[pa.RecordBatch], path: str, at_most: int = 8 << 20) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids, token bytes) of (id, text) batches, regrouped to about so many characters a call."""
+    codec, ids, texts, size = encoder(path), [], [], 0
+    for batch in rows:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids.append(doc_id)
+            texts.append(text)
+            size += len(text or "")
+            if size >= at_most:
+                yield ids, codec.encode(texts)
+                ids, texts, size = [], [], 0
+                release_memory()
+    if texts:
+        yield ids, codec.encode(texts)
+    release_memory()

@@ -26,6 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
 from .sampling import labelled_sample
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -212,7 +213,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, allowed, label_column: str = "
 
 def score(docs: DataFrame, model: Model, with_passages: bool = False) -> DataFrame:
     """Score column for every row of ``docs`` (whole texts); passages as (first word, last word, score)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MODEL_TOKENS tokens
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(model)  # at most MODEL_TOKENS tokens
     kind = "score double, passages array<struct<first:int,last:int,score:double>>" if with_passages else "score double"
 
     @F.pandas_udf(f"struct<{kind.replace('score double,', 'score:double,', 1).replace('passages array', 'passages:array')}>" if with_passages else "double")

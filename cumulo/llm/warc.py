@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import AtomicFile, fresh_path, make_folder, materialize, open_input
+from .common import AtomicFile, bound_batches, fresh_path, make_folder, materialize, open_input
 
 LEAST_REVISIT = 1_000
 VERSION = b"WARC/1.1"
@@ -89,7 +89,7 @@ def write(pages: DataFrame, folder: str, date: str | None = None) -> list[str]:
     make_folder(folder)
     date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").alias("url"), html.alias("payload"))
+    rows = bound_batches(pages).select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").alias("url"), html.alias("payload"))
     rows = rows.withColumn("digest", F.when(F.octet_length("payload") >= LEAST_REVISIT, F.sha1("payload")))
     equal = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("copies"))
     equal = materialize(equal.where("copies > 1").select("digest", "first_id"), "equal-payloads")
