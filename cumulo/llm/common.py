@@ -60,6 +60,11 @@ def to_hex64(column):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows; else as it is, for an ordinary join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 #: Rows in an Arrow batch between Spark and Python: with long texts the default of 10,000 is too many.
 ARROW_ROWS = 1_000
 
