@@ -1,0 +1,32 @@
+"""Every query with SQL equals DuckDB's result on the smallest tables."""
+
+import duckdb
+import pytest
+
+from cumulo.plans import registry
+
+SF = "/root/testdata/sf0.001"
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def _rows(df):
+    df = df[sorted(df.columns)]
+    return list(df.columns), sorted(map(repr, df.astype(object).where(df.notna(), None).itertuples(index=False, name=None)))
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_query(spark, name):
+    found = registry.QUERIES[name](spark, SF).toPandas()
+    if name not in registry.ORACLE_SQL:
+        assert len(found)
+        return
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    assert _rows(found) == _rows(con.execute(registry.ORACLE_SQL[name]).df())
+
+
+def test_entry_imports_without_optional_parts():
+    import __spark_entry__
+
+    assert set(registry.QUERIES) <= set(__spark_entry__.queries())
