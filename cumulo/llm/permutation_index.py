@@ -106,11 +106,13 @@ def search(vectors: DataFrame, query_condition, k: int = 10, pivots: int = PIVOT
     """query_id, rank, vec_id, score of the ``k`` nearest found of every row that meets the condition."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_column, vector_column)
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()
+    # a bounded sample, of which equal vectors serve once: copies would make pivots that tell nothing apart
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(8 * pivots).collect()
+    chosen = list(dict.fromkeys(tuple(r["v"]) for r in sample))[:pivots]
     schema = "query_id long, rank int, vec_id long, score double"
     if not chosen:
         return spark.createDataFrame([], schema)
-    centres = np.array([r["v"] for r in chosen], dtype=np.float64)
+    centres = np.array(chosen, dtype=np.float64)
     index = materialize(build(rows, centres), "permutation-index")
     asked = rows.where(query_condition).groupBy("vec_id").agg(F.min("v").alias("v"))
     n = asked.count()

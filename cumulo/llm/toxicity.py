@@ -11,7 +11,7 @@ probability, with those of all further significant segments, makes the evidence;
 logistic curve, fitted on the same sample, turns it into a probability.
 
 Defined cases: null or empty text, or no scored token -> the score of zero evidence; no labelled row
-of one class -> every score is 0; repeated rows -> one result each; extra columns are ignored.
+of one class -> every score is 0; too few rows for any token to be significant -> one score below 0.5; repeated rows -> one result each; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -188,6 +188,9 @@ def _calibrate(model: Model, texts: list[str], labels: list[int]) -> None:
     x = np.array([evidence(model, n, seg) for n, seg in found])
     y = np.array(labels, dtype=float)
     model.slope, model.bias = _logistic(x, y)
+    if not model.scores or model.slope <= 0:
+        # too few labels to tell any token: nothing is evidence, so nothing is called toxic
+        model.slope, model.bias = 0.0, min(math.log(y.mean() / (1 - y.mean())), -1.0)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:

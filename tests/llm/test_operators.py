@@ -1,0 +1,305 @@
+"""Each operator against a brute-force version, and on nulls, empty tables, ties, repeats, odd columns."""
+
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cumulo.llm import bitpack, decontamination, graph, html_extraction, language, packing, permutation_index, quality, similar_texts, simhash_dedup, tokenize, toxicity, warc
+from cumulo.llm.queries import QUERIES, tokenizer_path
+
+BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
+DOCS = "doc_id long, text string, fp string, score string, node string"  # extra columns with clashing names
+RNG = random.Random(5)
+WORDS = ["alpha", "beta", "gamma", "delta", "café", "naïve", "don't", "x1", "the", "of"]
+
+
+def prose(n, rng=RNG):
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "", ".", ","]) for _ in range(n))
+
+
+def docs_of(spark, texts):
+    return spark.createDataFrame([(i, t, "a", "b", "c") for i, t in texts], DOCS)
+
+
+def test_tokens_equal_the_library():
+    from tokenizers import Tokenizer
+
+    alphabet = [" ", "a", "'", "s", "\n", "t", "!", ".", "1", "é", "Σ", "é", "B", "\t", " "]
+    texts = ["", None, "<|endoftext|> hi", *("".join(RNG.choices(alphabet, k=RNG.randint(1, 14))) for _ in range(1500))]
+    for name in (BYTE, WORD):
+        t = Tokenizer.from_file(tokenizer_path(name))
+        assert tokenize.encoder(tokenizer_path(name)).encode(texts) == [np.array(t.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+
+
+@pytest.mark.parametrize("bits", [1, 3, 8, 13, 16, 17, 20])
+def test_bit_packing_round_trip(bits):
+    ids = np.random.default_rng(bits).integers(0, 1 << bits, 1003).astype("<u4")
+    assert (bitpack.unpack(bitpack.pack(ids, bits), bits, len(ids)) == ids).all()
+
+
+def test_token_files(spark, tmp_path):
+    rows = [(5, prose(6000)), (1, None), (3, ""), (2, prose(9)), (2, prose(9)), (None, "x")]
+    folder = f"file://{tmp_path}/ids"
+    manifest = bitpack.write(docs_of(spark, rows), folder, tokenizer_path(BYTE), 2, 50257)
+    got = bitpack.read_index(spark, manifest).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, 1, 2, 2, 3, 5]
+    assert [r.start for r in got] == list(np.cumsum([0, *[r.n_tokens for r in got[:-1]]]))
+    codec = tokenize.encoder(tokenizer_path(BYTE))
+    want = codec.encode([rows[0][1]])[0] + np.array([2], "<u4").tobytes()
+    assert got[-1].ids_crc32 == zlib.crc32(want) and got[1].n_tokens == 1
+    reader = bitpack.ShardReader(got[-1].path)
+    assert reader.document(len(reader.ends) - 1).tobytes() == want
+    assert bitpack.encode_and_read_back(docs_of(spark, []), tokenizer_path(BYTE), 2, 50257).count() == 0
+
+
+def test_packing(spark):
+    rows = [(i, prose(RNG.randint(0, 900))) for i in range(150)] + [(7, "same"), (7, "same"), (None, None), (900, prose(5000))]
+    got = packing.pack_documents(docs_of(spark, rows), tokenizer_path(WORD)).toPandas()
+    assert got.length.max() <= 2048
+    for _, s in got.sort_values("offset").groupby("sequence_id"):
+        assert list(s.offset) == list(np.cumsum([0, *s.length[:-1]])) and s.length.sum() <= 2048
+    assert got.sequence_id.nunique() <= math.ceil(got.length.sum() / 2048) + 2
+    assert packing.pack_documents(docs_of(spark, []), tokenizer_path(WORD)).count() == 0
+
+
+def test_packing_keeps_every_limit():
+    limits = packing.Limits(tokens=100, documents=3, attention=5000)
+    histogram = {50: 7, 40: 3, 10: 20, 1: 11}
+    for rule in packing.RULES:
+        bins = {}
+        for length, first, last, first_bin, each, _ in packing.solve(histogram, limits, rule):
+            for r in range(last - first):
+                bins.setdefault(first_bin + r // each, []).append(length)
+        assert sorted(x for b in bins.values() for x in b) == sorted(k for k, n in histogram.items() for _ in range(n))
+        assert all(sum(b) <= 100 and len(b) <= 3 and sum(x * x for x in b) <= 5000 for b in bins.values())
+
+
+def components_of(ids, linked):
+    label = {i: i for i in ids}
+    changed = True
+    while changed:
+        changed = False
+        for a in ids:
+            for b in ids:
+                if linked(a, b) and label[a] != label[b]:
+                    label[a] = label[b] = min(label[a], label[b])
+                    changed = True
+    return label
+
+
+def test_simhash_links_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
+    values = {int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 6), replace=False)) for b in base for _ in range(25)}
+    values |= {int(base[0]) ^ (m << 8) for m in range(300)}  # a list longer than SMALL_LIST
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    edges = simhash_dedup.links(spark.createDataFrame([(v,) for v in signed], "fp long"))
+    got = {r.node: r.component for r in graph.connected_components(edges).collect()}
+    array, label = np.array(signed, np.int64), np.array(signed, np.int64)
+    bits = array.view(np.uint64)
+    near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= 2
+    while True:
+        new = np.array([label[n].min() for n in near])
+        if (new == label).all():
+            break
+        label = new
+    assert all(got.get(int(v), int(v)) == int(x) for v, x in zip(array, label))
+
+
+def test_simhash_contract(spark):
+    rows = [(4, "A b\tc"), (3, "a B c"), (9, None), (8, ""), (7, " \n"), (3, "a b c"), (None, "a b c")]
+    got = sorted((r.doc_id or -1, r.fingerprint, r.component_id) for r in simhash_dedup.near_duplicates(docs_of(spark, rows)).collect())
+    assert {x[2] for x in got if x[0] in (3, 4, -1)} == {3} and {(x[1], x[2]) for x in got if x[0] >= 7} == {("0" * 16, 7)} and len(got) == 7
+    assert simhash_dedup.near_duplicates(docs_of(spark, [])).count() == 0
+
+
+def test_similar_texts(spark):
+    base = [" ".join(f"w{RNG.randint(0, 999)}" for _ in range(120)) for _ in range(6)]
+    rows = []
+    for k, t in enumerate(base):
+        w = t.split()
+        edit = lambda n: " ".join("edited" if i == n else x for i, x in enumerate(w))  # noqa: B023, E731
+        rows += [(10 * k, t), (10 * k + 1, edit(50)), (10 * k + 2, edit(0)), (10 * k + 3, " ".join(w[:60]))]
+    rows += [(100, None), (101, ""), (100, None), (None, base[0]), (None, "only here"), (None, "only here")]
+    kept = sorted(r.doc_id if r.doc_id is not None else -1 for r in similar_texts.keep_one(docs_of(spark, rows)).collect())
+    assert kept == sorted([-1, 100, *[10 * k for k in range(6)], *[10 * k + 3 for k in range(6)]])
+    assert similar_texts.keep_one(docs_of(spark, [])).count() == 0
+
+
+def brute_similarity(text, item, k=5):
+    import re
+
+    cut = lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w]
+    a, b = cut(text), cut(item)
+    k = min(k, len(b))
+    bag = lambda w: [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]
+    a, b = bag(a), bag(b)
+    best, size = 0.0, min(len(a), len(b))
+    for s in range(max(0, len(a) - size) + 1 if a and b else 0):
+        w = a[s : s + size]
+        shared = sum(min(w.count(x), b.count(x)) for x in set(b))
+        best = max(best, shared / (len(w) + len(b) - shared))
+    return best
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = random.Random(11)
+    word = lambda: f"t{rng.randint(0, 5000)}"
+    items = [" ".join(word() for _ in range(n)) for n in (15, 40, 59, 3, 59)] + [" ".join(["la"] * 20), ""]
+    texts = []
+    for k in range(40):
+        item = rng.choice(items[:5]).split()
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            item[rng.randrange(len(item))] = word()
+        if k % 5 == 0 and len(item) > 10:
+            del item[5]
+        texts.append(" ".join([word() for _ in range(rng.choice([0, 30, 80]))] + item + [word() for _ in range(rng.choice([0, 25]))]))
+    texts += [" ".join(["la"] * 300), items[1].upper().replace(" ", ",  "), "", None]
+    bench = spark.createDataFrame([*enumerate(items), (99, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontamination.matches(docs_of(spark, [*enumerate(texts)]), bench).collect()}
+    want = {(i, k): s for i, t in enumerate(texts) for k, b in enumerate(items) if b and (s := brute_similarity(t or "", b)) >= 0.8 - 1e-12}
+    assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x]) for x in want) and len(want) > 15
+    clean = decontamination.clean(docs_of(spark, [*enumerate(texts)]), bench)
+    assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {d for d, _ in want}
+    assert decontamination.matches(docs_of(spark, []), bench).count() == 0
+    assert decontamination.matches(docs_of(spark, [(1, "a b")]), bench.limit(0)).count() == 0
+
+
+def test_warc(spark):
+    big = "<p>" + "é" * 700 + "</p>"
+    pages = spark.createDataFrame([(1, "http://a/x?q=1", big, "z"), (9, None, big, "z"), (4, "http://b", big, "z"), (5, "u", "small", "z"), (6, "u", "small", "z"), (7, "u", None, "z"), (None, "u", big, "z"), (7, "u", None, "z")], "page_id long, url string, html string, digest string")
+    got = sorted([tuple(r) for r in warc.round_trip(pages).collect()], key=str)
+    sha, n = hashlib.sha1(big.encode()).hexdigest(), len(big.encode())
+    small = hashlib.sha1(b"small").hexdigest()
+    none = hashlib.sha1(b"").hexdigest()
+    want = [(1, n, sha, "revisit", 9), (9, n, sha, "response", None), (4, n, sha, "revisit", 9), (None, n, sha, "revisit", 9), (5, 5, small, "response", None), (6, 5, small, "response", None), (7, 0, none, "response", None), (7, 0, none, "response", None)]
+    assert got == sorted(want, key=str)
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_warc_links_in_either_direction(spark):
+    rec = lambda kind, i, *c: (i, kind, list(c), "u", "d", None, None, None, {}, None)
+    found = spark.createDataFrame([rec("response", "r", "q"), rec("request", "q"), rec("metadata", "m", "r")], "record_id string, type string, concurrent_to array<string>, target_uri string, date string, refers_to string, payload_digest string, payload_bytes long, fields map<string,string>, payload binary")
+    row = warc.assemble(found).first()
+    assert row.request.record_id == "q" and row.metadata.record_id == "m"
+
+
+def test_html_structure():
+    page = """<html><head><title>T</title></head><body><nav><ul><li>Menu<li>More</ul></nav><div class="cookie-notice">We use cookies</div>
+    <article><header class="x"><h1>Head &amp; line</h1><span>By me</span></header><p>One <b>two</b>
+     three<br>four<p>Five<div class="ad">Buy</div><script>var a="</p>";</script><form>Mail</form><section id="comments"><p>First!</p></section></article><aside>Side</aside><footer>&copy; me"""
+    marked, kept, _ = html_extraction.split_page(page)
+    assert marked and kept == ["Head & line", "One two three four", "Five"]
+    for broken in (None, "", "<", "<p", "<article><p>a <b", "text only", '<p class="a>b'):
+        html_extraction.split_page(broken)
+    assert html_extraction.split_page("text &lt;only&gt;")[1] == ["text <only>"]
+
+
+def test_html_suffixes_drop_what_repeats(spark):
+    boiler = "this site is made by the many friends of long templates"
+    unique = ["our first page tells of rivers and of boats that sail", "the second one has hills and sheep and a lonely tree"]
+    pages = spark.createDataFrame([(k, "http://h.example/x", f"<div>{boiler}</div><div>{u}</div>", 0) for k, u in enumerate(unique)] + [(5, "http://h.example/m", f"<div>{boiler}</div><div>{unique[1]}</div>", 0), (6, None, None, 0), (7, "http://other/", f"<div>{boiler}</div>", 0)], "page_id long, url string, html string, text int")
+    got = {r.page_id: (r.text, r.n_chars) for r in html_extraction.extract(pages).collect()}
+    assert got == {0: (unique[0], len(unique[0])), 1: (unique[1], len(unique[1])), 5: (unique[1], len(unique[1])), 6: ("", 0), 7: (boiler, len(boiler))}
+
+
+def brute_segments(scores):
+    """All maximal segments by their definition, recursively."""
+    best = None
+    for i in range(len(scores)):
+        for j in range(i, len(scores)):
+            s = sum(scores[i : j + 1])
+            if s > 1e-12 and (best is None or s > best[2] + 1e-12):
+                best = (i, j, s)
+    if best is None:
+        return []
+    i, j, s = best
+    return brute_segments(scores[:i]) + [best] + [(a + j + 1, b + j + 1, x) for a, b, x in brute_segments(scores[j + 1 :])]
+
+
+def test_maximal_segments():
+    rng = random.Random(2)
+    for _ in range(200):
+        marks = [(i, rng.choice([0.3, 1.0, 2.17])) for i in range(14) if rng.random() < 0.4]
+        scores = [-0.41] * 14
+        for i, s in marks:
+            scores[i] = s
+        got = toxicity.maximal_segments([i for i, _ in marks], [s for _, s in marks], 0.41)
+        assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in brute_segments(scores)]
+
+
+def test_classifiers_on_the_tables(spark):
+    for name, column in (("op1_quality_classifier", "quality"), ("op9_toxicity", "toxic")):
+        got = QUERIES[name](spark, "/root/testdata/sf0.01")
+        labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+        held = got.join(labels, "doc_id").where("held_out").select(F.avg((F.col("predicted") == F.col(column)).cast("double"))).first()[0]
+        assert held >= 0.95 and got.count() == 1000 and got.where("score is null or score < 0 or score > 1").count() == 0
+
+
+def test_models_without_labels():
+    net, model = quality.fit([], []), toxicity.fit([], [])
+    assert quality.probability(net, None) == 0.5 and toxicity.score_text(model, "") < 0.01
+    assert quality.fit(["a"], [1]) and 0 <= quality.probability(quality.fit(["a"], [1]), "x" * 100_000) <= 1
+    assert language.identify(language.fit({}), ["a", None]) == (["und", "und"], [0.0, 0.0])
+
+
+def test_scores_take_nulls_and_clashing_columns(spark):
+    rows = docs_of(spark, [(1, None), (2, ""), (2, "x"), (None, "y" * 200_000)]).drop("score")
+    assert quality.score(rows, quality.fit([], [])).count() == 4 and toxicity.score(rows, toxicity.Model(), with_passages=True).where("score < 0.5").count() == 4
+
+
+def test_language_phrases_equal_plain_parsing():
+    samples = {"a": ["abra cadabra abracadabra " * 4], "b": ["simsalabim bim sala " * 4]}
+    model = language.fit(samples)
+    text = "Abracada; simsala ABRA xyz"
+    codes = language.encode(model.letters, text)
+    found = language.phrases(model, [codes])[0]
+    for k, lang in enumerate(model.languages):
+        known = language.encode(model.letters, samples[lang][0]).tobytes()
+        data, n, at = codes.tobytes(), 1, 0
+        for i in range(len(data)):
+            if data[at : i + 1] not in known or data[i] == language.UNKNOWN:
+                n, at = n + 1, i
+                if data[i : i + 1] not in known:
+                    at = i + 1
+        assert found[k] == n
+    assert language.identify(model, [None, " 1!", "abra cadabra", "bim sala bim"])[0] == ["und", "und", "a", "b"]
+
+
+def test_permutation_index(spark):
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(600, 16))
+    rows = [(i, x.tolist(), "q") for i, x in enumerate(v)] + [(1000 + i, v[7].tolist(), "q") for i in range(200)]
+    rows += [(2000, None, "q"), (2100, [0.0] * 16, "q"), (2200, [math.nan] * 16, "q"), (2300, [None] * 16, "q"), (2400, [1.0], "q"), (None, v[0].tolist(), "q"), (2500, [math.inf] * 16, "q")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
+    got = permutation_index.search(df, F.col("vec_id") % 100 == 0).toPandas()
+    ids, x = np.array([r[0] for r in rows[:800]]), np.array([r[1] for r in rows[:800]])
+    hits = []
+    for q in ids[ids % 100 == 0]:
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        want = ids[np.lexsort((ids, d))[:10]]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert list(mine["rank"]) == list(range(1, 11))
+        hits.append(len(set(mine.vec_id) & set(want)) / 10)
+        if q >= 1000:
+            assert list(mine.vec_id) == list(want)  # ties of copies: the smallest ids
+    assert np.mean(hits) >= 0.9 and not set(got.query_id) & {2000, 2100, 2200, 2300, 2400, 2500}
+    assert permutation_index.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    before = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and out.count() <= before, name
+    assert corpus_pipeline.run(spark, sf).select("doc_id").distinct().count() > before // 2
