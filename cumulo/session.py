@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 #: Instants are UTC everywhere; AQE splits skewed joins and merges small partitions.
@@ -14,6 +16,10 @@ SETTINGS = {
 
 
 def create(name: str = "cumulo", **more: str) -> SparkSession:
+    # Python workers import this package too, wherever the program was started
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if home not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [home, os.environ.get("PYTHONPATH")]))
     builder = SparkSession.builder.appName(name)
     for key, value in {**SETTINGS, **more}.items():
         builder = builder.config(key, value)
