@@ -271,7 +271,26 @@ def blob_for_point(spark, sf_dir):
     return grid.blob_for_point(cells, ["label", "block"], 0.05, 4, 1.0)
 
 
-@query()
+@query("""WITH e AS (SELECT label, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) AS r, embedding FROM embeddings),
+c AS (SELECT label, r // 64 AS block, r % 64 AS y, generate_subscripts(embedding, 1) - 1 AS x, unnest(embedding) AS v FROM e),
+g AS (SELECT label, block, y, x, CASE WHEN (y * 64 + x) % 53 <> 0 THEN CAST(v AS DOUBLE) END AS v FROM c),
+n AS (SELECT a.label, a.block, a.y, a.x, b.v, row_number() OVER (PARTITION BY a.label, a.block, a.y, a.x ORDER BY (a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x), b.y, b.x) AS k
+  FROM g a JOIN g b ON a.label = b.label AND a.block = b.block AND a.v IS NULL AND b.v IS NOT NULL AND abs(a.y - b.y) <= 3 AND abs(a.x - b.x) <= 3)
+SELECT label, CAST(block AS INTEGER) AS block, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, round(avg(v), 6) AS value FROM n WHERE k <= 4 GROUP BY ALL""")
+def impute_nearest(spark, sf_dir):
+    gone = (F.col("y") * 64 + F.col("x")) % 53 == 0
+    filled = grid.impute_nearest(_cells(spark, sf_dir).withColumn("value", F.when(~gone, F.col("value"))), ["label", "block"])
+    return filled.where(gone).select("label", "block", "y", "x", _r("value", 6).alias("value"))
+
+
+@query("""WITH r AS (SELECT label, vec_id AS ray, (vec_id * 37 % 3600) / 10e0 AS az, CAST(vec_id % 5 AS INTEGER) AS sweep, vec_id % 5 * 7 % 5 AS angle, embedding FROM embeddings),
+s AS (SELECT label, sweep FROM (SELECT label, sweep, row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, angle, sweep) AS k FROM r GROUP BY label, sweep, angle) WHERE k = 1),
+h AS (SELECT r.* FROM r JOIN s USING (label, sweep)),
+c AS (SELECT h.label, h.ray, q.sweep, q.angle, q.embedding, q.ray AS source, round(least((h.az - q.az + 360) % 360, 360 - (h.az - q.az + 360) % 360), 9) AS d FROM h JOIN r q ON h.label = q.label),
+m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label, ray, sweep ORDER BY d, source) AS k FROM c) WHERE k = 1),
+g AS (SELECT label, ray, sweep, angle, generate_subscripts(embedding, 1) AS gate, unnest(embedding) AS v FROM m),
+w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label, ray, gate ORDER BY v DESC, angle, sweep) AS k FROM g) WHERE k = 1)
+SELECT label, ray, CAST(count(*) AS INTEGER) AS n_gates, max(v) AS top, max(sweep) AS last_sweep FROM w GROUP BY 1, 2""")
 def polar_composite(spark, sf_dir):
     found = polar.composite(_rays(spark, sf_dir), ["label"], 360.0)
     return found.select("label", "ray", F.size("values").alias("n_gates"), F.array_max("values").alias("top"), F.array_max("winner_sweep").alias("last_sweep"))
