@@ -131,6 +131,59 @@ def test_similar_texts(spark):
     assert similar_texts.keep_one(docs_of(spark, [])).count() == 0
 
 
+def brute_groups(texts, similarity=0.8):
+    """Components of the links between distinct texts: the smallest index of each."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
+    names = {s: k for k, s in enumerate({x for s in sets for x in s})}
+    has = np.zeros((len(sets), len(names)), np.float32)
+    for k, s in enumerate(sets):
+        has[k, [names[x] for x in s]] = 1
+    shared, size = has @ has.T, has.sum(1)
+    linked = shared >= similarity * (size[:, None] + size[None, :] - shared) - 1e-4
+    label = np.arange(len(sets))
+    while True:
+        new = np.where(linked, label[None, :], len(sets)).min(1)
+        if (new == label).all():
+            return label
+        label = new
+
+
+def test_similar_texts_near_the_threshold_equal_brute_force(spark):
+    rng = random.Random(17)
+    base = [f"w{k}" for k in range(200)]
+    texts = []
+    for k in range(1100):
+        w = list(base)
+        # two edits each: 0.815; two and three: 0.773 unless close; six stand alone
+        for at in rng.sample(range(5, 195), 6 if k % 40 == 39 else 2 if k % 3 else 3):
+            w[at] = f"e{k}x{at}"
+        texts.append(" ".join(w))
+    got = {r.doc_id: r.group_id for r in similar_texts.groups(docs_of(spark, [*enumerate(texts)])).select("doc_id", "group_id").collect()}
+    want = brute_groups(texts)
+    assert [got[k] for k in range(len(texts))] == want.tolist() and 1 < len(set(want)) < len(texts)
+
+
+def test_similar_texts_pairs_across_the_parts_of_a_list(spark, monkeypatch):
+    monkeypatch.setattr(similar_texts, "LIST_ROWS", 7)
+    rng = random.Random(3)
+    texts = []
+    for k in range(150):
+        w = [f"w{i}" for i in range(200)]
+        for at in rng.sample(range(5, 195), 3):
+            w[at] = f"e{k}x{at}"
+        texts.append(" ".join(w))
+    got = {r.doc_id: r.group_id for r in similar_texts.groups(docs_of(spark, [*enumerate(texts)])).select("doc_id", "group_id").collect()}
+    assert [got[k] for k in range(len(texts))] == brute_groups(texts).tolist()
+
+
+def test_best_pairs_take_the_best_of_each_component():
+    tally = np.array([[90, 70], [80, -1], [85, 60]])
+    i, j = similar_texts.best_pairs(tally, np.array([1, 1, 2]), np.array([3, 4]), 1)
+    assert sorted(zip(i.tolist(), j.tolist())) == [(0, 0), (0, 1), (2, 0)]
+    assert len(similar_texts.best_pairs(tally, np.array([1, 1, 2]), np.array([3, 4]), 99)[0]) == 5
+    assert not len(similar_texts.best_pairs(np.full((2, 2), -1), np.array([1, 2]), np.array([3, 4]), 1)[0])
+
+
 def brute_similarity(text, item, k=5):
     import re
 
