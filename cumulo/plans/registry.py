@@ -48,7 +48,7 @@ def _points(spark, sf_dir) -> DataFrame:
 
 
 def _sites(spark, sf_dir) -> DataFrame:
-    s = _t(spark, sf_dir, "supplier").where("s_suppkey < 150")
+    s = _t(spark, sf_dir, "supplier")
     return s.select(F.col("s_suppkey").alias("site"), _lat("s_suppkey", 613).alias("lat"), _lon("s_suppkey", 377).alias("lon"), "s_nationkey")
 
 

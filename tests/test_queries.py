@@ -30,3 +30,39 @@ def test_entry_imports_without_optional_parts():
     import __spark_entry__
 
     assert set(registry.QUERIES) <= set(__spark_entry__.queries())
+
+
+def test_every_site_takes_part(spark, tmp_path):
+    """More sites than 150, against all points times all sites."""
+    import numpy as np
+    import pandas as pd
+
+    sf, day = str(tmp_path), pd.Timedelta(days=1)
+    start = pd.Timestamp("2024-01-01")
+    events = pd.DataFrame({"event_id": range(400)})
+    events = events.assign(user_id=events.event_id % 9, ts=start + (events.event_id * 7 % 25) * day).astype({"ts": "datetime64[us]"})
+    site = np.arange(600)
+    events.to_parquet(f"{sf}/events.parquet")
+    pd.DataFrame({"s_suppkey": site, "s_nationkey": site % 25}).to_parquet(f"{sf}/supplier.parquet")
+    k = events.event_id.to_numpy()
+    a, b, c, d = (np.radians(x) for x in (25 + (k * 37 % 2500) / 100, -125 + (k * 91 % 5800) / 100, 25 + (site * 613 % 2500) / 100, -125 + (site * 377 % 5800) / 100))
+    h = np.sin((c[None] - a[:, None]) / 2) ** 2 + np.cos(a[:, None]) * np.cos(c[None]) * np.sin((d[None] - b[:, None]) / 2) ** 2
+    km = 2 * 6371 * np.arcsin(np.sqrt(h))
+    ts = events.ts.to_numpy()[:, None]
+    days = lambda n: (start.to_datetime64() + n * np.timedelta64(1, "D"))[None]
+    active = ((site % 5 == 0)[None] | (ts >= days(site % 7))) & ((site % 3 == 0)[None] | (ts <= days(site % 7 + 5 + site % 11)))
+
+    def nearest(allowed):
+        reach = np.where(allowed & (km <= 250), km, np.inf)
+        best = reach.argmin(1)
+        return {int(e): (int(s), round(float(x), 3)) for e, s, x in zip(k, best, reach.min(1)) if np.isfinite(x)}
+
+    want = nearest(np.ones_like(active))
+    assert any(s >= 150 for s, _ in want.values())
+    for name, expected in {"nearest_site": want, "nearest_active_site": nearest(active)}.items():
+        got = {r.event_id: (r.radar_site, r.distance_km) for r in registry.QUERIES[name](spark, sf).collect()}
+        assert {e: s for e, (s, _) in got.items()} == {e: s for e, (s, _) in expected.items()}, name
+        assert all(abs(got[e][1] - x) < 1e-2 for e, (_, x) in expected.items()), name
+    for r in registry.QUERIES["nearest_site_sessions"](spark, sf).collect():
+        mine = [want[e] for e in k[k % 9 == r.user_id] if e in want]
+        assert (r.n_points, r.n_sites) == (len(mine), len({s for s, _ in mine}))
