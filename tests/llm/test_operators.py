@@ -131,6 +131,21 @@ def test_similar_texts(spark):
     assert similar_texts.keep_one(docs_of(spark, [])).count() == 0
 
 
+def test_similar_texts_tell_rows_of_one_id_apart(spark):
+    rng = random.Random(8)
+    text = lambda: " ".join(f"v{rng.randint(0, 9999)}" for _ in range(80))
+    near = lambda t: t.rsplit(" ", 1)[0] + " changed"
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b))]  # two distinct documents share an id; each has a near copy
+    rows += [(5, c), (6, d), (6, near(c)), (6, d)]  # one of the rows of 6 is a near copy of 5
+    rows += [(None, near(d)), (None, e), (None, near(e)), (7, f), (7, near(f))]
+    kept = sorted(((r.doc_id or -1, r.text) for r in similar_texts.keep_one(docs_of(spark, rows)).collect()), key=str)
+    nameless = [t for i, t in kept if i == -1]
+    assert [x for x in kept if x[0] in (1, 2, 3, 5, 6)] == sorted([(1, a), (1, b), (5, c), (6, d)], key=str)
+    assert len(nameless) == 1 and nameless[0] in (e, near(e))
+    assert len([i for i, _ in kept if i == 7]) == 1
+
+
 def brute_groups(texts, similarity=0.8):
     """Components of the links between distinct texts: the smallest index of each."""
     sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
