@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,21 +73,21 @@ def unpack(data: bytes, bits: int, count: int) -> np.ndarray:
 
 
 class ShardWriter:
-    """Streams documents into one file; memory holds one block and the document table."""
+    """Streams documents into one file; memory holds one block and the table of documents, in typed arrays."""
 
     def __init__(self, uri: str, vocabulary: int):
         self.file, self.vocabulary, self.bits = AtomicFile(uri), vocabulary, width(vocabulary)
         self.pending: list[np.ndarray] = []
         self.waiting = self.total = self.position = 0
-        self.doc_ids: list[int | None] = []
-        self.ends: list[int] = []
-        self.offsets = [0]
+        # 17 bytes a document, 8 a block
+        self.doc_ids, self.nulls, self.ends, self.offsets = array("q"), bytearray(), array("Q"), array("Q", [0])
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.pending.append(ids)
         self.waiting += len(ids)
         self.total += len(ids)
-        self.doc_ids.append(doc_id)
+        self.doc_ids.append(doc_id or 0)
+        self.nulls.append(doc_id is None)
         self.ends.append(self.total)
         if self.waiting >= 16 * BLOCK_IDS:
             self._flush(False)
@@ -100,20 +101,14 @@ class ShardWriter:
             data = pack(ids[:full], self.bits)
             self.file.write(data)
             step = BLOCK_IDS * self.bits // 8
-            self.offsets += [self.position + min(at + step, len(data)) for at in range(0, len(data), step)]
+            self.offsets.extend(self.position + min(at + step, len(data)) for at in range(0, len(data), step))
             self.position += len(data)
         self.pending, self.waiting = [ids[full:]], len(ids) - full
 
     def close(self) -> int:
         self._flush(True)
-        parts = [
-            np.array([x or 0 for x in self.doc_ids], "<i8"),
-            np.array([x is None for x in self.doc_ids], "u1"),
-            np.array(self.ends, "<u8"),
-            np.array(self.offsets, "<u8"),
-        ]
-        for part in parts:
-            self.file.write(part.tobytes())
+        for part, kind in ((self.doc_ids, "<i8"), (self.nulls, "u1"), (self.ends, "<u8"), (self.offsets, "<u8")):
+            self.file.write(memoryview(np.asarray(part, kind)))
         self.file.write(TRAILER.pack(MAGIC, VERSION, self.bits, BLOCK_IDS, self.vocabulary, self.total, len(self.ends), self.position))
         self.file.commit()
         return self.position

@@ -35,6 +35,8 @@ from .tokenize import encoded
 #: Pieces that one bucket of a length holds on average; the number of buckets follows the input.
 PIECES_PER_BUCKET = 2_000
 LEAST_BUCKETS = 64
+#: Buckets whose counts one task adds up.
+BUCKETS_PER_GROUP = 1_000
 
 
 @dataclass(frozen=True)
@@ -147,8 +149,12 @@ def assign(pieces: DataFrame, limits: Limits) -> DataFrame:
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("__n").alias("n")).collect()}
     plan = solve_best(histogram, limits)
     slots = spark.createDataFrame(plan, "length long, __first long, __last long, __bin long, __each long, __offset long")
-    before = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(F.col("length"), F.col("__bucket"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    # running counts in two levels: over groups of buckets, then over the buckets of a group
+    counts = counts.withColumn("__group", F.floor(F.col("__bucket") / BUCKETS_PER_GROUP))
+    running = lambda key, *of: F.coalesce(F.sum("__n").over(Window.partitionBy(*of).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = counts.groupBy("length", "__group").agg(F.sum("__n").alias("__n")).select("length", "__group", running("__group", "length").alias("__before"))
+    bases = counts.select("length", "__group", "__bucket", running("__bucket", "length", "__group").alias("__inside")).join(groups, ["length", "__group"])
+    bases = bases.select("length", "__bucket", (F.col("__before") + F.col("__inside")).alias("__base"))
     inside = Window.partitionBy("length", "__bucket").orderBy("doc_id", "piece", "ids_crc32")
     ranked = keyed.withColumn("__k", F.row_number().over(inside) - 1).join(bases, ["length", "__bucket"]).withColumn("__rank", F.col("__base") + F.col("__k"))
     within = F.col("__rank") - F.col("__first")

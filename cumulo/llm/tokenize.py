@@ -2,124 +2,115 @@
 
 Both vocabularies used here split a text into words before any merge is applied, and a single
 space between two non-space characters always ends a word. The ids of a text are therefore the
-concatenated ids of its space-separated pieces. Each distinct piece is encoded once per worker by
-the library itself and kept, as little-endian unsigned 32-bit bytes, in a bounded dictionary.
-Texts for which that argument does not hold (adjacent or outer white space, special-token markers,
-anything unprintable) are encoded whole by the library.
+concatenated ids of its space-separated pieces. Each distinct piece is encoded once per worker and
+kept, as little-endian unsigned 32-bit bytes, in a bounded dictionary. A piece that is one run of
+letters is a word by itself, so the library's model encodes it directly; a run of letters followed by
+punctuation is two such words; any other piece goes through the library's whole chain. Texts for which
+the argument does not hold (adjacent or outer white space, special-token markers, anything
+unprintable) are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Callable, Iterator
 from unicodedata import is_normalized
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 from .common import release_memory
 
 #: Pieces kept per worker, in two generations: when the young one is full it becomes the old one, and
 #: what was not used meanwhile goes. Bounds memory, never changes ids.
-CACHE_ENTRIES = 500_000
-#: New pieces encoded in one library call.
-PIECES_PER_CALL = 2_000
+CACHE_ENTRIES = 900_000
+
+#: Letters below are letters to every release of Unicode.
+LAST_LETTER = "\u0500"
 
 #: Separates pieces; texts that hold it are encoded whole.
 CUT = "\x1f"
 
+#: Letters, then punctuation that no rule of either vocabulary joins with letters.
+_ENDED = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")
+
 _MODELS: dict[str, "PieceEncoder"] = {}
 
 
+class _Pieces(dict):
+    """Ids by piece: the young generation, which takes over from the old one what is used again."""
+
+    def __init__(self, learn: Callable[[str], bytes], old: dict):
+        self.learn, self.old = learn, old
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.learn(piece)
+        self[piece] = ids
+        return ids
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte: printable Latin-1 characters
+    stand for themselves, the other bytes, in order, for the code points from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_BYTE_LETTERS = _byte_letters()
+SPACE = _BYTE_LETTERS[ord(" ")]
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.keeps_space = "ByteLevel" in str(type(self.tokenizer.pre_tokenizer))
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        # byte-level vocabularies: a line feed between words is a word of its own and serves as
-        # the separator of a joint call; the others drop white space, so a control character is one
-        self.mark = "\n" if self.keeps_space else " \x00 "
-        self.mark_ids = self._ids(self.mark)
-        self.newline = self._ids("\n").tobytes()
-        self.stops = {c: self._ids(c).tobytes() for c in ".,"}
-        # lower case first, where the vocabulary does that anyway and the order cannot matter
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def _learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), PIECES_PER_CALL):
-            group = pieces[at : at + PIECES_PER_CALL]
-            ids = np.asarray(self.tokenizer.encode_batch_fast([self.mark.join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.mark_ids[0]) if len(self.mark_ids) == 1 else np.empty(0, int)
-            if len(cuts) == len(group) - 1:
-                starts, ends, data = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)], ids.tobytes()
-                self.known.update((piece, data[s:e]) for piece, s, e in zip(group, starts, ends))
-            else:
-                self.known.update((piece, self._ids(piece).tobytes()) for piece in group)
-
-    def _prepared(self, text: str) -> str | None:
-        """The text with its pieces separated by ``CUT``; None if it must be encoded whole."""
+        self.known = _Pieces(self._learn, {})
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, piece: str) -> bytes:
+        word = piece[1:] if self.keeps_space and piece[:1] == " " else piece
+        if word.isalpha() and (self.keeps_space or word.islower()) and (word.isascii() or max(word) < LAST_LETTER):
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            return array("I", [t.id for t in self.model.tokenize(letters if word is piece else SPACE + letters)]).tobytes()
+        if ended := _ENDED.fullmatch(piece):
+            return self.known[ended[1]] + self.known[ended[2]]
+        return self._ids(piece)
+
+    def _pieces(self, text: str) -> list[str] | None:
+        """The pieces of a text; None if it must be encoded whole."""
         flat = text.replace("\n", " ")
         if "  " in flat or flat[0] == " " or flat[-1] == " " or "<|" in flat or not flat.isprintable():
             return None
         if self.keeps_space:
-            return text.replace("\n", CUT + "\n" + CUT).replace(" ", CUT + " ")
-        if self.lowers and "\u03a3" not in flat and is_normalized("NFC", flat):
-            flat = flat.lower()
-        return flat.replace(" ", CUT)
-
-    def _ids_of(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces, from the dictionary where it has them."""
+            # a line feed between words is a word of its own
+            return text.replace("\n", CUT + "\n" + CUT).replace(" ", CUT + " ").split(CUT)
+        # lower case is given here, as the vocabulary does; a capital sigma's depends on what follows it
+        if not self.lowers or "Σ" in flat or not is_normalized("NFC", flat):
+            return None
+        return flat.lower().split(" ")
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit bytes; null counts as empty."""
+        if not text:
+            return b""
+        pieces = self._pieces(text)
+        if pieces is None:
+            return self._ids(text)
         if len(self.known) >= CACHE_ENTRIES // 2:
-            self.old, self.known = self.known, {}
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            missing = [w for w, ids in zip(pieces, found) if ids is None]
-            self.known.update((w, ids) for w, ids in zip(missing, map(self.old.get, missing)) if ids is not None)
-            self.known |= {"": b"", "\n": self.newline}
-            fresh = set(missing) - self.known.keys()
-            # a full stop or comma after a letter is a word of its own: such pieces follow from their stems
-            ends = {w for w in fresh if w[-1] in ".," and w[-2:-1].isalpha()}
-            self._learn(list((fresh - ends) | ({w[:-1] for w in ends} - self.known.keys())))
-            known = self.known
-            known.update((w, known[w[:-1]] + self.stops[w[-1]]) for w in ends)
-            found = [known[w] if ids is None else ids for w, ids in zip(pieces, found)]
-        return found
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit bytes; null counts as empty."""
-        out: list[bytes] = [b""] * len(texts)
-        rows, ready = [], []
-        for i, text in enumerate(texts):
-            if text and (cut := self._prepared(text)) is not None:
-                rows.append(i)
-                ready.append(cut)
-            elif text:
-                out[i] = self._ids(text).tobytes()
-        if not rows:
-            return out
-        split = pc.split_pattern(pa.array(ready, pa.large_string()), CUT)
-        coded = split.flatten().dictionary_encode()
-        ids = self._ids_of(coded.dictionary.to_pylist())
-        # lay the ids of all pieces end to end, by one gather from those of the distinct pieces
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(sizes) - sizes
-        which = coded.indices.to_numpy()
-        lengths = sizes[which]
-        ends = np.cumsum(lengths)
-        take = np.repeat(starts[which] - (ends - lengths), lengths) + np.arange(ends[-1])
-        data = memoryview(np.frombuffer(b"".join(ids), "<u4")[take].tobytes())
-        bounds = 4 * np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        for i, a, b in zip(rows, bounds[:-1].tolist(), bounds[1:].tolist()):
-            out[i] = bytes(data[a:b])
-        return out
+            self.known.old = {}
+            self.known = _Pieces(self._learn, self.known)
+        return b"".join(map(self.known.__getitem__, pieces))
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -129,18 +120,18 @@ def encoder(path: str) -> PieceEncoder:
     return _MODELS[path]
 
 
-def encoded(rows: Iterator[pa.RecordBatch], path: str, at_most: int = 8 << 20) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids, token bytes) of (id, text) batches, regrouped to about so many characters a call."""
-    codec, ids, texts, size = encoder(path), [], [], 0
+def encoded(rows: Iterator[pa.RecordBatch], path: str, at_most: int = 4 << 20) -> Iterator[tuple[list, list[bytes]]]:
+    """(ids, token bytes) of (id, text) batches, in groups of about so many characters."""
+    codec, ids, found, size = encoder(path), [], [], 0
     for batch in rows:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids.append(doc_id)
-            texts.append(text)
+        for doc_id, text in zip(batch.column(0), batch.column(1)):
+            text = text.as_py()
+            ids.append(doc_id.as_py())
+            found.append(codec.encode(text))
             size += len(text or "")
             if size >= at_most:
-                yield ids, codec.encode(texts)
-                ids, texts, size = [], [], 0
-                release_memory()
-    if texts:
-        yield ids, codec.encode(texts)
+                yield ids, found
+                ids, found, size = [], [], 0
+    if ids:
+        yield ids, found
     release_memory()
