@@ -46,30 +46,66 @@ def test_bit_packing_round_trip(bits):
 
 
 def test_token_files(spark, tmp_path):
-    rows = [(5, prose(6000)), (1, None), (3, ""), (2, prose(9)), (2, prose(9)), (None, "x")]
+    rows = [(5, prose(60_000)), (1, None), (3, ""), (2, prose(9)), (2, prose(9)), (None, "x")]
     folder = f"file://{tmp_path}/ids"
     manifest = bitpack.write(docs_of(spark, rows), folder, tokenizer_path(BYTE), 2, 50257)
     got = bitpack.read_index(spark, manifest).orderBy("start").collect()
     assert [r.doc_id for r in got] == [None, 1, 2, 2, 3, 5]
     assert [r.start for r in got] == list(np.cumsum([0, *[r.n_tokens for r in got[:-1]]]))
-    codec = tokenize.encoder(tokenizer_path(BYTE))
-    want = codec.encode(rows[0][1]) + np.array([2], "<u4").tobytes()
-    assert got[-1].ids_crc32 == zlib.crc32(want) and got[1].n_tokens == 1
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path(BYTE))
+    ids = [np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for _, t in sorted(rows, key=lambda r: (r[0] or 0, r[1] or ""))]
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x) // 4, zlib.crc32(x)) for x in ids]
+    want = ids[-1]
     reader = bitpack.ShardReader(got[-1].path)
     assert reader.document(len(reader.ends) - 1).tobytes() == want
     assert bitpack.encode_and_read_back(docs_of(spark, []), tokenizer_path(BYTE), 2, 50257).count() == 0
 
 
+def best_fit_decreasing(lengths, capacity=2048):
+    """Bins of plain best fit, piece by piece."""
+    free = []
+    for n in sorted(lengths, reverse=True):
+        fits = [f for f in free if f >= n]
+        if fits:
+            free.remove(min(fits))
+            free.append(min(fits) - n)
+        else:
+            free.append(capacity - n)
+    return len(free)
+
+
 def test_packing(spark):
-    rows = [(i, prose(RNG.randint(0, 900))) for i in range(150)] + [(7, "same"), (7, "same"), (None, None), (900, prose(5000))]
+    from tokenizers import Tokenizer
+
+    rng = random.Random(5)
+    rows = [(i, prose(rng.randint(0, 900), rng)) for i in range(150)] + [(7, "same"), (7, "same"), (None, None), (900, prose(40_000, rng))]
     got = packing.pack_documents(docs_of(spark, rows), tokenizer_path(WORD)).toPandas()
-    assert got.length.max() <= 2048
     for _, s in got.sort_values("offset").groupby("sequence_id"):
         assert list(s.offset) == list(np.cumsum([0, *s.length[:-1]])) and s.length.sum() <= 2048
-    assert got.sequence_id.nunique() <= math.ceil(got.length.sum() / 2048) + 2
+    assert got.sequence_id.nunique() <= best_fit_decreasing(got.length)
+    # every piece against the library
+    library, want = Tokenizer.from_file(tokenizer_path(WORD)), []
+    for i, t in rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        for k, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at : at + 2048]
+            want.append((-1 if i is None else i, k, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+    columns = got.assign(doc_id=got.doc_id.fillna(-1).astype(int))[["doc_id", "piece", "start", "length", "ids_crc32"]]
+    assert sorted(map(tuple, columns.values.tolist())) == sorted(want)
     assert packing.pack_documents(docs_of(spark, []), tokenizer_path(WORD)).count() == 0
 
 
+def test_packing_ranks_pieces_over_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKETS_PER_GROUP", 5)
+    pieces = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(1).alias("ids_crc32"), F.when(F.col("id") % 3 == 0, 900).otherwise(500).cast("long").alias("length"))
+    got = packing.assign(pieces, packing.Limits()).toPandas()
+    assert len(got) == 3000 and not got.duplicated(["sequence_id", "offset"]).any()
+    for _, s in got.sort_values("offset").groupby("sequence_id"):
+        assert list(s.offset) == list(np.cumsum([0, *s.length[:-1]])) and s.length.sum() <= 2048
+
+
 def test_packing_keeps_every_limit():
     limits = packing.Limits(tokens=100, documents=3, attention=5000)
     histogram = {50: 7, 40: 3, 10: 20, 1: 11}
@@ -183,6 +219,8 @@ def test_similar_texts_near_the_threshold_equal_brute_force(spark):
 
 def test_similar_texts_pairs_across_the_parts_of_a_list(spark, monkeypatch):
     monkeypatch.setattr(similar_texts, "LIST_ROWS", 7)
+    monkeypatch.setattr(similar_texts, "BLOCK_ROWS", 9)
+    monkeypatch.setattr(similar_texts, "BROADCAST_ROWS", 20)  # and by the joins of larger tables
     rng = random.Random(3)
     texts = []
     for k in range(150):
@@ -194,12 +232,16 @@ def test_similar_texts_pairs_across_the_parts_of_a_list(spark, monkeypatch):
     assert [got[k] for k in range(len(texts))] == brute_groups(texts).tolist()
 
 
-def test_best_pairs_take_the_best_of_each_component():
-    tally = np.array([[90, 70], [80, -1], [85, 60]])
-    i, j = similar_texts.best_pairs(tally, np.array([1, 1, 2]), np.array([3, 4]), 1)
-    assert sorted(zip(i.tolist(), j.tolist())) == [(0, 0), (0, 1), (2, 0)]
-    assert len(similar_texts.best_pairs(tally, np.array([1, 1, 2]), np.array([3, 4]), 99)[0]) == 5
-    assert not len(similar_texts.best_pairs(np.full((2, 2), -1), np.array([1, 2]), np.array([3, 4]), 1)[0])
+def test_similar_texts_hold_a_large_group_of_near_copies(spark):
+    rng = random.Random(29)
+    texts = []
+    for k in range(3000):
+        w = [f"w{i}" for i in range(120)]
+        for at in rng.sample(range(5, 115), 1 if k % 2 else 2):
+            w[at] = f"e{k}x{at}"
+        texts.append(" ".join(w))
+    got = {r.doc_id: r.group_id for r in similar_texts.groups(docs_of(spark, [*enumerate(texts)])).select("doc_id", "group_id").collect()}
+    assert [got[k] for k in range(len(texts))] == brute_groups(texts).tolist()
 
 
 def brute_similarity(text, item, k=5):
