@@ -406,6 +406,44 @@ def test_permutation_index(spark):
     assert permutation_index.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_permutation_index_adds_up_the_footrule():
+    rng = np.random.default_rng(4)
+    v, pivots = rng.normal(size=(50, 8)), rng.normal(size=(300, 8))
+    order = permutation_index.orders(v, pivots)
+    m = permutation_index.PLACES
+    by_pivot = np.argsort(order.ravel(), kind="stable")
+    starts = np.searchsorted(order.ravel()[by_pivot], np.arange(301))
+    got = permutation_index.shared_places(50, order[0], by_pivot // m, by_pivot % m, starts)
+    place = np.full((50, 300), m)
+    for i, o in enumerate(order):
+        assert (o == np.lexsort((np.arange(300), ((v[i] - pivots) ** 2).sum(1)))[:m]).all()
+        place[i, o] = np.arange(m)
+    footrule = np.abs(place - place[0]).sum(1)
+    assert (m * (m + 1) - 2 * got == footrule).all()
+
+
+def test_permutation_index_keeps_dimensions_apart(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3 if i % 2 else 5).tolist()) for i in range(300)]
+    got = permutation_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id").isin(10, 11), k=4).collect()
+    for q in (10, 11):
+        d = sorted((float(np.linalg.norm(np.subtract(v, rows[q][1]))), i) for i, v in rows if i != q and len(v) == len(rows[q][1]))[:4]
+        assert [(r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == [(pytest.approx(x), i) for x, i in d]
+
+
+def test_permutation_index_recall_on_the_tables(spark):
+    embeddings = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    got = QUERIES["op10_permutation_index"](spark, "/root/testdata/sf0.1").toPandas()
+    rows = permutation_index.usable(embeddings).collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.v for r in rows])
+    hits = []
+    for q in ids[ids % 100 == 0]:
+        d = np.sqrt(((x - x[ids == q][0]) ** 2).sum(1))
+        d[ids == q] = np.inf
+        hits.append(len(set(got[got.query_id == q].vec_id) & set(ids[np.lexsort((ids, d))[:10]])) / 10)
+    assert np.mean(hits) >= 0.93
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
