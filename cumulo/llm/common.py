@@ -90,6 +90,27 @@ def release_memory() -> None:
         pass  # another C library
 
 
+def grouped(batches, keys: int):
+    """Tables of consecutive rows that agree in the first ``keys`` (integer) columns, from Arrow batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(keys)], 1)
+        starts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, len(key)].tolist()
+        for start, stop in zip(starts[:-1], starts[1:]):
+            if last is not None and (key[start] != last).any():
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key[start]
+            held.append(batch.slice(start, stop - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 # --- files in the shared folder -------------------------------------------------------------
 
 

@@ -306,11 +306,11 @@ def test_html_structure():
     page = """<html><head><title>T</title></head><body><nav><ul><li>Menu<li>More</ul></nav><div class="cookie-notice">We use cookies</div>
     <article><header class="x"><h1>Head &amp; line</h1><span>By me</span></header><p>One <b>two</b>
      three<br>four<p>Five<div class="ad">Buy</div><script>var a="</p>";</script><form>Mail</form><section id="comments"><p>First!</p></section></article><aside>Side</aside><footer>&copy; me"""
-    marked, kept, _ = html_extraction.split_page(page)
-    assert marked and kept == ["Head & line", "One two three four", "Five"]
+    kept, free, aside = html_extraction.split_page(page)
+    assert kept == ["Head & line", "One two three four", "Five"] and not any(free) and "More" in aside
     for broken in (None, "", "<", "<p", "<article><p>a <b", "text only", '<p class="a>b'):
         html_extraction.split_page(broken)
-    assert html_extraction.split_page("text &lt;only&gt;")[1] == ["text <only>"]
+    assert html_extraction.split_page("text &lt;only&gt;") == (["text <only>"], [True], [])
 
 
 def test_html_suffixes_drop_what_repeats(spark):
@@ -321,6 +321,64 @@ def test_html_suffixes_drop_what_repeats(spark):
     assert got == {0: (unique[0], len(unique[0])), 1: (unique[1], len(unique[1])), 5: (unique[1], len(unique[1])), 6: ("", 0), 7: (boiler, len(boiler))}
 
 
+def test_html_keeps_what_an_article_is_about(spark):
+    body = lambda n: f"""<article><p>Page {n} has a story of its own, which goes on.</p><section class="related-work"><p>Others {n} studied this {n} before us {n} and found {n} little</p></section>
+    <p id="share-price">The share price of {n} fell by {n} while {n} rose by {n}</p><math><mi>x{n}</mi></math><div class="site-footer">gone {n}</div><ul class="adSlot3"><li>gone</ul>
+    <div class="newsletter-joys">join the many readers who get our letter each day</div></article>"""
+    pages = spark.createDataFrame([(n, "https://h/x", body(n)) for n in range(4)] + [(9, "https://other/", body(9))], "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n\n") for r in html_extraction.extract(pages).collect()}
+    for n in (0, 1, 2, 3, 9):
+        letter = ["join the many readers who get our letter each day"] if n == 9 else []  # the host repeats it
+        assert got[n] == [f"Page {n} has a story of its own, which goes on.", f"Others {n} studied this {n} before us {n} and found {n} little", f"The share price of {n} fell by {n} while {n} rose by {n}", f"x{n}", *letter]
+
+
+def test_html_near_copies_do_not_erase_each_other(spark):
+    text = [f"word{i}" for i in range(60)]
+    near = [*text[:30], "other", *text[31:]]
+    pages = spark.createDataFrame([(1, "http://h/", " ".join(text)), (2, "http://h/", " ".join(near)), (3, "http://h/", " ".join(text))], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extraction.extract(pages).collect()}
+    assert got == {1: " ".join(text), 2: " ".join(near), 3: " ".join(text)}
+
+
+def brute_runs(pages, run):
+    """Runs of tokens and the pages (of distinct streams) that hold them."""
+    found = {}
+    for _, blocks in pages:
+        stream = [w for t, _ in blocks for w in t.split(" ")]
+        for i in range(len(stream) - run + 1):
+            found.setdefault(" ".join(stream[i : i + run]), set()).add(" ".join(stream))
+    return found
+
+
+@pytest.mark.parametrize("run", [1, 2, 3, 5, 8])
+def test_suffix_runs_equal_brute_force(run):
+    rng = random.Random(run)
+    pages = [(k, [(" ".join(rng.choices("ab c d".split(), k=rng.randint(1, 9))), rng.random() < 0.5) for _ in range(rng.randint(0, 4))]) for k in range(30)]
+    pages = [(k, b) for k, b in pages if b] + [(99, pages[0][1] or [("a", True)])]
+    got = {text: (least != most, n, sorted(starts)) for text, least, most, n, starts in html_extraction.suffix_runs(pages, run)}
+    want = brute_runs(pages, run)
+    assert got.keys() == want.keys()
+    for text, streams in want.items():
+        marks = [(row, i) for row, blocks in pages for i in range(99) if " ".join([w for t, _ in blocks for w in t.split(" ")][i : i + run]) == text and [f for t, f in blocks for _ in t.split(" ")][i]]
+        assert got[text] == (len(streams) > 1, len(streams), sorted(marks))
+
+
+def test_html_runs_across_the_blocks_of_a_host(spark, monkeypatch):
+    monkeypatch.setattr(html_extraction, "BLOCK_CHARS", 150)
+    boiler = "every page of ours says these nine words too"
+    pages = spark.createDataFrame([(n, "http://h/", f"<div>{boiler}</div><div>{n} is only here</div>") for n in range(20)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_extraction.extract(pages).collect()} == {n: f"{n} is only here" for n in range(20)}
+
+
+@pytest.mark.parametrize("html", ["<div>" * 60_000 + "</p>" * 60_000, '<a "' * 80_000, '<a "' * 80_000 + ">", "<ul><li><ul>" + "<div>" * 40_000 + "<li></li>" * 40_000, "<p>" * 80_000 + "<", """<a '"<b """ * 40_000 + "x>y", "<" * 100_000, "<!-" * 50_000])
+def test_html_is_parsed_in_linear_time(html):
+    import time
+
+    began = time.process_time()
+    html_extraction.split_page(html)
+    assert time.process_time() - began < 5
+
+
 def brute_segments(scores):
     """All maximal segments by their definition, recursively."""
     best = None
