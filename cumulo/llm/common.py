@@ -65,6 +65,21 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Parts that the join of a hot key is dealt to.
+SALTS = 32
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, rows: int, how: str = "inner") -> DataFrame:
+    """Join with ``right`` (a row a key): broadcast up to ``rows`` rows, else every key dealt to SALTS parts, and
+    rows without a key spread evenly."""
+    small = small_side(right, rows)
+    if small is not right:
+        return left.join(small, key, how)
+    spread = F.xxhash64(*[c for c in left.columns if c != key] or [key])
+    salted = left.withColumn("__salt", F.when(F.col(key).isNull(), spread).otherwise(F.pmod(spread, F.lit(SALTS))))
+    return salted.join(right.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), [key, "__salt"], how).drop("__salt")
+
+
 #: Rows in an Arrow batch between Spark and Python: with long texts the default of 10,000 is too many.
 ARROW_ROWS = 1_000
 

@@ -11,8 +11,9 @@ the restart at the root and a mark that a phrase ended. Many stretches of text a
 side, one character of each per numpy step. Stretches of ``STRETCH`` characters cover the whole text.
 
 Defined cases: null text, or no letter -> ``und`` and score 0; no labelled text -> ``und`` and score 0
-for all; ties go to the language that sorts first; repeated rows -> one result each; extra columns
-are ignored.
+for all; ties go to the language that sorts first; very long texts -> parsed in stretches, as all are;
+repeated rows -> one result each; empty table -> no rows; extra columns are kept, but for those of the
+result's names.
 """
 
 from __future__ import annotations
@@ -194,7 +195,7 @@ def fit_model(docs: DataFrame, allowed) -> Model:
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred and score, from the whole text alone."""
+    """``docs`` with lang_pred and score, from the whole text alone; columns of these names give way."""
     shared = bound_batches(docs).sparkSession.sparkContext.broadcast(model)  # bounded by the fit's bounds
 
     @F.pandas_udf("lang_pred string, score double")
@@ -204,4 +205,5 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         languages, scores = identify(shared.value, texts.tolist())
         return pd.DataFrame({"lang_pred": languages, "score": scores})
 
-    return docs.withColumn("__language", identified(F.col("text"))).select(*docs.columns, "__language.lang_pred", "__language.score")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    return docs.withColumn("__language", identified(F.col("text"))).select(*kept, "__language.lang_pred", "__language.score")

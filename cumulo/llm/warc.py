@@ -8,8 +8,8 @@ concurrent-to identifiers, in whichever direction they point, into one nested ro
 
 Equal payloads of at least ``LEAST_REVISIT`` bytes: the row with the largest page_id is the response,
 the others are revisits that refer to it. That choice is an aggregate of (digest, page_id) joined
-back on the digest; the digest that a third of all pages share is an ordinary join key, whose join
-Spark can split.
+back on the digest: broadcast if few digests repeat, else dealt by a salt, as one digest may be that of a
+third of all pages, and rows without one are spread.
 
 Defined cases: null html -> empty payload; null page_id -> written, a revisit if an equal payload has
 an id; rows equal in page_id and payload -> all of them responses (or all revisits); empty table -> no
@@ -30,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import AtomicFile, bound_batches, fresh_path, make_folder, materialize, open_input
+from .common import AtomicFile, bound_batches, fresh_path, hot_join, make_folder, materialize, open_input
 
 LEAST_REVISIT = 1_000
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 5
+#: Rows (of two columns) up to which a side is broadcast, after counting them.
+BROADCAST_ROWS = 200_000
 #: Bytes read from a file at a time.
 CHUNK = 1 << 20
 
@@ -93,7 +95,8 @@ def write(pages: DataFrame, folder: str, date: str | None = None) -> list[str]:
     rows = rows.withColumn("digest", F.when(F.octet_length("payload") >= LEAST_REVISIT, F.sha1("payload")))
     equal = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.max("page_id").alias("first_id"), F.count("*").alias("copies"))
     equal = materialize(equal.where("copies > 1").select("digest", "first_id"), "equal-payloads")
-    rows = rows.join(equal, "digest", "left").select("page_id", "url", "payload", "first_id", (F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))).alias("is_revisit"))
+    again = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    rows = hot_join(rows, equal, "digest", BROADCAST_ROWS, "left").select("page_id", "url", "payload", "first_id", again.alias("is_revisit"))
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -243,5 +246,6 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     whole = assemble(materialize(read(spark, paths, with_payload=False), "warc-records"))
     page = F.expr("try_cast(metadata.fields['page-id'] as bigint)")
     rows = materialize(whole.select("capture_id", page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to_record"), "captures")
-    first = materialize(rows.where("record_type = 'response'").groupBy(F.col("capture_id").alias("refers_to_record")).agg(F.max("page_id").alias("refers_to")), "responses")
-    return rows.join(first, "refers_to_record", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    named = rows.where("refers_to_record is not null").select("refers_to_record").distinct()
+    first = materialize(rows.where("record_type = 'response'").groupBy(F.col("capture_id").alias("refers_to_record")).agg(F.max("page_id").alias("refers_to")).join(named, "refers_to_record", "left_semi"), "responses")
+    return hot_join(rows, first, "refers_to_record", BROADCAST_ROWS, "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

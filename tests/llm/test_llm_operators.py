@@ -295,6 +295,15 @@ def test_warc(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_joins_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    texts = ["a" * 1200, "b" * 1200, "c" * 3_000_000]
+    pages = spark.createDataFrame([(k, "u", texts[k % 3] if k < 40 else f"tiny {k}") for k in range(60)], "page_id long, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes) for r in warc.round_trip(pages).collect()}
+    last = {k: max(i for i in range(40) if i % 3 == k) for k in range(3)}
+    assert got == {k: ("response" if k >= 40 or k == last[k % 3] else "revisit", None if k >= 40 or k == last[k % 3] else last[k % 3], len(texts[k % 3]) if k < 40 else len(f"tiny {k}")) for k in range(60)}
+
+
 def test_warc_links_in_either_direction(spark):
     rec = lambda kind, i, *c: (i, kind, list(c), "u", "d", None, None, None, {}, None)
     found = spark.createDataFrame([rec("response", "r", "q"), rec("request", "q"), rec("metadata", "m", "r")], "record_id string, type string, concurrent_to array<string>, target_uri string, date string, refers_to string, payload_digest string, payload_bytes long, fields map<string,string>, payload binary")
