@@ -57,7 +57,7 @@ def _r(c, digits: int = 4) -> Column:
 
 
 P = "(SELECT *, 25e0 + (event_id * 37 % 2500) / 100e0 AS latitude, -125e0 + (event_id * 91 % 5800) / 100e0 AS longitude FROM events)"
-S = "(SELECT s_suppkey AS site, 25e0 + (s_suppkey * 613 % 2500) / 100e0 AS lat, -125e0 + (s_suppkey * 377 % 5800) / 100e0 AS lon FROM supplier WHERE s_suppkey < 150)"
+S = "(SELECT s_suppkey AS site, 25e0 + (s_suppkey * 613 % 2500) / 100e0 AS lat, -125e0 + (s_suppkey * 377 % 5800) / 100e0 AS lon FROM supplier)"
 
 
 def _km(a: str, b: str, c: str, d: str) -> str:
@@ -71,7 +71,7 @@ _NEAR = f"""near AS (SELECT * FROM (SELECT p.*, site, {_km('p.latitude', 'p.long
 
 @query(f"WITH {_NEAR} SELECT event_id, site AS radar_site, round(d, 4) AS distance_km FROM near")
 def nearest_site(spark, sf_dir):
-    near = sites.nearest_only(_points(spark, sf_dir), _sites(spark, sf_dir), 250.0, ["event_id"])
+    near = sites.nearest_active_site(_points(spark, sf_dir), _sites(spark, sf_dir), 250.0)
     return near.select("event_id", "radar_site", _r("distance_to_site").alias("distance_km"))
 
 
@@ -84,7 +84,7 @@ def nearest_active_site(spark, sf_dir):
     start = F.when(F.col("site") % 5 != 0, day(F.col("site") % 7))
     end = F.when(F.col("site") % 3 != 0, day(F.col("site") % 7 + 5 + F.col("site") % 11))
     s = _sites(spark, sf_dir).withColumn("active_ranges", F.array(F.struct(start.alias("start"), end.alias("end"))))
-    found = sites.nearest_active_site(_points(spark, sf_dir), s, 250.0, "event_id", "ts")
+    found = sites.nearest_active_site(_points(spark, sf_dir), s, 250.0, "ts")
     return found.select("event_id", "radar_site", _r("distance_to_site").alias("distance_km"))
 
 
@@ -101,7 +101,7 @@ def track_sessions(spark, sf_dir):
 @query(f"""WITH {_NEAR}, {_CLUSTERS.format(gap=6, rows='near')}
 SELECT user_id, count(*) AS n_points, count(DISTINCT cluster) AS n_sessions, count(DISTINCT site) AS n_sites, round(max(d), 4) AS farthest_km FROM c GROUP BY user_id""")
 def nearest_site_sessions(spark, sf_dir):
-    near = sites.nearest_only(_points(spark, sf_dir), _sites(spark, sf_dir), 250.0, ["event_id", "user_id", "ts"])
+    near = sites.nearest_active_site(_points(spark, sf_dir).select("event_id", "user_id", "ts", "latitude", "longitude"), _sites(spark, sf_dir), 250.0)
     found = sessions.gap_sessions(near, 6 * 3600, "user_id", "ts", ("event_id",))
     return found.groupBy("user_id").agg(F.count("*").alias("n_points"), F.countDistinct("cluster").alias("n_sessions"), F.countDistinct("radar_site").alias("n_sites"), _r(F.max("distance_to_site")).alias("farthest_km"))
 
@@ -316,8 +316,12 @@ def stationary_bbox(spark, sf_dir):
 
 _FILES = """(SELECT doc_id, n_chars, 'K' || lpad(CAST(doc_id % 20 AS VARCHAR), 3, '0') || '_' || CAST(doc_id % 7 AS VARCHAR) || CASE WHEN doc_id % 3 = 0 THEN '_context_T' || CAST(doc_id % 50 AS VARCHAR) WHEN doc_id % 11 = 0 THEN '_bad-name'
   ELSE '_' || CASE WHEN doc_id % 2 = 0 THEN 'reflectivity' ELSE 'velocity' END || '_T' || CAST(doc_id % 50 AS VARCHAR) || '_64x' || CAST(doc_id % 9 + 1 AS VARCHAR) || 'x1ch' END || '_20220101T000000Z_20220101T000100Z.h5' AS name FROM documents)"""
-_FILE_RE = r"^([A-Z0-9]{4})_(\d+?)_(context|[a-zA-Z0-9_]+?)(?:_T(\d+))?(?:_(\d+)x(\d+)x(\d+)ch)?_(\d{8}T\d{6}Z)_(\d{8}T\d{6}Z)\.(?:h5|parquet)$"
-_PARTS = ", ".join(f"nullif(regexp_extract(name, '{_FILE_RE}', {k}), '') AS {n}" for k, n in enumerate(("site", "storm", "kind", "t", "h", "w", "c", "t0", "t1"), 1))
+# the names' pieces by position, as those above are built
+_PIECE = "string_split(replace(name, '.h5', ''), '_')"
+_SIDE = f"string_split(replace({_PIECE}[5], 'ch', ''), 'x')"
+_SHAPED = f"len({_PIECE}) = 7"
+_PIECES = {"site": f"{_PIECE}[1]", "storm": f"{_PIECE}[2]", "kind": f"{_PIECE}[3]", "t": f"replace({_PIECE}[4], 'T', '')", "h": f"CASE WHEN {_SHAPED} THEN {_SIDE}[1] END", "w": f"CASE WHEN {_SHAPED} THEN {_SIDE}[2] END", "c": f"CASE WHEN {_SHAPED} THEN {_SIDE}[3] END", "t0": f"{_PIECE}[-2]", "t1": f"{_PIECE}[-1]"}
+_PARTS = ", ".join(f"CASE WHEN {_PIECE}[3] <> 'bad-name' THEN {sql} END AS {n}" for n, sql in _PIECES.items())
 
 
 def _files(spark, sf_dir) -> DataFrame:
