@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,12 +28,24 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SHARED:
         _LOCAL_SHARED[app] = tempfile.mkdtemp(prefix="cumulo-shared-")
+        atexit.register(shutil.rmtree, _LOCAL_SHARED[app], ignore_errors=True)
     return "file://" + _LOCAL_SHARED[app]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the shared folder."""
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/cumulo-{spark.sparkContext.applicationId}"
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete all intermediate tables and files of this application. Frames that operators returned read from
+    them, so call it when results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -85,7 +99,8 @@ ARROW_ROWS = 1_000
 
 
 def bound_batches(df: DataFrame) -> DataFrame:
-    """Lower the session's Arrow batch size to ARROW_ROWS, if it is larger; ``df`` as it is."""
+    """Lower the session's Arrow batch size to ARROW_ROWS, if it is larger; ``df`` as it is. The setting stays, as
+    it is read when the frame is run, which may be long after this call."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(df.sparkSession.conf.get(key)) <= ARROW_ROWS:
         df.sparkSession.conf.set(key, str(ARROW_ROWS))

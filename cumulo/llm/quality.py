@@ -8,7 +8,8 @@ taken, and a logistic unit combines both into one probability. Fitting is plain
 
 Defined cases: null or empty text -> the probability of a text without bytes (zero features); texts
 shorter than a filter are padded; no labelled row of one class -> every score is the share of label 1
-(0.5 without any label); repeated rows -> one result each; extra columns are ignored.
+(0.5 without any label); a probability of just 0.5 counts as label 1; very long texts -> convolved a block
+at a time; repeated rows -> one result each; empty table -> no rows; extra columns are kept, but for ``score``.
 """
 
 from __future__ import annotations
@@ -167,7 +168,8 @@ def fit_network(docs: DataFrame, labels: DataFrame, allowed, label_column: str =
 
 
 def score(docs: DataFrame, net: Network) -> DataFrame:
-    """``docs`` with a column ``score``: the probability of label 1, from the whole text alone."""
+    """``docs`` with a column ``score``: the probability of label 1, from the whole text alone. A column of this
+    name gives way."""
     shared = bound_batches(docs).sparkSession.sparkContext.broadcast(net)  # a few thousand numbers
 
     @F.pandas_udf("double")
@@ -176,4 +178,5 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
 
         return pd.Series([probability(shared.value, t) for t in texts], dtype="float64")
 
-    return docs.withColumn("score", probabilities(F.col("text")))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != "score"]
+    return docs.select("*", probabilities(F.col("text")).alias("__score")).select(*kept, F.col("__score").alias("score"))

@@ -11,7 +11,9 @@ probability, with those of all further significant segments, makes the evidence;
 logistic curve, fitted on the same sample, turns it into a probability.
 
 Defined cases: null or empty text, or no scored token -> the score of zero evidence; no labelled row
-of one class -> every score is 0; too few rows for any token to be significant -> one score below 0.5; repeated rows -> one result each; extra columns are ignored.
+of one class -> every score is 0; so few rows that no token is significant at all -> one score below 0.5;
+a score of just 0.5 counts as toxic; very long texts -> one linear pass; repeated rows -> one result each;
+empty table -> no rows; extra columns are kept, but for those of the result's names.
 """
 
 from __future__ import annotations
@@ -37,6 +39,9 @@ FIT_CLEAN, FIT_TOXIC, FIT_CHARS, MODEL_TOKENS = 8_000, 4_000, 20_000, 20_000
 PRIOR_SHARE, LEAST_Z, PENALTY = 0.05, 2.0, 0.25
 #: Chance, over the whole vocabulary, that a token passes though it is as frequent in either class.
 CHANCE = 0.01
+#: So many tokens count even if less sure, from this share of the vocabulary's logarithm on (at 1, chance would
+#: let one token of the vocabulary pass).
+LEAST_TOKENS, LEAST_STRENGTH = 10, 0.75
 #: A further segment counts if its own tail probability is at most this.
 SEGMENT_P = 1e-3
 
@@ -138,22 +143,26 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     nt, nc = sum(toxic.values()), sum(clean.values())
     prior = PRIOR_SHARE * (nt + nc)
     q = sum(labels) / len(labels)
-    needed = math.log(len(toxic.keys() | clean.keys()) / CHANCE)
-    ranked = []
+    vocabulary = len(toxic.keys() | clean.keys())
+    needed = math.log(vocabulary / CHANCE)
+    found = []
     for word, t in toxic.items():
         c = clean.get(word, 0)
         n = t + c
         share = t / n
         # Chernoff's bound on drawing t toxic documents of n
-        if share <= q or n * (share * math.log(share / q) + ((1 - share) * math.log((1 - share) / (1 - q)) if c else 0)) < needed:
+        strength = 0.0 if share <= q else n * (share * math.log(share / q) + ((1 - share) * math.log((1 - share) / (1 - q)) if c else 0))
+        if strength < LEAST_STRENGTH * math.log(vocabulary):
             continue
         a = n * PRIOR_SHARE
         odds = math.log((t + a) / (nt + prior - t - a)) - math.log((c + a) / (nc + prior - c - a))
         z = odds / math.sqrt(1 / (t + a) + 1 / (c + a))
-        if z >= LEAST_Z:
-            ranked.append((-z, word, min(odds, 8.0)))
-    ranked.sort()
-    model.scores = {word: odds for _, word, odds in ranked[:MODEL_TOKENS]}
+        if z >= LEAST_Z * min(1.0, strength / needed):
+            found.append((strength, z, word, min(odds, 8.0)))
+    # with few labels, the strongest tokens count though they stay below the bound: at odds shrunk by how far
+    found.sort(key=lambda x: (-x[0], x[2]))
+    kept = [(-z, word, odds * min(1.0, strength / needed)) for k, (strength, z, word, odds) in enumerate(found) if strength >= needed or k < LEAST_TOKENS]
+    model.scores = {word: odds for _, word, odds in sorted(kept)[:MODEL_TOKENS]}
     _calibrate(model, texts, labels)
     return model
 
@@ -215,7 +224,8 @@ def fit_model(docs: DataFrame, labels: DataFrame, allowed, label_column: str = "
 
 
 def score(docs: DataFrame, model: Model, with_passages: bool = False) -> DataFrame:
-    """Score column for every row of ``docs`` (whole texts); passages as (first word, last word, score)."""
+    """``docs`` with a score for every row, from the whole text; passages as (first word, last word, score). Columns
+    of these names give way."""
     shared = bound_batches(docs).sparkSession.sparkContext.broadcast(model)  # at most MODEL_TOKENS tokens
     kind = "score double, passages array<struct<first:int,last:int,score:double>>" if with_passages else "score double"
 
@@ -233,8 +243,8 @@ def score(docs: DataFrame, model: Model, with_passages: bool = False) -> DataFra
             rows.append((_sigmoid(m.bias + m.slope * evidence(m, len(words), segments)), [{"first": a, "last": b, "score": s} for a, b, s in segments]))
         return pd.DataFrame(rows, columns=["score", "passages"])
 
-    column = scored(F.col("text"))
+    names = ["score", "passages"] if with_passages else ["score"]
+    kept = docs.select("*", scored(F.col("text")).alias("__scored")).select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], "__scored")
     if with_passages:
-        return docs.withColumn("__scored", column).select("*", F.col("__scored.score").alias("score"), F.col("__scored.passages").alias("passages")).drop("__scored")
-    return docs.withColumn("score", column)
-
+        return kept.select("*", "__scored.score", "__scored.passages").drop("__scored")
+    return kept.withColumnRenamed("__scored", "score")

@@ -429,8 +429,70 @@ def test_models_without_labels():
 
 
 def test_scores_take_nulls_and_clashing_columns(spark):
-    rows = docs_of(spark, [(1, None), (2, ""), (2, "x"), (None, "y" * 200_000)]).drop("score")
-    assert quality.score(rows, quality.fit([], [])).count() == 4 and toxicity.score(rows, toxicity.Model(), with_passages=True).where("score < 0.5").count() == 4
+    rows = docs_of(spark, [(1, None), (2, ""), (2, "x"), (2, "x"), (None, "y" * 300_000)]).withColumn("lang_pred", F.lit("z")).withColumn("passages", F.lit("z"))
+    for of, ends in ((rows, 5), (rows.limit(0), 0)):
+        for found in (quality.score(of, quality.fit([], [])), toxicity.score(of, toxicity.Model()), toxicity.score(of, toxicity.Model(), with_passages=True)):
+            assert found.count() == ends and dict(found.dtypes)["score"] == "double" and sorted(found.columns) == sorted(rows.columns)
+        found = language.predict(of, language.fit({"a": ["some text"]}))
+        assert sorted(found.columns) == sorted(rows.columns) and [r.lang_pred for r in found.where("text is null").collect()] == ["und"] * (ends > 0)
+
+
+def test_network_equals_a_plain_one_and_its_gradient_the_difference():
+    rng = np.random.default_rng(9)
+    net = quality._new()
+    net.bias += rng.normal(0, 0.2, quality.FILTERS).astype(np.float32)
+    net.centre, net.spread = rng.normal(0, 0.1, 2 * quality.FILTERS).astype(np.float32), rng.uniform(0.5, 1, 2 * quality.FILTERS).astype(np.float32)
+
+    def plain(text):
+        data = list(text.encode().ljust(quality.WIDTH, b"\0"))
+        response = [sum(net.embedding[b] @ net.filters[k * quality.EMBED : (k + 1) * quality.EMBED] for k, b in enumerate(data[i : i + quality.WIDTH])) for i in range(len(data) - quality.WIDTH + 1)]
+        half = quality.CHUNK // 2
+        halves = [np.max(response[i : i + half], axis=0) for i in range(0, len(response), half)]
+        chunks = np.tanh(np.array([np.maximum(a, b) for a, b in zip(halves, halves[1:])] or halves) + net.bias)
+        x = (np.concatenate([chunks.mean(0), chunks.max(0)]) - net.centre) / net.spread
+        return 1 / (1 + np.exp(-(x @ net.out + net.out_bias)))
+
+    for text in ("a", "short", "Über " * 9, "z" * 500, "".join(rng.choice(list("abc é\n"), 9_000))):
+        assert quality.probability(net, text) == pytest.approx(plain(text), abs=1e-4)
+    # gradients of the cross entropy against central differences
+    data, y = quality._bytes("A text of more than one chunk, long enough for the overlap to matter." * 3), 1.0
+    names = ("embedding", "filters", "bias", "out")
+    for name in names:
+        setattr(net, name, getattr(net, name).astype(np.float64))
+    grads = {n: np.zeros_like(getattr(net, n)) for n in names} | {"out_bias": 0.0}
+    quality._backward(net, data, y, 1.0, grads)
+    loss = lambda: -math.log(quality.probability(net, bytes(data).decode()))
+    for name in names:
+        values = getattr(net, name).reshape(-1)
+        for at in np.argsort(-np.abs(grads[name].reshape(-1)))[:4]:
+            old, step = values[at], 1e-5
+            values[at] = old + step
+            up = loss()
+            values[at] = old - step
+            down = loss()
+            values[at] = old
+            assert grads[name].reshape(-1)[at] == pytest.approx((up - down) / (2 * step), rel=2e-2, abs=1e-5), name
+
+
+def test_evidence_follows_the_extreme_value_law():
+    model = toxicity.Model(scores={"bad": 2.0}, lam=1.5, k=0.1)
+    p = lambda n, s: 1 - math.exp(-0.1 * n * math.exp(-1.5 * s))
+    assert toxicity.evidence(model, 50, []) == 0
+    assert toxicity.evidence(model, 50, [(0, 1, 3.0)]) == pytest.approx(-math.log(p(50, 3.0)))
+    # a further segment counts if it is significant by itself
+    assert toxicity.evidence(model, 50, [(0, 1, 6.0), (5, 9, 8.0), (20, 20, 1.0)]) == pytest.approx(-math.log(p(50, 8.0)) - math.log(p(50, 6.0)))
+    assert toxicity.evidence(model, 50, [(0, 1, 200.0)]) == pytest.approx(300 - math.log(5), rel=1e-6)
+    assert toxicity.score_text(model, "good words only") == toxicity.score_text(model, "")
+
+
+def test_toxicity_learns_from_few_labels():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    bad = ["idiot", "trash", "scum"]
+    texts = [" ".join([word() for _ in range(60)] + (rng.sample(bad, 2) + [bad[0]] if k < 10 else [])) for k in range(60)]
+    model = toxicity.fit(texts, [int(k < 10) for k in range(60)])
+    scores = [toxicity.score_text(model, " ".join([word() for _ in range(60)] + tail)) for tail in ([], ["idiot", "scum"], ["idiot", "trash", "idiot"])]
+    assert scores[0] < 0.5 and scores[1] >= 0.5 and scores[2] >= scores[1]
 
 
 def test_language_phrases_equal_plain_parsing():
@@ -521,3 +583,25 @@ def test_pipeline_stages(spark):
         out = stage(spark, docs, sf)
         assert out.columns == docs.columns and out.count() <= before, name
     assert corpus_pipeline.run(spark, sf).select("doc_id").distinct().count() > before // 2
+
+
+def test_samples_are_bounded(spark):
+    from cumulo.llm import sampling
+
+    docs = spark.createDataFrame([(k, "x" * 100, "a" if k % 2 else None) for k in range(200)] + [(1, "y" * 50, "a")] * 40, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, good int")
+    texts, y = sampling.labelled_sample(docs, labels, "good", F.lit(True), (30, 50), 1000, total_chars=4_000)
+    assert sum(y) == 40 and len(y) == 70 and all(len(t) == 100 for t in texts)
+    assert [len(v) for v in sampling.language_sample(docs, F.lit(True), 20, 1000).values()] == [20]
+
+
+def test_intermediates_can_be_deleted(spark):
+    import os
+
+    from cumulo.llm import common
+
+    kept = common.materialize(spark.range(3), "some")
+    path = kept.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    common.forget(spark)
+    assert not os.path.exists(path)
