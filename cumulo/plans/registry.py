@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..functions.geo import wrap_lon
-from ..functions.time import micros, millis
-from ..operators import bbox, grid, linking, polar, robust, sessions, sites
-from ..sources import outputs, reports, volumes
+from ..functions.time import micros
+from ..config import load as load_config
+from ..operators import bbox, build, grid, linking, polar, robust, sessions, sites, summary
+from ..sources import outputs, reports, tracks, volumes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -167,6 +167,24 @@ def json_props(spark, sf_dir):
     return e.groupBy("event_type", "k").agg(F.count("*").alias("n"), _r(F.sum("value"), 2).alias("total"))
 
 
+@query("""SELECT 'synoptic_' || event_type AS source, count(*) AS n, round(sum(value), 2) AS gusts, min(epoch_us(ts)) AS first_us FROM events GROUP BY 1""")
+def station_json(spark, sf_dir):
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    obs = F.struct(F.array(stamp("ts"), F.lit("beyond the gusts")).alias("date_time"), F.array("value").alias("wind_gust_set_1"))
+    station = F.struct(F.col("user_id").cast("string").alias("STID"), F.col("latitude").cast("string").alias("LATITUDE"), F.col("longitude").cast("string").alias("LONGITUDE"), obs.alias("OBSERVATIONS"))
+    bodies = _points(spark, sf_dir).select(F.col("event_type").alias("network"), F.to_json(F.struct(F.array(station).alias("STATION"))).alias("body"))
+    found = reports.feed_stations(bodies)
+    return found.groupBy("source").agg(F.count("*").alias("n"), _r(F.sum("gust"), 2).alias("gusts"), F.min(micros("time")).alias("first_us"))
+
+
+@query("""SELECT CASE event_id % 4 WHEN 0 THEN ' TSTM WIND' ELSE 'Non-Tstm Wnd Gst' END AS type, count(*) AS n, round(sum(value), 2) AS gusts, max(epoch_us(ts)) // 1000000 AS last_s FROM events WHERE event_id % 4 IN (0, 1) GROUP BY 1""")
+def wind_reports(spark, sf_dir):
+    kinds = F.element_at(F.array(*map(F.lit, (" TSTM WIND", "Non-Tstm Wnd Gst", "HAIL", "tornado"))), (F.col("event_id") % 4 + 1).cast("int"))
+    raw = _points(spark, sf_dir).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("VALID"), F.col("latitude").cast("string").alias("LAT"), F.col("longitude").cast("string").alias("LON"), F.col("value").cast("string").alias("MAG"), kinds.alias("TYPETEXT"))
+    found = reports.feed_a(raw)
+    return found.groupBy("type").agg(F.count("*").alias("n"), _r(F.sum("gust"), 2).alias("gusts"), F.max(F.unix_seconds("time")).alias("last_s"))
+
+
 @query("""WITH e AS (SELECT user_id, value AS w, CAST(event_id % 97 + 1 AS DOUBLE) AS h FROM events), m AS (SELECT user_id, median(w) AS mw, median(h) AS mh FROM e GROUP BY 1),
 d AS (SELECT e.user_id, any_value(mw) AS mw, any_value(mh) AS mh, median(abs(w - mw)) AS dw, median(abs(h - mh)) AS dh FROM e JOIN m USING (user_id) GROUP BY 1),
 c AS (SELECT user_id, avg(w) FILTER (abs(w - mw) <= 2.5 * CASE WHEN dw = 0 THEN 1 ELSE dw END) AS cw, avg(h) FILTER (abs(h - mh) <= 2.5 * CASE WHEN dh = 0 THEN 1 ELSE dh END) AS ch,
@@ -203,13 +221,12 @@ def _gates(spark, sf_dir) -> DataFrame:
 
 @query(f"SELECT label, CAST(gate AS INTEGER) AS gate, round(CAST(max(v) AS DOUBLE), 6) AS value FROM {_GATES} GROUP BY 1, 2")
 def composite_max(spark, sf_dir):
-    return _gates(spark, sf_dir).groupBy("label", "gate").agg(_r(F.max("value").cast("double"), 6).alias("value"))
+    return polar.best_of_gates(_gates(spark, sf_dir), ["label", "gate"], "value", []).select("label", "gate", _r(F.col("value").cast("double"), 6).alias("value"))
 
 
 @query(f"SELECT label, CAST(gate AS INTEGER) AS gate, vec_id AS winner FROM (SELECT *, row_number() OVER (PARTITION BY label, gate ORDER BY v DESC, vec_id) AS k FROM {_GATES}) WHERE k = 1")
 def winner_index(spark, sf_dir):
-    best = F.max(F.struct("value", (-F.col("vec_id")).alias("i")))
-    return _gates(spark, sf_dir).groupBy("label", "gate").agg(best.alias("b")).select("label", "gate", (-F.col("b.i")).alias("winner"))
+    return polar.best_of_gates(_gates(spark, sf_dir), ["label", "gate"], "value", ["vec_id"]).select("label", "gate", F.col("vec_id").alias("winner"))
 
 
 def _rays(spark, sf_dir) -> DataFrame:
@@ -251,24 +268,51 @@ def threshold_crop(spark, sf_dir):
     return e.select("vec_id", hits.cast("long").alias("n_hits"), F.size(kept).cast("long").alias("n_kept"), _r(F.aggregate(kept, F.lit(0.0), lambda s, v: s + v)).alias("kept_sum"))
 
 
-def _cells(spark, sf_dir) -> DataFrame:
+def _cells(spark, sf_dir, side: int = 64) -> DataFrame:
     from pyspark.sql import Window
 
     row = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
     e = _t(spark, sf_dir, "embeddings").select("label", row.alias("row"), "embedding")
-    # grids of a fixed size: 64 vectors of a label by their components
-    return e.select("label", F.floor(F.col("row") / 64).cast("int").alias("block"), (F.col("row") % 64).alias("y"), F.posexplode("embedding").alias("x", "value"))
-
-
-@query()
+    # grids of a fixed size: vectors of a label, cut into squares
+    cells = e.select("label", "row", F.posexplode("embedding").alias("place", "value"))
+    block = F.floor(F.col("row") / side) * (64 // side) + F.floor(F.col("place") / side)
+    return cells.select("label", block.cast("int").alias("block"), (F.col("row") % side).alias("y"), (F.col("place") % side).alias("x"), "value")
+
+
+_CELLS16 = """e AS (SELECT label, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) AS r, embedding FROM embeddings),
+cell AS (SELECT label, r, generate_subscripts(embedding, 1) - 1 AS p, unnest(embedding) AS v FROM e),
+g AS (SELECT label, CAST(r // 16 * 4 + p // 16 AS INTEGER) AS block, r % 16 AS y, p % 16 AS x, CAST(v AS DOUBLE) AS v FROM cell),
+size AS (SELECT label, block, max(y) AS top, max(x) AS side FROM g GROUP BY 1, 2),
+near AS (SELECT a.i AS dy, b.i AS dx FROM range(-1, 2) a(i), range(-1, 2) b(i)),
+wide AS (SELECT DISTINCT g.label, g.block, y + dy AS y, x + dx AS x FROM g CROSS JOIN near JOIN size USING (label, block) WHERE v >= 0.05 AND y + dy BETWEEN 0 AND top AND x + dx BETWEEN 0 AND side),
+closed AS (SELECT label, block, y - dy AS y, x - dx AS x FROM wide CROSS JOIN near GROUP BY ALL HAVING count(*) = 9),
+cells AS (SELECT c.label, c.block, c.y, c.x, c.y * (side + 1) + c.x + 1 AS id FROM closed c JOIN size USING (label, block) WHERE c.y BETWEEN 0 AND top AND c.x BETWEEN 0 AND side),
+reach AS (SELECT label, block, y, x, id AS seen FROM cells UNION SELECT c.label, c.block, c.y, c.x, r.seen FROM reach r JOIN cells c ON r.label = c.label AND r.block = c.block AND abs(r.y - c.y) + abs(r.x - c.x) = 1),
+labelled AS (SELECT label, block, y, x, min(seen) AS region FROM reach GROUP BY 1, 2, 3, 4),
+regions AS (SELECT label, block, region, count(*) AS pixels, avg(y) AS centre_y, avg(x) AS centre_x, min(y) AS min_y, max(y) AS max_y, min(x) AS min_x, max(x) AS max_x FROM labelled GROUP BY 1, 2, 3 HAVING count(*) >= 4)"""
+
+
+@query(f"""WITH RECURSIVE {_CELLS16} SELECT label, block, CAST(region AS BIGINT) AS region, pixels, round(centre_y, 6) AS centre_y, round(centre_x, 6) AS centre_x,
+CAST(min_y AS INTEGER) AS min_y, CAST(max_y AS INTEGER) AS max_y, CAST(min_x AS INTEGER) AS min_x, CAST(max_x AS INTEGER) AS max_x FROM regions""")
 def region_stats(spark, sf_dir):
-    return grid.region_stats(_cells(spark, sf_dir), ["label", "block"], 0.05, 4)
-
-
-@query()
+    found = grid.region_stats(grid.pack(_cells(spark, sf_dir, 16), ["label", "block"]), ["label", "block"], 0.05, 4)
+    return found.withColumns({"centre_y": _r("centre_y", 6), "centre_x": _r("centre_x", 6)})
+
+
+@query(f"""WITH RECURSIVE {_CELLS16},
+point AS (SELECT label, block, top, side, least(5, top) AS py, least(7, side) AS px FROM size),
+first AS (SELECT * FROM (SELECT r.*, row_number() OVER (PARTITION BY r.label, r.block ORDER BY l.region IS DISTINCT FROM r.region, sqrt((centre_y - 5e0) ** 2 + (centre_x - 7e0) ** 2), r.region) AS k
+  FROM regions r JOIN point p ON r.label = p.label AND r.block = p.block LEFT JOIN labelled l ON l.label = p.label AND l.block = p.block AND l.y = p.py AND l.x = p.px) WHERE k = 1),
+grown AS (SELECT label, block, min_y, max_y, min_x, max_x, 0 AS step FROM first UNION ALL
+  SELECT g.label, g.block, least(any_value(g.min_y), min(r.min_y)), greatest(any_value(g.max_y), max(r.max_y)), least(any_value(g.min_x), min(r.min_x)), greatest(any_value(g.max_x), max(r.max_x)), any_value(g.step) + 1
+  FROM grown g JOIN regions r ON g.label = r.label AND g.block = r.block AND sqrt(greatest(0, r.min_x - (g.max_x + 1), (g.min_x - 1) - r.max_x) ** 2 + greatest(0, r.min_y - (g.max_y + 1), (g.min_y - 1) - r.max_y) ** 2) <= 1
+  WHERE g.step < 40 GROUP BY g.label, g.block),
+box AS (SELECT * FROM grown WHERE step = 40)
+SELECT b.label, b.block, CAST(sum(r.pixels) AS BIGINT) AS pixels, CAST(any_value(b.min_y) AS INTEGER) AS min_y, CAST(any_value(b.max_y) AS INTEGER) AS max_y, CAST(any_value(b.min_x) AS INTEGER) AS min_x, CAST(any_value(b.max_x) AS INTEGER) AS max_x, CAST(count(*) AS INTEGER) AS n_merged
+FROM box b JOIN regions r ON b.label = r.label AND b.block = r.block AND sqrt(greatest(0, r.min_x - (b.max_x + 1), (b.min_x - 1) - r.max_x) ** 2 + greatest(0, r.min_y - (b.max_y + 1), (b.min_y - 1) - r.max_y) ** 2) <= 1 GROUP BY 1, 2""")
 def blob_for_point(spark, sf_dir):
-    cells = _cells(spark, sf_dir).withColumn("point_y", F.lit(20.0)).withColumn("point_x", F.lit(30.0))
-    return grid.blob_for_point(cells, ["label", "block"], 0.05, 4, 1.0)
+    grids = grid.pack(_cells(spark, sf_dir, 16), ["label", "block"]).withColumn("point_y", F.lit(5.0)).withColumn("point_x", F.lit(7.0))
+    return grid.blob_for_point(grids, ["label", "block"], 0.05, 4, 1.0)
 
 
 @query("""WITH e AS (SELECT label, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) AS r, embedding FROM embeddings),
@@ -279,21 +323,71 @@ n AS (SELECT a.label, a.block, a.y, a.x, b.v, row_number() OVER (PARTITION BY a.
 SELECT label, CAST(block AS INTEGER) AS block, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, round(avg(v), 6) AS value FROM n WHERE k <= 4 GROUP BY ALL""")
 def impute_nearest(spark, sf_dir):
     gone = (F.col("y") * 64 + F.col("x")) % 53 == 0
-    filled = grid.impute_nearest(_cells(spark, sf_dir).withColumn("value", F.when(~gone, F.col("value"))), ["label", "block"])
-    return filled.where(gone).select("label", "block", "y", "x", _r("value", 6).alias("value"))
-
-
-@query("""WITH r AS (SELECT label, vec_id AS ray, (vec_id * 37 % 3600) / 10e0 AS az, CAST(vec_id % 5 AS INTEGER) AS sweep, vec_id % 5 * 7 % 5 AS angle, embedding FROM embeddings),
-s AS (SELECT label, sweep FROM (SELECT label, sweep, row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, angle, sweep) AS k FROM r GROUP BY label, sweep, angle) WHERE k = 1),
-h AS (SELECT r.* FROM r JOIN s USING (label, sweep)),
-c AS (SELECT h.label, h.ray, q.sweep, q.angle, q.embedding, q.ray AS source, round(least((h.az - q.az + 360) % 360, 360 - (h.az - q.az + 360) % 360), 9) AS d FROM h JOIN r q ON h.label = q.label),
-m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label, ray, sweep ORDER BY d, source) AS k FROM c) WHERE k = 1),
-g AS (SELECT label, ray, sweep, angle, generate_subscripts(embedding, 1) AS gate, unnest(embedding) AS v FROM m),
-w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label, ray, gate ORDER BY v DESC, angle, sweep) AS k FROM g) WHERE k = 1)
-SELECT label, ray, CAST(count(*) AS INTEGER) AS n_gates, max(v) AS top, max(sweep) AS last_sweep FROM w GROUP BY 1, 2""")
+    grids = grid.pack(_cells(spark, sf_dir).withColumn("value", F.when(~gone, F.col("value"))), ["label", "block"])
+    return grid.unpack(grid.impute_nearest(grids, ["label", "block"]), ["label", "block"]).where(gone & F.col("value").isNotNull()).select("label", "block", "y", "x", _r("value", 6).alias("value"))
+
+
+# one volume of three sweeps: even spacing, except that the third covers half the circle and so fails the guard
+_SWEEPS = """r AS (SELECT vec_id AS ray, CAST(vec_id % 3 AS INTEGER) AS sweep, vec_id % 3 * 2 % 3 + 0.5 AS angle, vec_id * CASE WHEN vec_id % 3 = 2 THEN 180e0 ELSE 360e0 END / (SELECT count(*) FROM embeddings) AS az, embedding FROM embeddings)"""
+
+
+def _sweeps(spark, sf_dir) -> DataFrame:
+    e = _t(spark, sf_dir, "embeddings")
+    n, k = F.lit(e.count()), F.col("vec_id") % 3
+    azimuth = F.col("vec_id") * F.when(k == 2, 180.0).otherwise(360.0) / n
+    return e.select(F.lit(1).alias("volume"), F.col("vec_id").alias("ray"), azimuth.alias("azimuth"), k.cast("int").alias("sweep"), (k * 2 % 3 + 0.5).alias("fixed_angle"), F.lit(0.5).alias("elevation"), F.col("embedding").alias("values"))
+
+
+@query(f"""WITH {_SWEEPS},
+w AS (SELECT sweep, max(coalesce(next, first + 360) - az) AS gap FROM (SELECT sweep, az, lead(az) OVER (PARTITION BY sweep ORDER BY az, ray) AS next, min(az) OVER (PARTITION BY sweep) AS first FROM r) GROUP BY 1),
+s AS (SELECT sweep FROM r GROUP BY sweep, angle ORDER BY count(*) DESC, angle, sweep LIMIT 1),
+h AS (SELECT r.* FROM r JOIN s USING (sweep)),
+c AS (SELECT h.ray, q.sweep, q.angle, q.embedding, q.ray AS source, round(least((h.az - q.az + 360) % 360, 360 - (h.az - q.az + 360) % 360), 9) AS d FROM h, r q JOIN w ON w.sweep = q.sweep AND gap <= 6),
+m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ray, sweep ORDER BY d, source) AS k FROM c) WHERE k = 1),
+g AS (SELECT ray, sweep, angle, generate_subscripts(embedding, 1) - 1 AS gate, unnest(embedding) AS v FROM m)
+SELECT ray, CAST(gate AS INTEGER) AS gate, round(CAST(v AS DOUBLE), 6) AS value, sweep AS winner_sweep FROM (SELECT *, row_number() OVER (PARTITION BY ray, gate ORDER BY v DESC, angle, sweep) AS k FROM g) WHERE k = 1""")
 def polar_composite(spark, sf_dir):
-    found = polar.composite(_rays(spark, sf_dir), ["label"], 360.0)
-    return found.select("label", "ray", F.size("values").alias("n_gates"), F.array_max("values").alias("top"), F.array_max("winner_sweep").alias("last_sweep"))
+    found = polar.composite(_sweeps(spark, sf_dir), ["volume"], 6.0)
+    rows = found.select("ray", F.posexplode(F.arrays_zip(F.col("values").alias("v"), F.col("winner_sweep").alias("w"))).alias("gate", "z"))
+    return rows.select("ray", "gate", _r(F.col("z.v").cast("double"), 6).alias("value"), F.col("z.w").cast("int").alias("winner_sweep"))
+
+
+# cells nearest to gates by definition: every cell with every gate
+@query(f"""WITH {_SWEEPS}, u AS (SELECT * FROM r WHERE sweep = 0),
+cell AS (SELECT a.i AS y, b.i AS x, (b.i - 6) * 4.7e0 AS cx, (a.i - 6) * 4.7e0 AS cy FROM range(13) a(i), range(13) b(i)),
+polar AS (SELECT *, (degrees(atan2(cx, cy)) + 360) % 360 AS az FROM cell),
+one AS (SELECT * FROM (SELECT y, x, cx, cy, ray, u.az, row_number() OVER (PARTITION BY y, x ORDER BY round(least((polar.az - u.az + 360) % 360, 360 - (polar.az - u.az + 360) % 360), 9), ray) AS k FROM polar, u) WHERE k = 1),
+gate AS (SELECT y, x, o.ray, i AS gate, row_number() OVER (PARTITION BY y, x ORDER BY round((cx - (3 + i * 1.5e0) * sin(radians(o.az))) ** 2 + (cy - (3 + i * 1.5e0) * cos(radians(o.az))) ** 2, 7), i) AS k FROM one o, range(64) t(i))
+SELECT CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, g.ray, CAST(gate AS INTEGER) AS gate, round(CAST(embedding[gate + 1] AS DOUBLE), 6) AS value FROM gate g JOIN u ON g.ray = u.ray WHERE k = 1""")
+def cell_gates(spark, sf_dir):
+    r = _sweeps(spark, sf_dir).where("sweep = 0")
+    plan = grid.grid_plan(r, ["volume"], 28.2, 4.7, 3.0, 1.5, 64)
+    found = plan.join(grid.gather(plan, r, ["volume"]), ["volume", "y", "x"])
+    return found.select("y", "x", "ray", "gate", _r(F.col("value").cast("double"), 6).alias("value"))
+
+
+@query("""WITH f AS (SELECT label, vec_id AS ray, CAST(vec_id % 4 AS INTEGER) AS t, CAST(vec_id % 3 AS INTEGER) AS sweep, embedding[1:CAST(20 + label AS INTEGER)] AS v FROM embeddings),
+n AS (SELECT label, t, sweep, count(*) AS h FROM f GROUP BY 1, 2, 3), d AS (SELECT label, max(h) AS h, max(c) AS c FROM (SELECT *, row_number() OVER (PARTITION BY label, t ORDER BY sweep) AS c FROM n) GROUP BY 1),
+o AS (SELECT f.*, row_number() OVER (PARTITION BY label, t, sweep ORDER BY ray) - 1 AS line, dense_rank() OVER (PARTITION BY label, t ORDER BY sweep) - 1 AS channel FROM f),
+v AS (SELECT label, t, channel, line, generate_subscripts(v, 1) - 1 AS gate, unnest(v) AS value FROM o)
+SELECT label, t, CAST(channel AS INTEGER) AS channel, CAST(any_value(d.h) AS INTEGER) AS H, CAST(20 + label AS INTEGER) AS W, CAST(any_value(d.c) AS INTEGER) AS C, count(value) AS filled, round(sum(CAST(value AS DOUBLE) * (line * (20 + label) + gate + 1)), 3) AS checksum FROM v JOIN d USING (label) GROUP BY 1, 2, 3""")
+def tensor_frames(spark, sf_dir):
+    e = _t(spark, sf_dir, "embeddings")
+    rays = e.select("label", (F.col("vec_id") % 4).cast("int").alias("t"), (F.col("vec_id") % 3).cast("int").alias("sweep"), (F.col("vec_id") % 3).cast("double").alias("fixed_angle"), F.col("vec_id").alias("ray"), F.lit(0.0).alias("azimuth"), F.lit(0.5).alias("elevation"), F.slice("embedding", F.lit(1), F.col("label") + 20).alias("values"))
+    f = polar.frames(rays, ["label", "t"])
+    weighted = F.transform("data", lambda v, i: F.coalesce(v.cast("double"), F.lit(0.0)) * (i + 1))
+    shape = [F.get("shape", F.lit(k)).cast("int").alias(n) for k, n in enumerate("HWC")]
+    return f.select("label", "t", F.col("channel").cast("int").alias("channel"), *shape, F.size(F.filter("data", lambda v: v.isNotNull())).cast("long").alias("filled"), _r(F.aggregate(weighted, F.lit(0.0), lambda a, v: a + v), 3).alias("checksum"))
+
+
+@query(f"""WITH b AS (SELECT user_id, min(latitude) AS a0, max(latitude) AS a1, min(longitude) AS o0, max(longitude) AS o1 FROM (SELECT * FROM {P} WHERE event_type = 'error') GROUP BY 1),
+w AS (SELECT *, 5 / 110.574 AS da, 5 / (111.320 * greatest(cos(radians((a0 + a1) / 2)), 1e-6)) AS d FROM b)
+SELECT event_id, CASE WHEN latitude BETWEEN a0 - da AND a1 + da AND longitude BETWEEN o0 - d AND o1 + d THEN value END AS value FROM {P} JOIN w USING (user_id)""")
+def crop_gates(spark, sf_dir):
+    p = _points(spark, sf_dir)
+    around = p.where("event_type = 'error'").select("user_id", F.col("latitude").alias("min_lat"), F.col("latitude").alias("max_lat"), F.col("longitude").alias("min_lon"), F.col("longitude").alias("max_lon"))
+    gates = p.select("event_id", "user_id", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "value")
+    return bbox.crop_gates(gates, bbox.union_box(around, ["user_id"]), ["user_id"], 5.0).select("event_id", "value")
 
 
 @query("""WITH p AS (SELECT event_type, (event_id * 37 % 400) / 10e0 - 20 AS x, (event_id * 91 % 400) / 10e0 - 20 AS y FROM events WHERE value >= 10),
@@ -350,10 +444,27 @@ def catalog_rollup(spark, sf_dir):
     return found.select("site", "storm_id", F.coalesce("T", F.lit(-1)).alias("n_times"), "products", "dims", "total_bytes")
 
 
-@query("""SELECT split_part(split_part(url, '://', 2), '/', 1) AS host, count(*) AS n, count(DISTINCT sha256(html)) AS n_contents, CAST(sum(octet_length(encode(html))) AS BIGINT) AS total_bytes FROM pages GROUP BY 1""")
-def page_manifest(spark, sf_dir):
-    p = _t(spark, sf_dir, "pages").withColumn("host", F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1)))
-    return p.groupBy("host").agg(F.count("*").alias("n"), F.countDistinct(F.sha2("html", 256)).alias("n_contents"), F.sum(F.octet_length("html").cast("long")).alias("total_bytes"))
+_STORM = "'2022/K00' || CAST(page_id % 5 AS VARCHAR) || '/storm_' || CAST(page_id // 4 AS VARCHAR) || '/K00' || CAST(page_id % 5 AS VARCHAR) || '_' || CAST(page_id // 4 AS VARCHAR)"
+_SPAN = "'_20220101T000000Z_20220101T000100Z.h5'"
+
+
+@query(f"""WITH f AS (SELECT page_id // 4 AS storm, page_id % 4 AS part, {_STORM} || CASE page_id % 4 WHEN 0 THEN '_context_T7' ELSE '_reflectivity_T7_8x9x1ch' END || {_SPAN} AS relpath, html FROM pages WHERE page_id % 4 < 2)
+SELECT relpath, CASE part WHEN 0 THEN 'context' ELSE 'product' END AS type, CAST(octet_length(encode(html)) AS BIGINT) AS size_bytes,
+  CASE WHEN part = 0 AND EXISTS (SELECT 1 FROM pages p WHERE p.page_id = f.storm * 4 + 2) THEN sha256(CAST(storm AS VARCHAR)) ELSE sha256(html) END AS sha256, 7 AS n_times, CASE WHEN part = 1 THEN 9 ELSE -1 END AS width FROM f
+UNION ALL SELECT 'storm_' || CAST(page_id AS VARCHAR) || '.schema.json', 'schema_json', -1, '', -1, -1 FROM pages WHERE page_id % 4 = 2""")
+def file_manifest(spark, sf_dir):
+    text = lambda c: c.cast("string")
+    page, storm = F.col("page_id"), text(F.floor(F.col("page_id") / 4))
+    site = lambda c: F.concat(F.lit("K00"), text(c % 5))
+    stem = lambda of, kind: F.concat(site(of), F.lit("_"), storm, F.lit(kind + "_20220101T000000Z_20220101T000100Z.h5"))
+    folder = F.concat(F.lit("/data/set/2022/"), site(page), F.lit("/storm_"), storm, F.lit("/"))
+    kind = page % 4
+    path = F.when(kind == 0, F.concat(folder, stem(page, "_context_T7"))).when(kind == 1, F.concat(folder, stem(page, "_reflectivity_T7_8x9x1ch"))).when(kind == 2, F.concat(F.lit("/data/set/storm_"), text(page), F.lit(".schema.json"))).otherwise(F.concat(folder, F.lit("stray.sha256")))
+    side = F.concat(F.lit('{"applies_to": "x/'), stem(page - 2, "_context_T7"), F.lit('", "sha256": "'), F.upper(F.sha2(storm, 256)), F.lit('"}'))
+    files = _t(spark, sf_dir, "pages").select(path.alias("path"), F.octet_length("html").cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modificationTime"), F.when(kind == 2, side).otherwise(F.col("html")).cast("binary").alias("content"))
+    found = outputs.manifest(files, "/data/set")
+    known = lambda c, n, other=-1: F.when(F.col("type") != "schema_json", F.coalesce(F.col(c), F.lit(other))).otherwise(F.lit(other)).alias(n)
+    return found.select("relpath", "type", known("size_bytes", "size_bytes"), known("sha256", "sha256", ""), known("T", "n_times"), known("W", "width"))
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority = '1-URGENT')")
@@ -362,34 +473,39 @@ def resume_skip(spark, sf_dir):
     return sessions.resume(_t(spark, sf_dir, "customer"), saved, ["c_custkey"]).select("c_custkey", "c_name")
 
 
-@query("SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name IN ('NATION_1', 'NATION_2', 'NATION_7')")
+@query("""SELECT event_id, 'K' || lpad(CAST(user_id % 30 AS VARCHAR), 3, '0') AS radar_site FROM events WHERE year(ts) = 2024 AND user_id % 30 IN (3, 4, 5) AND user_id % 30 <> 4""")
 def subset_by_site(spark, sf_dir):
-    n = _t(spark, sf_dir, "nation").where(F.col("n_name").isin("NATION_1", "NATION_2", "NATION_7"))
-    return _t(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    rows = _t(spark, sf_dir, "events").select("event_id", F.year("ts").alias("year"), F.concat(F.lit("K"), F.lpad((F.col("user_id") % 30).cast("string"), 3, "0")).alias("radar_site"))
+    return outputs.subset_rows(rows, 2024, ["K003", "K004", "K005"], ["K004"]).select("event_id", "radar_site")
 
 
-@query("""SELECT event_id, epoch_us(ts) // 1000 AS time_unix_ms, round(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) - 360 * floor(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) / 360) - 180, 6) AS longitude,
-strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS time_utc FROM events""")
+@query("""SELECT event_id AS storm_id, epoch_us(ts) // 1000 AS time_unix_ms, 'K' || CAST(event_id % 7 AS VARCHAR) AS radar_site, round(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) - 360 * floor(((-125e0 + (event_id * 91 % 5800) / 100e0) * 3 + 180) / 360) - 180, 6) AS longitude,
+CASE WHEN event_id % 3 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS tor_endtime, 11 AS n_columns FROM events""")
 def context_normalize(spark, sf_dir):
-    return _points(spark, sf_dir).select("event_id", millis("ts").alias("time_unix_ms"), _r(wrap_lon(F.col("longitude") * 3), 6).alias("longitude"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time_utc"))
+    p = _points(spark, sf_dir)
+    raw = p.select(F.col("ts").alias("time"), F.col("event_id").cast("string").alias("storm_id"), F.concat(F.lit("K"), (F.col("event_id") % 7).cast("string")).alias("radar_site"), "latitude", (F.col("longitude") * 3).alias("longitude"), F.lit(1).alias("min_lat"), F.lit(2).alias("max_lat"), F.lit(3.0).alias("min_lon"), F.lit(4.0).alias("max_lon"), F.when(F.col("event_id") % 3 == 0, "unknown").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("tor_endtime"), F.lit("x").alias("velocity_scan"))
+    rows = outputs.context_rows(raw)
+    return rows.select("storm_id", "time_unix_ms", "radar_site", _r("longitude", 6).alias("longitude"), "tor_endtime", F.lit(len(rows.columns)).alias("n_columns"))
 
 
 @query("""SELECT kind, name, n FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, name) AS k FROM (
 SELECT 'source' AS kind, source AS name, count(*) AS n FROM documents GROUP BY 2 UNION ALL SELECT 'event', event_type, count(*) FROM events GROUP BY 2)) WHERE k <= 5""")
 def top_counts(spark, sf_dir):
-    from pyspark.sql import Window
+    top = lambda name, kind, column: summary.top_counts(_t(spark, sf_dir, name), column).select(F.lit(kind).alias("kind"), "name", "n")
+    return top("documents", "source", "source").unionByName(top("events", "event", "event_type"))
 
-    count = lambda df, kind, c: df.groupBy(F.col(c).alias("name")).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "name", "n")
-    both = count(_t(spark, sf_dir, "documents"), "source", "source").unionByName(count(_t(spark, sf_dir, "events"), "event", "event_type"))
-    return both.withColumn("k", F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "name"))).where("k <= 5").drop("k")
 
-
-@query("""SELECT orderkey, count(*) AS n, count(custkey) AS n_orders, round(sum(price), 2) AS price FROM (SELECT o_orderkey AS orderkey, o_custkey AS custkey, NULL AS price FROM orders UNION ALL SELECT l_orderkey, NULL, l_extendedprice FROM lineitem) GROUP BY 1""")
+@query(f"""SELECT event_id % 2 AS part, user_id AS storm_number, count(*) AS n, round(sum(latitude), 2) AS latitude, count(peak) AS n_peaks, min(epoch_us(ts)) AS first_us
+FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN value END AS peak FROM {P}) GROUP BY 1, 2""")
 def scan_chain(spark, sf_dir):
-    o = names.snake_columns(_t(spark, sf_dir, "orders").toDF(*["O OrderKey", " custkey ", "Status", "Total-Price", "order date", "prio"])).select(F.col("o_orderkey").alias("orderkey"), "custkey")
-    l = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("orderkey"), F.col("l_extendedprice").alias("price"))
-    both = o.unionByName(l, allowMissingColumns=True)
-    return both.groupBy("orderkey").agg(F.count("*").alias("n"), F.count("custkey").alias("n_orders"), F.round(F.sum("price"), 2).alias("price"))
+    p, stamp = _points(spark, sf_dir), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    text = lambda c: F.col(c).cast("string")
+    day = lambda k, columns: tracks.normalize(p.where(F.col("event_id") % 2 == k).select(*[c.alias(n) for n, c in columns.items()], F.lit(k).alias("Part")))
+    both = tracks.unite([
+        day(0, {"Storm Number": text("user_id"), "Time (UTC)": stamp, "Longitude": text("longitude"), "Latitude": text("latitude"), "Peak dBZ": F.col("value")}),
+        day(1, {" storm id": F.concat(text("user_id"), F.lit(".0")), "LAT": text("latitude"), "obs time": stamp, "lon": text("longitude")}),
+    ])
+    return both.groupBy(F.col("part").cast("long").alias("part"), "storm_number").agg(F.count("*").alias("n"), _r(F.sum("latitude"), 2).alias("latitude"), F.count("peak_dbz").alias("n_peaks"), F.min(micros("time")).alias("first_us"))
 
 
 @query("""WITH k AS (SELECT 'K' || lpad(CAST(event_id % 40 AS VARCHAR), 3, '0') || strftime(ts, '%Y%m%d_%H%M%S') || CASE WHEN event_id % 4 = 0 THEN '_V06_MDM' ELSE '_V06' END AS key FROM events),
@@ -424,5 +540,40 @@ def report_positions(spark, sf_dir):
 @query("SELECT n_name AS network, count(*) AS stations, count(*) FILTER (s_acctbal > 0) AS reporting, round(max(s_acctbal), 2) AS top FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1 HAVING count(*) >= 2")
 def network_summary(spark, sf_dir):
     rows = _t(spark, sf_dir, "supplier").join(_t(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    found = rows.groupBy(F.col("n_name").alias("network")).agg(F.count("*").alias("stations"), F.count_if(F.col("s_acctbal") > 0).alias("reporting"), F.round(F.max("s_acctbal"), 2).alias("top"))
-    return found.where("stations >= 2").orderBy(F.desc("reporting"), "network")
+    found = summary.network_summary(rows.withColumn("balance", F.col("s_acctbal").cast("string")), "n_name", "balance")
+    return found.withColumn("top", F.round("top", 2))
+
+
+@query("SELECT event_id, user_id, value FROM (SELECT *, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM events) WHERE seen IS NULL OR value > seen")
+def running_max(spark, sf_dir):
+    return summary.running_max_guard(_t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "value").select("event_id", "user_id", "value")
+
+
+# the whole build over tracks that stay near their storm's place, every site scanning at the times of some events
+_TRACKS = "(SELECT *, 25e0 + (user_id * 377 % 2500) / 100e0 + (event_id % 20) / 50e0 AS latitude, -125e0 + (user_id * 591 % 5800) / 100e0 + (event_id % 13) / 50e0 AS longitude FROM events)"
+_NEAR_TRACKS = _NEAR.replace(P, _TRACKS)
+
+
+@query(f"""WITH {_NEAR_TRACKS}, p AS (SELECT user_id, site, min(ts) AS t FROM near GROUP BY 1, 2), q AS (SELECT * FROM p WHERE user_id IN (SELECT user_id FROM p GROUP BY 1 HAVING count(*) > 1)),
+fresh AS (SELECT user_id, site, (SELECT max(user_id) FROM near) + row_number() OVER (ORDER BY t, user_id, site) AS id FROM q),
+named AS (SELECT near.* EXCLUDE (k, user_id), coalesce(id, user_id) AS user_id FROM near LEFT JOIN fresh USING (user_id, site)),
+big AS (SELECT * FROM named WHERE user_id IN (SELECT user_id FROM named GROUP BY 1 HAVING count(*) >= 3)), {_CLUSTERS.format(gap=72, rows='big')},
+z AS (SELECT user_id, cluster, count(*) AS n FROM c GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, cluster) AS place, sum(n) OVER (PARTITION BY user_id) AS total, max(n) OVER (PARTITION BY user_id) AS best FROM z),
+m AS (SELECT user_id, cluster, CASE WHEN place = 1 THEN user_id ELSE (SELECT max(user_id) FROM big) + row_number() OVER (PARTITION BY place = 1 ORDER BY user_id, cluster) END AS storm_id FROM r WHERE best >= total * 0.3 AND best >= 3 AND n >= 3),
+kept AS (SELECT event_id, ts, site, d, storm_id FROM c JOIN m USING (user_id, cluster)),
+v AS (SELECT event_id AS vk, event_id % 100 AS site, ts AS vt FROM events),
+l AS (SELECT * FROM (SELECT kept.*, vk, row_number() OVER (PARTITION BY event_id ORDER BY abs(epoch_us(ts) - epoch_us(vt)), vt, vk) AS k FROM kept JOIN v ON kept.site = v.site AND CAST(ts AS DATE) = CAST(vt AS DATE) AND abs(epoch_us(ts) - epoch_us(vt)) <= 14400000000) WHERE k = 1),
+n AS (SELECT storm_id, site, count(*) AS T, min(epoch_us(ts)) AS t0 FROM l GROUP BY 1, 2)
+SELECT event_id AS row_id, CAST(storm_id AS BIGINT) AS storm_id, CAST(site AS VARCHAR) AS radar_site, vk AS volume_key, epoch_us(ts) // 1000 AS time_unix_ms, round(d, 4) AS distance_km, round(s.lat - 0.5, 6) AS min_lat, round(s.lon + 0.5, 6) AS max_lon, n.T AS n_times, n.t0 AS t0_us
+FROM l JOIN n USING (storm_id, site) JOIN {S} s USING (site)""")
+def storm_build(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    lat, lon = _lat("user_id", 377) + (F.col("event_id") % 20) / 50.0, _lon("user_id", 591) + (F.col("event_id") % 13) / 50.0
+    rows = e.select(F.col("event_id").alias("row_id"), F.col("user_id").alias("storm_number"), F.col("ts").alias("time"), lat.alias("latitude"), lon.alias("longitude"))
+    scans = e.select(F.col("event_id").alias("volume_key"), (F.col("event_id") % 100).alias("site"), F.col("ts").alias("volume_time"))
+    config = load_config({"linking": {"min_rows": 3, "max_gap_hours": 72.0, "majority_ratio": 0.3, "time_tolerance_s": 14400.0}})
+    none = spark.createDataFrame([], "volume_key long, sweep int, ray long, azimuth double, elevation double, fixed_angle double, values array<double>")
+    found = build.build(rows, _sites(spark, sf_dir).select("site", "lat", "lon"), scans, none, config)
+    times = found.catalog.select("storm_id", "radar_site", F.col("T").alias("n_times"), micros("t0").alias("t0_us"))
+    return found.context.join(times, ["storm_id", "radar_site"]).select("row_id", "storm_id", "radar_site", "volume_key", "time_unix_ms", _r("distance_to_site").alias("distance_km"), _r("min_lat", 6).alias("min_lat"), _r("max_lon", 6).alias("max_lon"), "n_times", "t0_us")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -31,3 +35,29 @@ def broadcast_if_small(df, rows: int = 100_000):
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+_LOCAL: dict[str, str] = {}
+
+
+def shared_folder(spark) -> str:
+    """Where intermediate tables go: the session's ``spark.checkpoint.dir``; a temporary folder only in a local
+    session, whose one process needs no shared disk."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    app = spark.sparkContext.applicationId
+    if configured:
+        return f"{configured.rstrip('/')}/cumulo-tables-{app}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by the driver and all executors")
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="cumulo-tables-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return f"file://{_LOCAL[app]}"
+
+
+def cut_lineage(df, label: str):
+    """``df`` written as Parquet into the shared folder and read back: plans that use a frame several times stay
+    small, and a lost executor costs no step before."""
+    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -82,17 +82,51 @@ def normalize(df: DataFrame) -> DataFrame:
     return out.dropna(subset=["time", "latitude", "longitude", "storm_number"])
 
 
+def present(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of ``paths`` that exist and are not empty, by listing each folder once."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    found: set[str] = set()
+    for folder in dict.fromkeys(p.rpartition("/")[0] for p in paths):
+        at = hadoop.Path(folder)
+        files = at.getFileSystem(conf)
+        if files.exists(at):
+            found.update(f"{folder}/{f.getPath().getName()}" for f in files.listStatus(at) if f.isFile() and f.getLen() > 0)
+    return [p for p in paths if p in found]
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file: an open and a read, no job."""
+    java, conf = spark._jvm.java.io, spark.sparkContext._jsc.hadoopConfiguration()
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    reader = java.BufferedReader(java.InputStreamReader(at.getFileSystem(conf).open(at), "UTF-8"))
+    try:
+        return (reader.readLine() or "").lstrip("\ufeff")
+    finally:
+        reader.close()
+
+
+def unite(scans: list[DataFrame]) -> DataFrame:
+    """Scans united by column name, missing columns null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
 def read(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Files of one separator are one scan; scans are united by column name, missing columns null."""
-    heads = {p: spark.read.text(p).limit(1).collect() for p in paths}  # one line per file
+    """Files of one separator and header are one scan; missing and empty files are left out."""
     groups: dict[tuple[str, str], list[str]] = {}
-    for p, head in heads.items():
-        if head and head[0][0].strip():
-            groups.setdefault((sniff(head[0][0]), head[0][0]), []).append(p)
+    for path in present(spark, paths):
+        if (head := first_line(spark, path)).strip():
+            groups.setdefault((sniff(head), head), []).append(path)
     if not groups:
         return spark.createDataFrame([], "time timestamp, latitude double, longitude double, storm_number bigint")
-    scans = [normalize(spark.read.csv(ps, header=True, sep=sep)) for (sep, _), ps in groups.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    return unite([normalize(spark.read.csv(ps, header=True, sep=sep)) for (sep, _), ps in groups.items()])
+
+
+def read_days(spark: SparkSession, folder: str, year: int, dates: list | None = None, cache: str | None = None, force: bool = False) -> DataFrame:
+    """The tracks of a year's days, from a snapshot of just these days if ``cache`` holds one."""
+    paths = day_paths(folder, year, dates)
+    if cache is None:
+        return read(spark, paths)
+    return cached(spark, cache, cache_key(folder=folder, paths=paths), lambda: read(spark, paths), ["time", "latitude", "longitude", "storm_number"], force)
 
 
 def cached(spark: SparkSession, folder: str, key: str, build, needed: list[str] = (), force: bool = False) -> DataFrame:

@@ -1,3 +1,5 @@
+import hashlib
+import json
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -5,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cumulo import config
-from cumulo.functions import geo, names
-from cumulo.operators import bbox, grid, linking, polar, robust, sessions, sites
+from cumulo.functions import geo, names, rank
+from cumulo.operators import bbox, build, grid, linking, polar, robust, sessions, sites, summary
 from cumulo.sources import outputs, reports, schema, tracks, volumes
 from cumulo.streaming import sessions as stream
 
@@ -129,11 +131,16 @@ def test_grid_plan_equals_brute_force(spark):
         d = np.hypot(gx - (c.x * 250.0 - 1000), gy - (c.y * 250.0 - 1000))
         far += d[c.ray, c.gate] > d.min() + 1e-6
     assert len(plan) == 81 and far == 0
+    # the same rule on whole scans
+    values = np.arange(30.0).reshape(6, 5)
+    cells = grid.from_polar(np.array(az), values, 1000.0, 250.0, 250.0, 250.0)
+    assert all(cells[c.y, c.x] == values[c.ray, c.gate] for c in plan)
 
 
 def test_impute_nearest(spark):
     cells = [(g, y, x, None if g == 2 or (y, x) == (0, 1) else float(3 * y + x)) for g in (1, 2) for y in range(3) for x in range(3)]
-    got = {(r.g, r.y, r.x): r.value for r in grid.impute_nearest(spark.createDataFrame(cells, "g int, y int, x int, value double"), ["g"]).collect()}
+    grids = grid.pack(spark.createDataFrame(cells, "g int, y int, x int, value double"), ["g"])
+    got = {(r.g, r.y, r.x): r.value for r in grid.unpack(grid.impute_nearest(grids, ["g"]), ["g"]).collect()}
     assert got[1, 0, 1] == (0 + 2 + 4 + 3) / 4 and got[1, 2, 2] == 8 and got[2, 1, 1] is None and len(got) == 18
 
 
@@ -153,6 +160,23 @@ def test_track_files(spark, tmp_path):
     (tmp_path / "b.csv").write_text("storm\ttime\tlon\tlat\n2\t2017-01-01 00:05:00\t-97\t35\n")
     df = tracks.read(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
     assert df.count() == 2 and "max_dbz" in df.columns
+    # a missing day, an empty one and one with a header only
+    days = tmp_path / "2017"
+    days.mkdir()
+    (days / "20170101.csv").write_text("storm,time,lon,lat\n1,2017-01-01 00:00:00,-97,35\n")
+    (days / "20170103.csv").write_text("")
+    (days / "20170104.csv").write_text("storm,time,lon,lat\n")
+    wanted = ["2017-01-01", "2017-01-02", "2017-01-03", "2017-01-04"]
+    assert tracks.read_days(spark, str(tmp_path), 2017, wanted).count() == 1
+    assert tracks.read_days(spark, str(tmp_path), 2017, wanted[1:3]).count() == 0
+    assert tracks.read_days(spark, str(tmp_path / "nowhere"), 2017, wanted).count() == 0
+    # snapshots are by what was asked
+    cache = str(tmp_path / "cache")
+    assert tracks.read_days(spark, str(tmp_path), 2017, wanted, cache).count() == 1
+    (days / "20170101.csv").write_text("storm,time,lon,lat\n1,2017-01-01 00:00:00,-97,35\n2,2017-01-01 00:00:00,-97,35\n")
+    assert tracks.read_days(spark, str(tmp_path), 2017, wanted, cache).count() == 1
+    assert tracks.read_days(spark, str(tmp_path), 2017, wanted, cache, force=True).count() == 2
+    assert tracks.read_days(spark, str(tmp_path), 2017, wanted[:1], cache).count() == 2
     with pytest.raises(KeyError):
         tracks.normalize(spark.createDataFrame([(1,)], "storm int"))
     assert len(tracks.day_list(2016)) == 366 and tracks.day_list(2017, ["2017-02-03", "2017-02-03"]) == [datetime(2017, 2, 3).date()]
@@ -168,6 +192,16 @@ def test_context_manifest_subset_bundle(spark, tmp_path):
     outputs.write_context(df, str(tmp_path / "ctx"))
     outputs.subset_by_site(spark, str(tmp_path / "ctx"), str(tmp_path / "sub"), 2017, ["KTLX"])
     assert spark.read.parquet(str(tmp_path / "sub")).count() == 1
+    outputs.subset_by_site(spark, str(tmp_path / "ctx"), str(tmp_path / "sub"), 2017, None, ["KTLX"])
+    assert [r.radar_site for r in spark.read.csv(str(tmp_path / "sub-catalog"), header=True).collect()] == ["KHGX"]
+    text = outputs.write_with_sidecar(spark, df.where("storm_id = 1"), str(tmp_path / "KTLX_1_context.parquet"))
+    side = json.loads(text)
+    assert side["sha256"] == hashlib.sha256((tmp_path / "KTLX_1_context.parquet").read_bytes()).hexdigest() and side["columns"]["time"]["declared"]
+    with pytest.raises(ValueError):
+        outputs.write_frames(df, str(tmp_path / "f"), {"radar_site": "KTLX"})
+    frames = spark.createDataFrame([(2017, "KTLX", [1.0])], "year int, radar_site string, data array<double>")
+    outputs.write_frames(frames, str(tmp_path / "f"), dict.fromkeys(schema.PRODUCT_ATTRIBUTES, "x"))
+    assert json.loads(spark.read.parquet(str(tmp_path / "f")).first().attributes)["site_lat"] == "x"
     d = tmp_path / "tree/2022/KHGX/storm_1"
     d.mkdir(parents=True)
     ctx = "KHGX_1_context_T2_20220101T000000Z_20220101T000100Z.h5"
@@ -204,4 +238,86 @@ def test_streamed_sessions_equal_batch(spark, tmp_path):
     q.awaitTermination(120)
     got = sorted((r.storm_id, r.n) for r in spark.read.schema("storm_id long, start timestamp, last timestamp, n long").parquet(str(tmp_path / "out")).collect())
     want = sorted((r.storm_id, r.n) for r in stream.sessions(df).collect())
-    assert want == [(1, 1), (1, 2), (2, 1)] and set(got) <= set(want + [(9, 1)])
+    assert want == [(1, 1), (1, 2), (2, 1)] and set(got) <= set(want + [(9, 1)]) and len(got) >= 2
+
+
+def test_ranks_in_ranges_equal_one_window(spark):
+    df = spark.range(500).select((F.col("id") * 37 % 101).alias("a"), F.col("id").alias("b"))
+    want = {(a, b): k for k, (a, b) in enumerate(sorted((i * 37 % 101, i) for i in range(500)), 1)}
+    for rows in (1_000, 60, 1):
+        got = rank.add_rank(df, F.col("a"), ["a", "b"], "k", rows).collect()
+        assert {(r.a, r.b): r.k for r in got} == want
+    plan = rank.add_rank(df, F.col("a"), ["a", "b"], "k", 60)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_points_are_not_moved_for_their_site(spark):
+    p = spark.createDataFrame([(1, 10.0, 179.9), (2, 89.5, 0.0), (3, -10.0, -179.95)], "point_id long, latitude double, longitude double")
+    s = spark.createDataFrame([("E", 10.1, -179.9), ("N", 89.0, 170.0), ("S", -10.0, 179.0), ("T", -10.0, -178.5)], "site string, lat double, lon double")
+    found = sites.nearest_active_site(p, s, 250.0)
+    assert {r.point_id: r.radar_site for r in found.collect()} == {1: "E", 2: "N", 3: "S"}
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_reports_meet_cells_once(spark):
+    t = datetime(2017, 5, 1, 12)
+    rng = np.random.default_rng(2)
+    cells = [(k, t + timedelta(minutes=int(m)), 0.0, 0.0, float(a), float(a + h), float(o), float(o + w)) for k, (m, a, o, h, w) in enumerate(zip(rng.integers(0, 60, 30), rng.uniform(-5, 5, 30), rng.uniform(-5, 5, 30), rng.uniform(0, 3, 30), rng.uniform(0, 3, 30)))]
+    rows = [("s", t + timedelta(minutes=int(m)), float(a), float(o), float(k), "w") for k, (m, a, o) in enumerate(zip(rng.integers(0, 60, 200), rng.uniform(-5, 5, 200), rng.uniform(-5, 5, 200)))]
+    want = sorted((c[0], int(r[4])) for c in cells for r in rows if abs((c[1] - r[1]).total_seconds()) <= 600 and c[4] <= r[2] <= c[5] and c[6] <= r[3] <= c[7])
+    found = linking.reports_near_cells(spark.createDataFrame(rows, "source string, time timestamp, lat double, lon double, gust double, type string"), spark.createDataFrame(cells, "cell_id int, time timestamp, latitude double, longitude double, min_lat double, max_lat double, min_lon double, max_lon double"), 10)
+    assert sorted((r.cell_id, int(r.gust)) for r in found.collect()) == want and len(want) > 20
+
+
+def test_summaries(spark):
+    df = spark.createDataFrame([("a", "1"), ("a", "x"), ("b", "2"), ("b", "-3"), ("c", "9"), (None, "1")], "net string, v string")
+    assert [(r.network, r.stations, r.reporting, r.top) for r in summary.network_summary(df, "net", "v").orderBy("network").collect()] == [("a", 2, 1, 1.0), ("b", 2, 1, 2.0)]
+    assert [(r.name, r.n) for r in summary.top_counts(df, "net", 2).collect()] == [("a", 2), ("b", 2)]
+    rows = spark.createDataFrame([(1, k, v) for k, v in enumerate([3, 1, 3, 4, None, 2, 5])], "g int, k int, v int")
+    assert sorted(r.k for r in summary.running_max_guard(rows, ["g"], ["k"], "v").collect()) == [0, 3, 6]
+
+
+def test_file_name_parts(spark):
+    span = "_20220101T000000Z_20220101T000100Z"
+    cases = {
+        f"KHGX_12_my_field_T5_8x9x1ch{span}.h5": ("KHGX", 12, "my_field", 5, 8, 9, 1),
+        f"KHGX_1_T5{span}.parquet": ("KHGX", 1, "T5", None, None, None, None),
+        f"KHGX_1_context{span}.h5": ("KHGX", 1, "context", None, None, None, None),
+        f"KHGX_1_8x9x1ch{span}.h5": ("KHGX", 1, "8x9x1ch", None, None, None, None),
+        f"KHGX_1_a-b{span}.h5": (None,) * 7, f"KHGX_x_a{span}.h5": (None,) * 7, f"khgx_1_a{span}.h5": (None,) * 7, "KHGX_1.h5": (None,) * 7, f"KHGX_1_a{span}.txt": (None,) * 7, "": (None,) * 7,
+    }
+    rows = spark.createDataFrame([(n,) for n in cases], "name string").withColumns(names.dataset_file_parts(F.col("name")))
+    assert {r["name"]: tuple(r[c] for c in ("site", "storm_id", "kind", "T", "H", "W", "C")) for r in rows.collect()} == cases
+
+
+def test_build_from_tracks_to_tensors(spark):
+    """Two storms at one radar, one within a blob of its scans; the other's volumes hold none."""
+    config_ = config.load({"linking": {"min_rows": 2}, "blobs": {"min_pixels": 4, "grid_m": 1000.0, "half_extent_km": 20.0, "nearby_km": 1.0, "buffer_km": 2.0}})
+    geometry = build.Geometry(first_range_m=500.0, gate_m=1000.0, max_gap_degrees=6.0)
+    at = lambda k: T0 + timedelta(minutes=5 * k)
+    tracks_ = spark.createDataFrame([(10 * s + k, s, at(k), 35.09 if s == 1 else 36.0, -97.0) for s in (1, 2) for k in range(3)], "row_id long, storm_number long, time timestamp, latitude double, longitude double")
+    radars = spark.createDataFrame([("KTLX", 35.0, -97.0), ("KNUL", None, None), ("KHGX", 36.0, -96.99)], "site string, lat double, lon double")
+    volumes_ = spark.createDataFrame([(f"{site}-{k}", site, at(k) + timedelta(seconds=10)) for site in ("KTLX", "KHGX") for k in range(3)], "volume_key string, site string, volume_time timestamp")
+    # echo from 8 to 12 km within 10 degrees of north, in the second sweep only; KHGX sees nothing
+    rays = [(f"{site}-{k}", sweep, r, 5.0 * r, 0.5, 0.5 + sweep, [40.0 if site == "KTLX" and sweep == 1 and (r <= 2 or r >= 70) and 7 <= g <= 11 else 5.0 for g in range(20)]) for site in ("KTLX", "KHGX") for k in range(3) for sweep in (0, 1) for r in range(72)]
+    rays = spark.createDataFrame(rays, "volume_key string, sweep int, ray int, azimuth double, elevation double, fixed_angle double, values array<double>")
+    out = build.build(tracks_, radars, volumes_, rays, config_, geometry)
+    assert sorted((r.row_id, r.volume_key) for r in out.links.collect()) == sorted((10 * s + k, f"{site}-{k}") for s, site in ((1, "KTLX"), (2, "KHGX")) for k in range(3))
+    boxes = {r.row_id: r for r in out.boxes.collect()}
+    assert all(boxes[10 + k].fitted and not boxes[20 + k].fitted for k in range(3))
+    b = boxes[10]
+    # the blob lies from 8 to 12 km north of the radar and some 2 km to either side; the buffer adds 2 km
+    assert 35 + 4.5 / 111 < b.min_lat < 35 + 7.5 / 111 and 35 + 12 / 111 < b.max_lat < 35 + 15.5 / 111
+    assert 3 / 91 < b.max_lon + 97 < 5.5 / 91 and b.max_lon + 97 == pytest.approx(-(b.min_lon + 97), abs=1e-6)
+    assert (boxes[20].min_lat, boxes[20].max_lat) == (35.5, 36.5)
+    catalog = {r.storm_id: r for r in out.catalog.collect()}
+    assert {k: (r.radar_site, r["T"], r.t0) for k, r in catalog.items()} == {1: ("KTLX", 3, T0), 2: ("KHGX", 3, T0)}
+    assert schema.problems(out.context) == [] and out.context.count() == 6
+    frames = out.frames.where("storm_id = 1").collect()
+    assert len(frames) == 6 and all(f["shape"] == [72, 20, 2] for f in frames)
+    kept = np.array(frames[0].data, float).reshape(72, 20)
+    inside = ~np.isnan(kept)
+    assert inside[0, 8:11].all() and not inside[0, 0] and not inside[36].any()
+    again = build.build(tracks_, radars, volumes_, rays, config_, geometry, saved=out.catalog.where("storm_id = 1").select("storm_id", "radar_site"))
+    assert {r.storm_id for r in again.catalog.collect()} == {2}
