@@ -14,7 +14,7 @@ unique runs are kept. Blocks that keep a token stay with it.
 
 The array is sorted by prefix doubling to the depth of RUN tokens, at which neighbours in it either agree in
 so many or not; a repeated run is a rank that occurs on two pages. A host's pages are dealt to blocks of
-``BLOCK_CHARS`` and each block has its own array, whose ranks, as hashes of their RUN tokens, are merged by two
+about ``BLOCK_PAGES`` or ``BLOCK_CHARS``, and each block has its own array, whose ranks, as hashes of their RUN tokens, are merged by two
 aggregates, so a run on a third of all pages, or a host with a third of them, is no single task.
 
 Pages whose streams are equal count as one page, so a mirrored page does not erase itself. Nor do two near
@@ -38,8 +38,9 @@ from pyspark.sql import functions as F
 
 from .common import bound_batches, grouped, materialize, small_side
 
-#: Least length in tokens of a repeated run; characters of a host's pages whose suffixes are sorted together, about.
-RUN, BLOCK_CHARS = 8, 2_000_000
+#: Least length in tokens of a repeated run; pages of a host, and their characters, whose suffixes are sorted
+#: together, about.
+RUN, BLOCK_PAGES, BLOCK_CHARS = 8, 500, 2_000_000
 #: Share of a page's open text that marks it as a copy of one other page.
 COPY = 0.8
 #: Rows up to which a side of a join is broadcast, after counting them.
@@ -323,7 +324,7 @@ def _runs(parsed: DataFrame, run: int) -> DataFrame:
     evidence = F.transform("aside", lambda t: F.struct(t.alias("text"), F.lit(False).alias("free")))
     streams = parsed.select(F.xxhash64("host").alias("host"), "row", F.concat(open_text, evidence).alias("blocks")).where(F.size("blocks") > 0)
     chars = F.char_length(F.array_join("blocks.text", " ")).cast("long")
-    parts = small_side(streams.groupBy("host").agg((F.floor(F.sum(chars) / BLOCK_CHARS) + 1).alias("parts")), BROADCAST_ROWS)
+    parts = small_side(streams.groupBy("host").agg((F.floor(F.sum(chars) / BLOCK_CHARS + F.count("*") / BLOCK_PAGES) + 1).alias("parts")), BROADCAST_ROWS)
     dealt = streams.join(parts, "host").select("host", F.pmod(F.xxhash64("row"), F.col("parts")).alias("part"), "row", "blocks")
     ordered = dealt.repartition("host", "part").sortWithinPartitions("host", "part", "row")
 

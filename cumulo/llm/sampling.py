@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_side
+from .common import materialize, small_side
 
 
 #: Characters of all texts of a class together that come to the driver.
@@ -27,9 +29,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_column: str, allow
     chosen = pick(0).unionByName(pick(1))
     usable = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", "text")
     found = usable.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("__y").alias("y"))
-    # a window over sum(at_most) rows
-    so_far = F.sum(F.length("text").cast("long")).over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    pdf = found.withColumn("__chars", so_far).where(F.col("__chars") <= total_chars).toPandas().sort_values("doc_id")
+    found = materialize(found.withColumn("h", F.xxhash64("doc_id")), "labelled-sample")
+    # the hashes up to which the characters are few enough, from sum(at_most) lengths
+    sizes = found.select("y", "h", F.length("text").alias("n")).toPandas().sort_values(["y", "h"])
+    last = {y: int(rows.h[rows.n.cumsum() <= total_chars].max()) for y, rows in sizes.groupby("y") if (rows.n.iloc[0] <= total_chars)}
+    if not last:
+        return [], []
+    within = reduce(lambda a, b: a | b, [(F.col("y") == y) & (F.col("h") <= h) for y, h in last.items()])
+    pdf = found.where(within).toPandas().sort_values("doc_id")
     return pdf["text"].tolist(), pdf["y"].astype(int).tolist()
 
 
