@@ -605,3 +605,111 @@ def test_intermediates_can_be_deleted(spark):
     assert os.path.exists(path)
     common.forget(spark)
     assert not os.path.exists(path)
+
+
+def plain_fingerprint(text, k=3):
+    import re
+
+    import xxhash
+
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0d]+", lower)
+    if not words:
+        return 0
+    votes = [xxhash.xxh64(" ".join(words[i : i + k]).encode(), seed=42).intdigest() for i in range(max(1, len(words) - k + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in votes) > len(votes))
+
+
+def test_fingerprints_equal_a_plain_bit_vote(spark):
+    rng = random.Random(12)
+    texts = ["".join(rng.choices(["a", "B", " ", "\t", "\x0b", "\x1c", " ", "É", "x y", "\n", " "], k=rng.randint(0, 40))) for _ in range(300)] + [None, "", "One", "One two", prose(30_000, rng)]
+    got = {r.doc_id: r.fp for r in simhash_dedup.fingerprints(docs_of(spark, [*enumerate(texts)])).collect()}
+    assert [got[i] & (1 << 64) - 1 for i in range(len(texts))] == [plain_fingerprint(t) for t in texts]
+
+
+def test_languages_of_held_out_documents(spark):
+    got = QUERIES["op8_language_id"](spark, "/root/testdata/sf0.01")
+    truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null").select("doc_id", "lang")
+    right = got.join(truth, "doc_id").where("held_out").select(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
+    assert right >= 0.98 and got.count() == 1000 and got.where("score is null or score < 0 or score > 1").count() == 0
+
+
+def test_multi_index_meets_all_fingerprints_within_the_radius(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(-(1 << 62), 1 << 62, 60)
+    rows = [(int(i), int(b), int(b) ^ sum(1 << int(k) for k in rng.choice(63, int(rng.integers(0, decontamination.RADIUS + 1)), replace=False))) for i, b in enumerate(base)]
+    df = spark.createDataFrame(rows, "i long, a long, b long")
+    met = df.select("i", F.inline(decontamination.index_postings(F.col("a"), decontamination.RADIUS))).join(df.select("i", F.inline(decontamination.index_blocks(F.col("b")))), ["i", "block", "bits"])
+    assert met.select("i").distinct().count() == len(rows)
+    others = df.select("i", F.inline(decontamination.index_postings(F.col("a"), decontamination.RADIUS))).join(df.select(F.col("i").alias("j"), F.inline(decontamination.index_blocks(F.col("b")))), ["block", "bits"]).where("i <> j").select("i", "j").distinct().count()
+    assert others < 0.35 * len(rows) * (len(rows) - 1)  # it selects: few of the others meet
+
+
+def test_running_counts_give_the_fingerprints_of_windows(spark):
+    for largest in (20, 100_000):
+        counters = decontamination.Counters(largest)
+        rng = random.Random(largest)
+        bags = {k: [rng.getrandbits(64) - (1 << 63) for _ in range(rng.randint(1, 20))] for k in range(40)}
+        df = spark.createDataFrame([(k, h) for k, bag in bags.items() for h in bag], "k int, h long")
+        summed = df.select("k", *[x.alias(n) for n, x in zip(counters.names, counters.of(F.col("h")))]).groupBy("k").agg(F.count("*").alias("size"), *[F.sum(n).alias(n) for n in counters.names])
+        got = {r.k: r.fp & (1 << 64) - 1 for r in summed.select("k", counters.fingerprint(F.col("size")).alias("fp")).collect()}
+        assert got == {k: sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in bag) > len(bag)) for k, bag in bags.items()}
+
+
+def test_decontamination_of_long_texts_and_many_copies(spark):
+    rng = random.Random(21)
+    word = lambda: f"z{rng.randint(0, 9999)}"
+    items = [" ".join(word() for _ in range(n)) for n in range(15, 55)]
+    filler = lambda n: [word() for _ in range(n)]
+    long_text = " ".join(w for k in range(400) for w in [*filler(60), *items[k % 40].split()])
+    rows = [(0, long_text), (1, " ".join(filler(40_000)))] + [(k, " ".join(["some"] + [items[3], "words"])) for k in range(2, 300)] + [(7, None), (None, items[5])]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.matches(docs_of(spark, rows), bench).where("similarity = 1").collect()}
+    assert got == {(0, k) for k in range(40)} | {(k, 3) for k in range(2, 300)} | {(None, 5)}
+
+
+STAGE_DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, node string, body string, doc string, y int, h long, passages string"
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    good = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) > 500").orderBy("doc_id").limit(3).collect()
+    texts = [(1, None), (1, None), (2, ""), (None, "one"), (None, "one"), (3, good[0].text), (3, good[0].text), (4, good[1].text), (5, "word " * 60_000), (6, "\u0000퟿ \t\n")]
+    rows = spark.createDataFrame([(i, t, None, "s", None, "a", "b", "c", "d", 1, 2, "e") for i, t in texts], STAGE_DOCS)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, rows, sf)
+        if name != "packing":
+            assert out.columns == rows.columns and out.dtypes == rows.dtypes, name
+        if name != "quality":  # none of these rows is a clean text's only
+            assert out.count() > 0, name
+        assert stage(spark, rows.limit(0), sf).count() == 0, name
+    kept = sorted((r.doc_id or -1, r.text or "") for r in corpus_pipeline.near_duplicate_stage(spark, rows, sf).collect())
+    assert [i for i, _ in kept] == [-1, 1, 3, 4, 5, 6]  # null and empty texts are one; repeated rows too
+
+
+def test_pipeline_equals_plain_versions(spark):
+    """Which documents come through all stages, and in how many pieces, from a plain version of every stage."""
+    import re
+
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    predicted = {name: {r.doc_id: r.predicted for r in QUERIES[name](spark, sf).collect()} for name in ("op1_quality_classifier", "op9_toxicity")}
+    left = [i for i in sorted(docs) if predicted["op1_quality_classifier"][i] == 1 and predicted["op9_toxicity"][i] == 0]
+    words = {i: docs[i].encode().lower().split() for i in left}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
+    near = lambda a, b: sets[a] == sets[b] or (sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    label = components_of(left, lambda a, b: near(a, b))
+    left = [i for i in left if label[i] == i]
+    cut = lambda t: [w for w in re.split(r"[\W_]+", t.lower()) if w]
+    items = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    runs = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in map(cut, items)]
+    leaks = lambda t: any(s & {tuple(w[k : k + 5]) for w in [cut(t)] for k in range(len(w))} and brute_similarity(t, b) >= 0.8 - 1e-12 for s, b in zip(runs, items))
+    left = [i for i in left if not leaks(docs[i])]
+    tokenizer = Tokenizer.from_file(tokenizer_path(WORD))
+    want = sorted((i, k) for i in left for k in range(-(-(len(tokenizer.encode(docs[i], add_special_tokens=False).ids) + 1) // 2048)))
+    assert sorted((r.doc_id, r.piece) for r in corpus_pipeline.run(spark, sf).collect()) == want and len(want) > 50
