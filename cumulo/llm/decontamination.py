@@ -44,7 +44,7 @@ LANE_MOST = (1 << LANE) - 1
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def shingles(tokens: Column, k: int) -> Column:
@@ -140,7 +140,10 @@ def _hits(docs: DataFrame, known: DataFrame, least: dict[int, int], similarity:
     known = small_side(known, BROADCAST_ROWS)
     found = []
     for k, m in least.items():  # one pass, but for items of fewer words than a shingle
-        rows = tokens.where(F.size("w") >= k).select("doc", "body", (F.size("w") - k + 1).alias("total"), F.posexplode(shingles(F.col("w"), k)).alias("pos", "h"))
+        # only places are generated, beside the words: shingles are hashed in generated code, not in a function of arrays
+        places = F.when(F.size("w") >= k, F.sequence(F.lit(0), F.size("w") - k))
+        rows = tokens.select("doc", "body", "w", (F.size("w") - k + 1).alias("total"), F.explode(places).alias("pos"))
+        rows = rows.select("doc", "body", "total", "pos", F.xxhash64(*[F.get("w", F.col("pos") + j) for j in range(k)]).alias("h"))
         rows = rows.join(known.where(F.col("k") == k).drop("k"), "h").groupBy("doc", "body", "total").agg(F.array_sort(F.collect_set(F.struct("pos", "h"))).alias("hits"))
         found.append(rows.where(F.size("hits") >= _need(F.lit(m), F.col("total"), similarity)).select("doc", "body", F.lit(k).alias("k"), "total", "hits"))
     return reduce(DataFrame.unionByName, found)
