@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontamination, html_extraction, language, packing, permutation_index, quality, simhash_dedup, toxicity, warc
+from . import bitpack, decontamination, html_extraction, language, packing, permutation_index, power_packing, quality, simhash_dedup, token_alignment, toxicity, warc
 from .common import fold, table
 
 
@@ -67,7 +67,16 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_vector_packing, op3_html_extraction, op4_bit_packing, op5_decontamination, op6_warc_transactions, op7_simhash_dedup, op8_language_id, op9_toxicity, op10_permutation_index)}
+def op11_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = power_packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket_rank")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.score_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_vector_packing, op3_html_extraction, op4_bit_packing, op5_decontamination, op6_warc_transactions, op7_simhash_dedup, op8_language_id, op9_toxicity, op10_permutation_index, op11_power_of_two_packing, op12_token_alignment)}
 
 #: Only this operator's result is expressible in SQL: the others rest on a tokenizer, a fitted model,
 #: XXH64 or an HTML parser, which DuckDB lacks, or are approximate.
