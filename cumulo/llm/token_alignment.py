@@ -2,16 +2,14 @@
 
 Vocabulary A is a byte-level BPE, B a SentencePiece one that writes a space before the text; both are
 compared on the bytes of space+text. The tokens of a text are the nodes of a bipartite graph, with an
-edge wherever a token of A and one of B share a byte. Union-find over those edges (met in order, by two
-pointers, so linear in the tokens) gives connected components, which are exactly the minimal groups
-between byte offsets where tokens of both vocabularies end. Inside a component, members whose byte
-ranges end together are linked.
+edge wherever a token of A and one of B share a byte. Union-find over those edges gives connected
+components, which are exactly the minimal groups between byte offsets where tokens of both
+vocabularies end. Inside a component, members whose byte ranges end together are linked: its last ones,
+as two others that ended together would have cut it there.
 
-No edge crosses a place where both vocabularies are certain to end a token: before a space or line
-feed that stands alone between two characters that are not space. Texts are cut there, and what
-is found for a unit is kept per worker, as most units are words seen before. The certainty rests
-on B having no piece with a space mark after another character, and none with a line feed, which is
-looked up when the vocabulary is loaded; if it does not hold, texts are aligned whole.
+Whole texts are encoded by the libraries, some megabytes at once, and union-find runs on arrays: in a
+round every edge hooks the greater of its two roots below the lesser and all parents are followed to
+their roots, until no edge joins two roots.
 
 Pairs are counted over the corpus by an aggregate over each document's distinct pairs, each with its
 number, so a frequent pair is added up before the shuffle. The counts come back to the documents
@@ -26,9 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,53 +37,33 @@ from .tokenize import _BYTE_LETTERS
 
 #: Distinct pairs that a broadcast may hold (about 40 bytes each).
 BROADCAST_PAIRS = 1_000_000
-#: Units kept per worker, in two generations, and the longest one kept, in characters. Bound memory, change no result.
-KEPT_UNITS, KEPT_LENGTH = 100_000, 48
-#: Characters whose results are sent to Spark together.
+#: Characters that are encoded and aligned together.
 CHARACTERS_AT_ONCE = 2 << 20
 
-#: Before a lone space or line feed between two characters that are not space to any of the libraries.
-_CUT = re.compile(r"(?<=[^\s\u180e])(?=[ \n][^\s\u180e])")
 
+def components(first: np.ndarray, second: np.ndarray, nodes: int) -> np.ndarray:
+    """The least node of every node's connected component, by union-find over edges (first, second)."""
+    parent = np.arange(nodes)
+    while True:
+        a, b = parent[first], parent[second]
+        apart = a != b
+        if not apart.any():
+            return parent
+        first, second, a, b = first[apart], second[apart], a[apart], b[apart]
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(above := parent[parent], parent):
+            parent = above
 
-def components(ends_a: list[int], ends_b: list[int]) -> list[tuple[list[int], list[int]]]:
-    """Connected components (members of A, members of B), in text order, of the graph that joins overlapping
-    tokens; tokens are given by their rising end offsets, both tokenizations cover the same bytes."""
-    n_a, n_b = len(ends_a), len(ends_b)
-    parent = list(range(n_a + n_b))
 
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    i = j = 0
-    while i < n_a and j < n_b:
-        parent[root(n_a + j)] = root(i)
-        end_a, end_b = ends_a[i], ends_b[j]
-        i += end_a <= end_b
-        j += end_b <= end_a
-    found: dict[int, tuple[list[int], list[int]]] = {}
-    for x in range(n_a):
-        found.setdefault(root(x), ([], []))[0].append(x)
-    for x in range(n_b):
-        found[root(n_a + x)][1].append(x)
-    return list(found.values())
-
-
-class Aligned:
-    """What is known of a unit or a whole text: its groups as text, linked pairs, and numbers of tokens."""
-
-    __slots__ = ("groups", "pairs", "n_a", "n_b", "n_groups")
-
-    def __init__(self, ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]):
-        written, pairs = [], array("q")
-        for members_a, members_b in components(ends_a, ends_b):
-            written.append(",".join(str(ids_a[i]) for i in members_a) + "|" + ",".join(str(ids_b[j]) for j in members_b))
-            by_end = {ends_b[j]: ids_b[j] for j in members_b}
-            pairs.extend(ids_a[i] << 32 | by_end[ends_a[i]] for i in members_a if ends_a[i] in by_end)
-        self.groups, self.pairs, self.n_a, self.n_b, self.n_groups = ";".join(written), pairs.tobytes(), len(ids_a), len(ids_b), len(written)
+def overlap_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the component, in text order, of every token of A and of B; tokens are given by their rising end
+    offsets, both cover the same bytes."""
+    stops = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+    stops = stops[np.r_[stops[1:] != stops[:-1], True][: len(stops)]]
+    # between two neighbouring offsets lie just one token of A and one of B: an edge
+    root = components(np.searchsorted(ends_a, stops), len(ends_a) + np.searchsorted(ends_b, stops), len(ends_a) + len(ends_b))
+    number = lambda r: np.cumsum(np.r_[0, r[1:] != r[:-1]][: len(r)])
+    return number(root[: len(ends_a)]), number(root[len(ends_a) :])
 
 
 class Aligner:
@@ -98,56 +75,52 @@ class Aligner:
         self.a, self.b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
         self.a.encode_special_tokens = True
         byte = {_BYTE_LETTERS.get(b, chr(b)): b for b in range(256)}
-        self.bytes_a = {}
-        for entry, number in self.a.get_vocab(with_added_tokens=True).items():
-            self.bytes_a[number] = bytes(byte[c] for c in entry) if all(c in byte for c in entry) else entry.encode()
+        entries = {number: entry for entry, number in self.a.get_vocab(with_added_tokens=True).items()}
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
+        self.bytes_a = [bytes(map(byte.__getitem__, entries[k])) if all(c in byte for c in entries.get(k, "")) and k in entries else b"" for k in range(max(entries) + 1)]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
-        self.mark = self.b.piece_to_id("▁")
-        self.separable = not any("\n" in p or "▁" in p.lstrip("▁") for p in pieces)
-        self.young: dict[str, Aligned | None] = {}
-        self.old: dict[str, Aligned | None] = {}
-
-    @staticmethod
-    def _ends(tokens: list[bytes]) -> list[int]:
-        return np.cumsum([len(t) for t in tokens]).tolist()
-
-    def compare(self, spaced: str) -> Aligned | None:
-        """Alignment of a text that starts with the space or line feed before it; None if the bytes of either differ."""
-        ids_a = self.a.encode(spaced, add_special_tokens=False).ids
-        if spaced[0] == " ":
-            ids_b = self.b.encode(spaced[1:], num_threads=1)
-        else:
-            # the library puts a space before the line feed
-            ids_b = self.b.encode(spaced, num_threads=1)
-            if ids_b[:1] != [self.mark]:
-                return None
-            ids_b = ids_b[1:]
-        tokens_a, tokens_b, want = [self.bytes_a[k] for k in ids_a], [self.bytes_b[k] for k in ids_b], spaced.encode()
-        if b"".join(tokens_a) != want or b"".join(tokens_b) != want:
-            return None
-        return Aligned(ids_a, self._ends(tokens_a), ids_b, self._ends(tokens_b))
-
-    def _unit(self, unit: str) -> Aligned | None:
-        if unit in self.young:
-            return self.young[unit]
-        found = self.old[unit] if unit in self.old else self.compare(unit)
-        if len(unit) <= KEPT_LENGTH:
-            if len(self.young) >= KEPT_UNITS // 2:
-                self.old, self.young = self.young, {}
-            self.young[unit] = found
-        return found
-
-    def align(self, text: str | None) -> list[Aligned]:
-        """The alignments whose concatenation is the text's; none if it counts as without tokens."""
-        if not text:
-            return []
-        if self.separable:
-            found = [self._unit(unit) for unit in _CUT.split(" " + text)]
-            if None not in found:
-                return found
-        whole = self.compare(" " + text)
-        return [whole] if whole else []
+        self.length_a, self.length_b = (np.array([len(t) for t in known]) for known in (self.bytes_a, self.bytes_b))
+        # an id is written with what follows it: a comma, or the end of its side of the group
+        self.written = [f"{k}{mark}" for known, end in ((self.bytes_a, "|"), (self.bytes_b, ";")) for k in range(len(known)) for mark in (",", end)]
+
+    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and of B of every text; none where the bytes differ."""
+        spaced = [" " + t if t else "" for t in texts]
+        ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        ids_b = self.b.encode([t or "" for t in texts], num_threads=1)
+        for k, text in enumerate(spaced):
+            want = text.encode()
+            if not want or b"".join(map(self.bytes_a.__getitem__, ids_a[k])) != want or b"".join(map(self.bytes_b.__getitem__, ids_b[k])) != want:
+                ids_a[k] = ids_b[k] = []
+        return ids_a, ids_b
+
+    def align(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[str], list[np.ndarray], list[np.ndarray]]:
+        """For every text: (its numbers of tokens of A, of B, of groups, of links), its groups as text, its distinct
+        linked pairs, and the links of each."""
+        ids_a, ids_b = self.encode(texts)
+        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, n) for ids, n in ((ids_a, n_a.sum()), (ids_b, n_b.sum())))
+        # texts follow one another in either tokenization, so all texts are aligned at once
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        group_a, group_b = overlap_groups(ends_a, ends_b)
+        last_a, last_b = (np.r_[g[1:] != g[:-1], True][: len(g)] for g in (group_a, group_b))
+        texts_of = np.repeat(np.arange(len(texts)), n_a)[last_a]
+        n_groups = np.bincount(texts_of, minlength=len(texts))
+        # links of a component: its members that end together
+        together = ends_a[last_a] == ends_b[last_b]
+        pair, place = np.unique(a[last_a][together] << 32 | b[last_b][together], return_inverse=True)
+        key, links = np.unique(texts_of[together] * max(1, len(pair)) + place, return_counts=True)
+        cut = np.searchsorted(key, np.arange(1, len(texts)) * max(1, len(pair)))
+        pairs, links = np.split(pair[key % max(1, len(pair))], cut), np.split(links.astype(np.int64), cut)
+        # ids of A and B in written order: a group's B ids after its A ids
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = 2 * a + last_a
+        order[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = 2 * len(self.bytes_a) + 2 * b + last_b
+        words = [self.written[k] for k in order.tolist()]
+        stops = np.cumsum(n_a + n_b).tolist()
+        groups = ["".join(words[i:j])[:-1] for i, j in zip([0, *stops], stops)]
+        numbers = np.stack([n_a, n_b, n_groups, np.array([n.sum() for n in links], np.int64)], 1)
+        return list(numbers), groups, pairs, links
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -161,35 +134,32 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 
 def align_documents(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Rows (doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs[, groups]): the alignment of every document.
+    """Rows (doc_id, n_a, n_b, n_groups, n_links, groups_sha256, [groups,] pairs): the alignment of every document.
     ``pairs`` holds each linked pair (A's id times 2**32 plus B's) once, with its number of links."""
-    types = [pa.int64()] * 5 + [pa.string()] * (1 + keep_groups)
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", *["groups"] * keep_groups, "pairs"]
 
-    def batch(rows: list[tuple], pairs: list, numbers: list) -> pa.RecordBatch:
-        offsets = pa.array(np.cumsum([0, *map(len, pairs)]), pa.int32())
-        links = pa.StructArray.from_arrays([pa.array(np.concatenate(pairs)), pa.array(np.concatenate(numbers))], ["pair", "n"])
-        return pa.RecordBatch.from_arrays([*(pa.array(v, t) for v, t in zip(zip(*rows), types)), pa.ListArray.from_arrays(offsets, links)], names=names)
+    def batch(ids: list, texts: list[str | None]) -> pa.RecordBatch:
+        numbers, groups, pairs, links = aligner(path_a, path_b).align(texts)
+        columns = {"doc_id": pa.array(ids, pa.int64())}
+        columns |= {name: pa.array(values, pa.int64()) for name, values in zip(("n_a", "n_b", "n_groups", "n_links"), np.stack(numbers, 1))}
+        columns["groups_sha256"] = pa.array([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups], pa.string())
+        if keep_groups:
+            columns["groups"] = pa.array(groups, pa.string())
+        linked = pa.StructArray.from_arrays([pa.array(np.concatenate(pairs)), pa.array(np.concatenate(links))], ["pair", "n"])
+        columns["pairs"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, pairs)]), pa.int32()), linked)
+        return pa.RecordBatch.from_pydict(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by, rows, pairs, numbers, size = aligner(path_a, path_b), [], [], [], 0
+        ids, texts, size = [], [], 0
         for given in batches:
             for doc_id, text in zip(given.column(0), given.column(1)):
-                text = text.as_py()
-                parts = by.align(text)
-                written = ";".join([p.groups for p in parts])
-                ids, count = np.unique(np.frombuffer(b"".join([p.pairs for p in parts]), np.int64), return_counts=True)
-                digest = hashlib.sha256(written.encode()).hexdigest() if parts else ""
-                row = (doc_id.as_py(), sum(p.n_a for p in parts), sum(p.n_b for p in parts), sum(p.n_groups for p in parts), int(count.sum()), digest)
-                rows.append((*row, written) if keep_groups else row)
-                pairs.append(ids)
-                numbers.append(count.astype(np.int64))
-                size += len(text or "")
+                ids.append(doc_id.as_py())
+                texts.append(text.as_py())
+                size += len(texts[-1] or "")
                 if size >= CHARACTERS_AT_ONCE:
-                    yield batch(rows, pairs, numbers)
-                    rows, pairs, numbers, size = [], [], [], 0
-        if rows:
-            yield batch(rows, pairs, numbers)
+                    yield batch(ids, texts)
+                    ids, texts, size = [], [], 0
+        if ids:
+            yield batch(ids, texts)
         release_memory()
 
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, " + "groups string, " * keep_groups + "pairs array<struct<pair:long,n:long>>"

@@ -152,24 +152,34 @@ def test_alignment_of_odd_rows(spark, monkeypatch, broadcast):
     assert all(hashlib.sha256(r.groups.encode()).hexdigest() == r.groups_sha256 for r in aligned.collect() if r.n_a)
 
 
-def test_alignment_of_whole_texts_equals_that_of_units():
-    cut, whole = (token_alignment.Aligner(tokenizer_path(BYTE), tokenizer_path(PIECE)) for _ in "ab")
-    assert cut.separable
-    whole.separable = False
-    texts = [r["text"] for r in pq.read_table(f"{SF}/documents.parquet", columns=["text"]).to_pylist()] + ["word " * 200_000 + "end"]
-    for text in texts:
-        assert ";".join(p.groups for p in cut.align(text)) == ";".join(p.groups for p in whole.align(text))
-    assert len(cut.young) + len(cut.old) <= token_alignment.KEPT_UNITS
+def test_alignment_of_a_very_long_text():
+    by = token_alignment.Aligner(tokenizer_path(BYTE), tokenizer_path(PIECE))
+    text = "Word, wörd " * 60_000 + "end"
+    (numbers,), (groups,), (pairs,), (links,) = by.align([text])
+    a, b, want, linked = Plain()(text[: 11 * 20])
+    assert groups.startswith(";".join(want[:-2])) and numbers[2] == groups.count(";") + 1 == numbers[3] == links.sum()
+    assert set(linked[:-2]) <= {(p >> 32, p & 0xFFFFFFFF) for p in pairs.tolist()}
 
 
 def test_components_are_the_minimal_groups():
     for _ in range(2000):
         n = RNG.randint(1, 30)
-        ends = [sorted({*RNG.sample(range(1, n + 1), RNG.randint(0, n)), n}) for _ in "ab"]
-        got = token_alignment.components(*ends)
-        cuts = sorted(set(ends[0]) & set(ends[1]))
-        assert [(ends[0][a[-1]], ends[1][b[-1]]) for a, b in got] == [(c, c) for c in cuts]
-        assert [sum(map(sorted, side), []) for side in zip(*got)] == [list(range(len(e))) for e in ends]
+        ends = [np.array(sorted({*RNG.sample(range(1, n + 1), RNG.randint(0, n)), n})) for _ in "ab"]
+        cuts = sorted({*ends[0].tolist()} & {*ends[1].tolist()})
+        for got, side in zip(token_alignment.overlap_groups(*ends), ends):
+            assert got.tolist() == np.searchsorted(cuts, side).tolist()
+
+
+def test_union_find_equals_a_plain_one():
+    for _ in range(500):
+        nodes = RNG.randint(1, 40)
+        edges = [(RNG.randrange(nodes), RNG.randrange(nodes)) for _ in range(RNG.randint(0, 40))]
+        least = list(range(nodes))
+        for _ in range(nodes):
+            for i, j in edges:
+                least[i] = least[j] = min(least[i], least[j])
+        first, second = (np.array([e[k] for e in edges], int) for k in (0, 1))
+        assert token_alignment.components(first, second, nodes).tolist() == least
 
 
 def test_alignment_of_an_empty_table(spark):
