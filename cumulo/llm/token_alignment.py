@@ -23,9 +23,7 @@ table -> no rows; extra columns are ignored; very long texts are treated whole,
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +31,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, hot_join, materialize, release_memory
-from .tokenize import _BYTE_LETTERS
+from .tokenize import _BYTE_LETTERS, PieceEncoder
 
 #: Distinct pairs that a broadcast may hold (about 40 bytes each).
 BROADCAST_PAIRS = 1_000_000
 #: Characters that are encoded and aligned together.
 CHARACTERS_AT_ONCE = 2 << 20
+#: Words of A kept per worker, in two generations. Bounds memory, changes no result.
+KEPT_PIECES = 500_000
+
+_NONE = np.empty(0, np.uint32)
 
 
 def components(first: np.ndarray, second: np.ndarray, nodes: int) -> np.ndarray:
@@ -69,29 +71,41 @@ def overlap_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray,
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.a, self.b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
-        self.a.encode_special_tokens = True
+        self.words, self.b = PieceEncoder(path_a), SentencePieceProcessor(model_file=path_b)
+        self.words.tokenizer.encode_special_tokens = True
         byte = {_BYTE_LETTERS.get(b, chr(b)): b for b in range(256)}
-        entries = {number: entry for entry, number in self.a.get_vocab(with_added_tokens=True).items()}
+        entries = {number: entry for entry, number in self.words.tokenizer.get_vocab(with_added_tokens=True).items()}
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.bytes_a = [bytes(map(byte.__getitem__, entries[k])) if all(c in byte for c in entries.get(k, "")) and k in entries else b"" for k in range(max(entries) + 1)]
+        # without a normalizer and with an entry for every byte, a byte-level vocabulary gives back what it was given
+        self.exact = self.words.tokenizer.normalizer is None and {bytes([b]) for b in range(256)} <= set(self.bytes_a)
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
         self.length_a, self.length_b = (np.array([len(t) for t in known]) for known in (self.bytes_a, self.bytes_b))
         # an id is written with what follows it: a comma, or the end of its side of the group
         self.written = [f"{k}{mark}" for known, end in ((self.bytes_a, "|"), (self.bytes_b, ";")) for k in range(len(known)) for mark in (",", end)]
 
-    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
+    def _ids_a(self, text: str) -> bytes:
+        """Ids of space+text, from those of its words where they are certain, as little-endian unsigned 32-bit bytes."""
+        pieces = self.words._pieces(text)
+        if pieces is None:
+            return self.words._ids(" " + text)
+        pieces[0] = " " + pieces[0]
+        if len(self.words.known) >= KEPT_PIECES // 2:
+            self.words.known.old = {}
+            self.words.known = type(self.words.known)(self.words._learn, self.words.known)
+        return b"".join(map(self.words.known.__getitem__, pieces))
+
+    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and of B of every text; none where the bytes differ."""
-        spaced = [" " + t if t else "" for t in texts]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        ids_b = self.b.encode([t or "" for t in texts], num_threads=1)
-        for k, text in enumerate(spaced):
-            want = text.encode()
-            if not want or b"".join(map(self.bytes_a.__getitem__, ids_a[k])) != want or b"".join(map(self.bytes_b.__getitem__, ids_b[k])) != want:
-                ids_a[k] = ids_b[k] = []
+        ids_a = [np.frombuffer(self._ids_a(t), "<u4") if t else _NONE for t in texts]
+        ids_b = [np.array(x, np.uint32) for x in self.b.encode([t or "" for t in texts], num_threads=1)]
+        for k, text in enumerate(texts):
+            want = (" " + text).encode() if text else b""
+            # the sum of lengths tells most that differ; A's bytes are the text's unless an entry is no byte string
+            same = len(want) == self.length_a[ids_a[k]].sum() == self.length_b[ids_b[k]].sum() and b"".join(map(self.bytes_b.__getitem__, ids_b[k].tolist())) == want
+            if not want or not same or not self.exact and b"".join(map(self.bytes_a.__getitem__, ids_a[k].tolist())) != want:
+                ids_a[k] = ids_b[k] = _NONE
         return ids_a, ids_b
 
     def align(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[str], list[np.ndarray], list[np.ndarray]]:
@@ -99,7 +113,7 @@ class Aligner:
         linked pairs, and the links of each."""
         ids_a, ids_b = self.encode(texts)
         n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, n) for ids, n in ((ids_a, n_a.sum()), (ids_b, n_b.sum())))
+        a, b = (np.concatenate([_NONE, *ids]).astype(np.int64) for ids in (ids_a, ids_b))
         # texts follow one another in either tokenization, so all texts are aligned at once
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         group_a, group_b = overlap_groups(ends_a, ends_b)
