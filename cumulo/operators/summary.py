@@ -21,6 +21,7 @@ def network_summary(stations: DataFrame, network: str, value: str, least: int =
 
 
 def running_max_guard(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
-    """Rows whose value is over all earlier ones of their group: the first and every new maximum."""
-    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("__before", F.max(value).over(before)).where("__before is null or " + f"`{value}` > __before").drop("__before")
+    """Values that dip under an earlier one of their group are replaced by the greatest so far, so that they never
+    fall; a null stays null."""
+    so_far = F.max(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return df.withColumn(value, F.when(F.col(value).isNotNull(), so_far))

@@ -338,18 +338,34 @@ def _sweeps(spark, sf_dir) -> DataFrame:
     return e.select(F.lit(1).alias("volume"), F.col("vec_id").alias("ray"), azimuth.alias("azimuth"), k.cast("int").alias("sweep"), (k * 2 % 3 + 0.5).alias("fixed_angle"), F.lit(0.5).alias("elevation"), F.col("embedding").alias("values"))
 
 
-@query(f"""WITH {_SWEEPS},
-w AS (SELECT sweep, max(coalesce(next, first + 360) - az) AS gap FROM (SELECT sweep, az, lead(az) OVER (PARTITION BY sweep ORDER BY az, ray) AS next, min(az) OVER (PARTITION BY sweep) AS first FROM r) GROUP BY 1),
-s AS (SELECT sweep FROM r GROUP BY sweep, angle ORDER BY count(*) DESC, angle, sweep LIMIT 1),
-h AS (SELECT r.* FROM r JOIN s USING (sweep)),
-c AS (SELECT h.ray, q.sweep, q.angle, q.embedding, q.ray AS source, round(least((h.az - q.az + 360) % 360, 360 - (h.az - q.az + 360) % 360), 9) AS d FROM h, r q JOIN w ON w.sweep = q.sweep AND gap <= 6),
-m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ray, sweep ORDER BY d, source) AS k FROM c) WHERE k = 1),
-g AS (SELECT ray, sweep, angle, generate_subscripts(embedding, 1) - 1 AS gate, unnest(embedding) AS v FROM m)
-SELECT ray, CAST(gate AS INTEGER) AS gate, round(CAST(v AS DOUBLE), 6) AS value, sweep AS winner_sweep FROM (SELECT *, row_number() OVER (PARTITION BY ray, gate ORDER BY v DESC, angle, sweep) AS k FROM g) WHERE k = 1""")
+# volumes of 256 rays in three sweeps of 4.2 degrees; the second has a hole of some rays, elsewhere in each volume, the third covers half the circle
+_VOLUMES = """r AS (SELECT *, vec_id // 256 AS volume, vec_id AS ray, CAST(vec_id % 3 AS INTEGER) AS sweep, vec_id % 3 * 2 % 3 + 0.5e0 AS angle, (vec_id % 256) * CASE WHEN vec_id % 3 = 2 THEN 180e0 ELSE 360e0 END / 256 AS az
+FROM embeddings WHERE vec_id % 3 <> 1 OR (vec_id % 256 + 17 * (vec_id // 256)) % 256 >= 9)"""
+
+
+def _volumes(spark, sf_dir) -> DataFrame:
+    i = F.col("vec_id")
+    volume, k, place = F.floor(i / 256), i % 3, i % 256
+    e = _t(spark, sf_dir, "embeddings").where((k != 1) | ((place + 17 * volume) % 256 >= 9))
+    azimuth = place * F.when(k == 2, 180.0).otherwise(360.0) / 256
+    return e.select(volume.alias("volume"), i.alias("ray"), azimuth.alias("azimuth"), k.cast("int").alias("sweep"), (k * 2 % 3 + 0.5).alias("fixed_angle"), F.lit(0.5).alias("elevation"), F.col("embedding").alias("values"))
+
+
+# by definition: the nearest ray of every sweep to every host ray, rejected by the wider of its own two spacings
+@query(f"""WITH {_VOLUMES},
+w AS (SELECT volume, ray, sweep, angle, az, embedding, greatest(az - coalesce(lag(az) OVER o, max(az) OVER p - 360), coalesce(lead(az) OVER o, min(az) OVER p + 360) - az) AS gap FROM r WINDOW o AS (PARTITION BY volume, sweep ORDER BY az, ray), p AS (PARTITION BY volume, sweep)),
+s AS (SELECT volume, sweep FROM (SELECT volume, sweep, row_number() OVER (PARTITION BY volume ORDER BY count(*) DESC, angle, sweep) AS k FROM r GROUP BY volume, sweep, angle) WHERE k = 1),
+h AS (SELECT r.* FROM r JOIN s USING (volume, sweep)),
+c AS (SELECT h.volume, h.ray, q.sweep, q.angle, q.embedding, q.gap, q.ray AS source, round(least((h.az - q.az + 360) % 360, 360 - (h.az - q.az + 360) % 360), 9) AS d FROM h JOIN w q USING (volume)),
+m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ray, sweep ORDER BY d, source) AS k FROM c) WHERE k = 1 AND gap <= 6),
+g AS (SELECT ray, sweep, angle, generate_subscripts(embedding, 1) - 1 AS gate, unnest(embedding) AS v FROM m),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ray, gate ORDER BY v DESC, angle, sweep) AS k FROM g) WHERE k = 1)
+SELECT h.volume, h.ray, count(v) AS n_valid, round(coalesce(sum(CAST(v AS DOUBLE) * (gate + 1)), 0), 4) AS checksum, CAST(coalesce(sum(b.sweep * (gate + 1)), 0) AS BIGINT) AS winners FROM h LEFT JOIN b USING (ray) GROUP BY 1, 2""")
 def polar_composite(spark, sf_dir):
-    found = polar.composite(_sweeps(spark, sf_dir), ["volume"], 6.0)
-    rows = found.select("ray", F.posexplode(F.arrays_zip(F.col("values").alias("v"), F.col("winner_sweep").alias("w"))).alias("gate", "z"))
-    return rows.select("ray", "gate", _r(F.col("z.v").cast("double"), 6).alias("value"), F.col("z.w").cast("int").alias("winner_sweep"))
+    found = polar.composite(_volumes(spark, sf_dir), ["volume"], 6.0)
+    weighted = lambda c: F.aggregate(F.transform(c, lambda v, i: F.coalesce(v.cast("double"), F.lit(0.0)) * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    valid = F.size(F.filter("values", lambda v: v.isNotNull()))
+    return found.select("volume", "ray", valid.cast("long").alias("n_valid"), _r(weighted("values")).alias("checksum"), weighted("winner_sweep").cast("long").alias("winners"))
 
 
 # cells nearest to gates by definition: every cell with every gate
@@ -366,18 +382,24 @@ def cell_gates(spark, sf_dir):
     return found.select("y", "x", "ray", "gate", _r(F.col("value").cast("double"), 6).alias("value"))
 
 
-@query("""WITH f AS (SELECT label, vec_id AS ray, CAST(vec_id % 4 AS INTEGER) AS t, CAST(vec_id % 3 AS INTEGER) AS sweep, embedding[1:CAST(20 + label AS INTEGER)] AS v FROM embeddings),
-n AS (SELECT label, t, sweep, count(*) AS h FROM f GROUP BY 1, 2, 3), d AS (SELECT label, max(h) AS h, max(c) AS c FROM (SELECT *, row_number() OVER (PARTITION BY label, t ORDER BY sweep) AS c FROM n) GROUP BY 1),
-o AS (SELECT f.*, row_number() OVER (PARTITION BY label, t, sweep ORDER BY ray) - 1 AS line, dense_rank() OVER (PARTITION BY label, t ORDER BY sweep) - 1 AS channel FROM f),
-v AS (SELECT label, t, channel, line, generate_subscripts(v, 1) - 1 AS gate, unnest(v) AS value FROM o)
-SELECT label, t, CAST(channel AS INTEGER) AS channel, CAST(any_value(d.h) AS INTEGER) AS H, CAST(20 + label AS INTEGER) AS W, CAST(any_value(d.c) AS INTEGER) AS C, count(value) AS filled, round(sum(CAST(value AS DOUBLE) * (line * (20 + label) + gate + 1)), 3) AS checksum FROM v JOIN d USING (label) GROUP BY 1, 2, 3""")
+# frames of three sweeps with azimuths of their own; by definition, every host ray with every ray of each sweep
+@query("""WITH f AS (SELECT label, vec_id AS ray, CAST(vec_id % 4 AS INTEGER) AS t, CAST(vec_id % 3 AS INTEGER) AS sweep, (vec_id * 37 % 3600) / 10e0 AS az, embedding[1:CAST(20 + label AS INTEGER)] AS v FROM embeddings),
+n AS (SELECT label, t, sweep, count(*) AS h, row_number() OVER (PARTITION BY label, t ORDER BY sweep) - 1 AS channel FROM f GROUP BY 1, 2, 3),
+d AS (SELECT label, max(h) AS h, max(channel) + 1 AS c FROM n GROUP BY 1), host AS (SELECT label, t, arg_min(sweep, (-h, sweep)) AS sweep, arg_min(channel, (-h, sweep)) AS host FROM n GROUP BY 1, 2),
+a AS (SELECT f.*, host, row_number() OVER (PARTITION BY label, t ORDER BY ray) - 1 AS line FROM f JOIN host USING (label, t, sweep)),
+m AS (SELECT * FROM (SELECT a.label, a.t, a.line, a.az, a.host, s.sweep, s.v, row_number() OVER (PARTITION BY a.ray, s.sweep ORDER BY round(least((a.az - s.az + 360) % 360, 360 - (a.az - s.az + 360) % 360), 9), s.ray) AS k FROM a JOIN f s ON a.label = s.label AND a.t = s.t) WHERE k = 1),
+v AS (SELECT label, t, sweep, line, generate_subscripts(v, 1) - 1 AS gate, unnest(v) AS value FROM m),
+z AS (SELECT label, t, sweep, round(sum(az * (line + 1)), 3) AS azimuths, any_value(host) AS host FROM m GROUP BY 1, 2, 3)
+SELECT label, t, CAST(channel AS INTEGER) AS channel, CAST(any_value(d.h) AS INTEGER) AS H, CAST(20 + label AS INTEGER) AS W, CAST(any_value(d.c) AS INTEGER) AS C, count(value) AS filled, round(sum(CAST(value AS DOUBLE) * (line * (20 + label) + gate + 1)), 3) AS checksum,
+  any_value(azimuths) AS azimuths, CAST(any_value(host) AS INTEGER) AS host_index, CAST(max(sweep) AS DOUBLE) AS elevation_deg, CAST(1000 + 250 * (19 + label) AS DOUBLE) AS last_range_m FROM v JOIN n USING (label, t, sweep) JOIN z USING (label, t, sweep) JOIN d USING (label) GROUP BY 1, 2, 3""")
 def tensor_frames(spark, sf_dir):
     e = _t(spark, sf_dir, "embeddings")
-    rays = e.select("label", (F.col("vec_id") % 4).cast("int").alias("t"), (F.col("vec_id") % 3).cast("int").alias("sweep"), (F.col("vec_id") % 3).cast("double").alias("fixed_angle"), F.col("vec_id").alias("ray"), F.lit(0.0).alias("azimuth"), F.lit(0.5).alias("elevation"), F.slice("embedding", F.lit(1), F.col("label") + 20).alias("values"))
-    f = polar.frames(rays, ["label", "t"])
-    weighted = F.transform("data", lambda v, i: F.coalesce(v.cast("double"), F.lit(0.0)) * (i + 1))
+    i = F.col("vec_id")
+    rays = e.select("label", (i % 4).cast("int").alias("t"), (i % 3).cast("int").alias("sweep"), (i % 3).cast("double").alias("fixed_angle"), i.alias("ray"), ((i * 37 % 3600) / 10.0).alias("azimuth"), F.lit(0.5).alias("elevation"), F.slice("embedding", F.lit(1), F.col("label") + 20).alias("values"))
+    f = polar.frames(rays, ["label", "t"], 1000.0, 250.0)
+    weighted = lambda c: F.aggregate(F.transform(c, lambda v, i: F.coalesce(v.cast("double"), F.lit(0.0)) * (i + 1)), F.lit(0.0), lambda a, v: a + v)
     shape = [F.get("shape", F.lit(k)).cast("int").alias(n) for k, n in enumerate("HWC")]
-    return f.select("label", "t", F.col("channel").cast("int").alias("channel"), *shape, F.size(F.filter("data", lambda v: v.isNotNull())).cast("long").alias("filled"), _r(F.aggregate(weighted, F.lit(0.0), lambda a, v: a + v), 3).alias("checksum"))
+    return f.select("label", "t", "channel", *shape, F.size(F.filter("data", lambda v: v.isNotNull())).cast("long").alias("filled"), _r(weighted("data"), 3).alias("checksum"), _r(weighted("azimuth_deg"), 3).alias("azimuths"), F.col("azimuth_host_sweep_index").cast("int").alias("host_index"), "elevation_deg", F.array_max("range_m").alias("last_range_m"))
 
 
 @query(f"""WITH b AS (SELECT user_id, min(latitude) AS a0, max(latitude) AS a1, min(longitude) AS o0, max(longitude) AS o1 FROM (SELECT * FROM {P} WHERE event_type = 'error') GROUP BY 1),
@@ -544,7 +566,7 @@ def network_summary(spark, sf_dir):
     return found.withColumn("top", F.round("top", 2))
 
 
-@query("SELECT event_id, user_id, value FROM (SELECT *, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM events) WHERE seen IS NULL OR value > seen")
+@query("SELECT event_id, user_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS value FROM events")
 def running_max(spark, sf_dir):
     return summary.running_max_guard(_t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "value").select("event_id", "user_id", "value")
 
