@@ -275,7 +275,7 @@ def test_summaries(spark):
     assert [(r.network, r.stations, r.reporting, r.top) for r in summary.network_summary(df, "net", "v").orderBy("network").collect()] == [("a", 2, 1, 1.0), ("b", 2, 1, 2.0)]
     assert [(r.name, r.n) for r in summary.top_counts(df, "net", 2).collect()] == [("a", 2), ("b", 2)]
     rows = spark.createDataFrame([(1, k, v) for k, v in enumerate([3, 1, 3, 4, None, 2, 5])], "g int, k int, v int")
-    assert sorted(r.k for r in summary.running_max_guard(rows, ["g"], ["k"], "v").collect()) == [0, 3, 6]
+    assert [r.v for r in summary.running_max_guard(rows, ["g"], ["k"], "v").orderBy("k").collect()] == [3, 3, 3, 4, None, 4, 5]
 
 
 def test_file_name_parts(spark):
@@ -291,33 +291,199 @@ def test_file_name_parts(spark):
     assert {r["name"]: tuple(r[c] for c in ("site", "storm_id", "kind", "T", "H", "W", "C")) for r in rows.collect()} == cases
 
 
-def test_build_from_tracks_to_tensors(spark):
-    """Two storms at one radar, one within a blob of its scans; the other's volumes hold none."""
-    config_ = config.load({"linking": {"min_rows": 2}, "blobs": {"min_pixels": 4, "grid_m": 1000.0, "half_extent_km": 20.0, "nearby_km": 1.0, "buffer_km": 2.0}})
+RAYS = "volume_key string, sweep int, ray int, azimuth double, elevation double, fixed_angle double, values array<double>"
+TRACKS = "row_id long, storm_number long, time timestamp, latitude double, longitude double"
+
+
+def minutes(k):
+    return T0 + timedelta(minutes=5 * k)
+
+
+def echo_rays(volume, rays, first, last, n_gates=20, step=5.0):
+    """Two sweeps of a volume; in the second one, echo on some rays from gate ``first`` to ``last``."""
+    return [(volume, sweep, r, step * r, 0.5, 0.5 + sweep, [40.0 if sweep == 1 and r in rays and first <= g <= last else 5.0 for g in range(n_gates)]) for sweep in (0, 1) for r in range(int(360 / step))]
+
+
+def test_build_from_tracks_to_tensors(spark, tmp_path):
+    """Three storms: one within a blob of its scans, one whose volumes hold none, one whose volume is broken."""
+    config_ = config.load({"linking": {"min_rows": 2}, "blobs": {"min_pixels": 4, "grid_m": 1000.0, "nearby_km": 1.0, "buffer_km": 2.0}})
     geometry = build.Geometry(first_range_m=500.0, gate_m=1000.0, max_gap_degrees=6.0)
-    at = lambda k: T0 + timedelta(minutes=5 * k)
-    tracks_ = spark.createDataFrame([(10 * s + k, s, at(k), 35.09 if s == 1 else 36.0, -97.0) for s in (1, 2) for k in range(3)], "row_id long, storm_number long, time timestamp, latitude double, longitude double")
-    radars = spark.createDataFrame([("KTLX", 35.0, -97.0), ("KNUL", None, None), ("KHGX", 36.0, -96.99)], "site string, lat double, lon double")
-    volumes_ = spark.createDataFrame([(f"{site}-{k}", site, at(k) + timedelta(seconds=10)) for site in ("KTLX", "KHGX") for k in range(3)], "volume_key string, site string, volume_time timestamp")
-    # echo from 8 to 12 km within 10 degrees of north, in the second sweep only; KHGX sees nothing
-    rays = [(f"{site}-{k}", sweep, r, 5.0 * r, 0.5, 0.5 + sweep, [40.0 if site == "KTLX" and sweep == 1 and (r <= 2 or r >= 70) and 7 <= g <= 11 else 5.0 for g in range(20)]) for site in ("KTLX", "KHGX") for k in range(3) for sweep in (0, 1) for r in range(72)]
-    rays = spark.createDataFrame(rays, "volume_key string, sweep int, ray int, azimuth double, elevation double, fixed_angle double, values array<double>")
-    out = build.build(tracks_, radars, volumes_, rays, config_, geometry)
-    assert sorted((r.row_id, r.volume_key) for r in out.links.collect()) == sorted((10 * s + k, f"{site}-{k}") for s, site in ((1, "KTLX"), (2, "KHGX")) for k in range(3))
+    lats = {1: 35.09, 2: 36.0, 3: 40.0}
+    tracks_ = spark.createDataFrame([(10 * s + k, s, minutes(k), lats[s], -97.0) for s in lats for k in range(3)], TRACKS)
+    radars = spark.createDataFrame([("KTLX", 35.0, -97.0), ("KNUL", None, None), ("KHGX", 36.0, -96.99), ("KBAD", 40.0, -97.0)], "site string, lat double, lon double")
+    volumes_ = spark.createDataFrame([(f"{site}-{k}", site, minutes(k) + timedelta(seconds=10)) for site in ("KTLX", "KHGX", "KBAD") for k in range(3)], "volume_key string, site string, volume_time timestamp")
+    # echo from 8 to 12 km within 10 degrees of north; KHGX sees nothing; of KBAD no ray can be read
+    north = {0, 1, 2, 70, 71}
+    rays = [x for k in range(3) for x in echo_rays(f"KTLX-{k}", north, 7, 11) + echo_rays(f"KHGX-{k}", set(), 0, 0)]
+    rays += [("KBAD-0", 0, 0, None, 0.5, 0.5, [40.0]), ("KBAD-1", 0, 0, float("nan"), 0.5, 0.5, [40.0]), ("KBAD-2", 0, 0, 10.0, 0.5, 0.5, None)]
+    out = build.build(tracks_, radars, volumes_, spark.createDataFrame(rays, RAYS), config_, geometry)
+    assert sorted((r.row_id, r.volume_key) for r in out.links.collect()) == sorted((10 * s + k, f"{site}-{k}") for s, site in ((1, "KTLX"), (2, "KHGX"), (3, "KBAD")) for k in range(3))
+    assert {r.storm_id: (r.tracked, r.linked, r.scanned, r.fitted, r.status) for r in out.status.collect()} == {1: (3, 3, 3, 3, "written"), 2: (3, 3, 3, 0, "no blob"), 3: (3, 3, 0, 0, "no readable scan")}
     boxes = {r.row_id: r for r in out.boxes.collect()}
-    assert all(boxes[10 + k].fitted and not boxes[20 + k].fitted for k in range(3))
+    assert set(boxes) == {10, 11, 12}
+    # the blob lies from 8 to 12 km north of the radar and some 2 km to either side
     b = boxes[10]
-    # the blob lies from 8 to 12 km north of the radar and some 2 km to either side; the buffer adds 2 km
-    assert 35 + 4.5 / 111 < b.min_lat < 35 + 7.5 / 111 and 35 + 12 / 111 < b.max_lat < 35 + 15.5 / 111
-    assert 3 / 91 < b.max_lon + 97 < 5.5 / 91 and b.max_lon + 97 == pytest.approx(-(b.min_lon + 97), abs=1e-6)
-    assert (boxes[20].min_lat, boxes[20].max_lat) == (35.5, 36.5)
+    assert 35 + 6.5 / 111.2 < b.min_lat < 35 + 8.5 / 111.2 and 35 + 11 / 111.2 < b.max_lat < 35 + 13 / 111.2
+    assert 1 / 91 < b.max_lon + 97 < 3.5 / 91 and b.max_lon + 97 == pytest.approx(-(b.min_lon + 97), abs=1e-6)
+    still = out.storm_boxes.first()
+    assert still.fitted_box and still.min_lat < 35 + 9 / 111.2 and still.max_lat > 35 + 11 / 111.2
     catalog = {r.storm_id: r for r in out.catalog.collect()}
-    assert {k: (r.radar_site, r["T"], r.t0) for k, r in catalog.items()} == {1: ("KTLX", 3, T0), 2: ("KHGX", 3, T0)}
-    assert schema.problems(out.context) == [] and out.context.count() == 6
-    frames = out.frames.where("storm_id = 1").collect()
-    assert len(frames) == 6 and all(f["shape"] == [72, 20, 2] for f in frames)
-    kept = np.array(frames[0].data, float).reshape(72, 20)
-    inside = ~np.isnan(kept)
+    assert {k: (r.radar_site, r["T"], r.t0) for k, r in catalog.items()} == {1: ("KTLX", 3, T0)}
+    assert schema.problems(out.context) == [] and out.context.count() == 3
+    build.write(out, str(tmp_path / "set"))
+    frames = spark.read.parquet(str(tmp_path / "set/frames")).collect()
+    assert len(frames) == 6 and all(f["shape"] == [72, 20, 2] and (f.year, f.radar_site, f["product"]) == (2017, "KTLX", "reflectivity") for f in frames)
+    assert {(f.channel, f.elevation_deg, f.azimuth_host_sweep_index) for f in frames} == {(0, 0.5, 0), (1, 1.5, 0)}
+    f = frames[0]
+    assert f.azimuth_deg == [5.0 * r for r in range(72)] and f.range_m[:2] == [500.0, 1500.0] and f.source_key == f"KTLX-{round((f.time - T0).seconds / 300)}"
+    assert (f.bbox_min_lat, f.bbox_max_lon) == (still.min_lat, still.max_lon)
+    inside = ~np.isnan(np.array(f.data, float).reshape(72, 20))
     assert inside[0, 8:11].all() and not inside[0, 0] and not inside[36].any()
-    again = build.build(tracks_, radars, volumes_, rays, config_, geometry, saved=out.catalog.where("storm_id = 1").select("storm_id", "radar_site"))
-    assert {r.storm_id for r in again.catalog.collect()} == {2}
+    assert spark.read.parquet(str(tmp_path / "set/context")).count() == 3 and spark.read.parquet(str(tmp_path / "set/catalog")).first()["T"] == 3
+    assert {r.status for r in spark.read.parquet(str(tmp_path / "set/status")).collect()} == {"written", "no blob", "no readable scan"}
+    again = build.build(tracks_, radars, volumes_, spark.createDataFrame(rays, RAYS), config_, geometry, saved=out.catalog.select("storm_id", "radar_site"))
+    assert again.catalog.count() == 0 and {r.storm_id for r in again.status.collect()} == {2, 3}
+
+
+@pytest.mark.parametrize("lon", [-97.0, 179.97])
+def test_a_storm_far_from_its_radar_that_grows(spark, lon):
+    """Echo 100 km north of the radar that widens from scan to scan, also where it crosses the date line, and a last
+    scan without any: its box has the robust mean size, placed on the first and last scan with a blob."""
+    config_ = config.load({"linking": {"min_rows": 2}, "blobs": {"min_pixels": 4, "grid_m": 1000.0, "nearby_km": 1.0, "buffer_km": 0.0}})
+    geometry = build.Geometry(first_range_m=500.0, gate_m=1000.0, max_gap_degrees=6.0)
+    tracks_ = spark.createDataFrame([(k, 1, minutes(k), 35.9, (lon + 180) % 360 - 180) for k in range(4)], TRACKS)
+    radars = spark.createDataFrame([("KTLX", 35.0, lon)], "site string, lat double, lon double")
+    volumes_ = spark.createDataFrame([(f"v{k}", "KTLX", minutes(k)) for k in range(4)], "volume_key string, site string, volume_time timestamp")
+    near = [{0}, {119, 0, 1}, {118, 119, 0, 1, 2}, set()]
+    rays = [x for k in range(4) for x in echo_rays(f"v{k}", near[k], 95, 105, 120, 3.0)]
+    out = build.build(tracks_, radars, volumes_, spark.createDataFrame(rays, RAYS), config_, geometry)
+    assert {r.row_id for r in out.boxes.collect()} == {0, 1, 2} and {r.row_id for r in out.context.collect()} == {0, 1, 2}
+    ends = {r.row_id: r for r in build.fit_ends(out.boxes, polar.composite(spark.createDataFrame(rays, RAYS), ["volume_key"]), config_, geometry).collect()}
+    assert set(ends) == {0, 2} and all(r.n_ends == 2 for r in ends.values())
+    sizes = np.array([(r.east_m - r.west_m, r.north_m - r.south_m) for r in sorted(out.boxes.collect(), key=lambda r: r.row_id)])
+    assert (np.diff(sizes[:, 0]) > 0).all() and sizes[0, 0] < ends[0].avg_width < sizes[2, 0]
+    # brute force: of all 41 x 41 places, the first that holds most gates
+    for k, r in ends.items():
+        box = next(b for b in out.boxes.collect() if b.row_id == k)
+        hx, hy = (box.west_m + box.east_m) / 2, (box.south_m + box.north_m) / 2
+        at = np.array([((500 + 1000 * g) * np.sin(np.radians(3.0 * q)), (500 + 1000 * g) * np.cos(np.radians(3.0 * q))) for q in near[k] for g in range(95, 106)])
+        places = [(dx, dy, int((np.abs(at[:, 0] - hx - dx) <= r.avg_width / 2 + 1e-6).astype(int) @ (np.abs(at[:, 1] - hy - dy) <= r.avg_height / 2 + 1e-6))) for dx in np.arange(-20e3, 20001, 1e3) for dy in np.arange(-20e3, 20001, 1e3)]
+        dx, dy, most = max(places, key=lambda p: p[2])
+        assert r.hits == most
+        lat, _ = geo.azimuthal_inverse(F.lit(hx + dx - r.avg_width / 2), F.lit(hy + dy - r.avg_height / 2), 35.0, lon)
+        assert r.min_lat == pytest.approx(one(spark, lat), abs=1e-9)
+    still = out.storm_boxes.first()
+    assert still.fitted_box and 35.8 < still.min_lat < still.max_lat < 36.1 and still.min_lon < lon < still.max_lon < still.min_lon + 1
+    assert (still.min_lat, still.max_lon) == (min(r.min_lat for r in ends.values()), max(r.max_lon for r in ends.values()))
+    assert all(-180 <= r.min_lon < 180 and -180 <= r.max_lon < 180 for r in out.context.collect())
+
+
+def test_storm_box_falls_back_to_all_scans(spark):
+    columns = "storm_id long, radar_site string, min_lat double, max_lat double, min_lon double, max_lon double"
+    scans = spark.createDataFrame([(1, "A", 1.0, 2.0, 3.0, 4.0), (1, "A", 5.0, 6.0, 3.0, 9.0), (2, "A", 0.0, 1.0, 0.0, 1.0)], columns)
+    fits = spark.createDataFrame([(1, "A", 7.0, 8.0, 3.0, 4.0, 2), (2, "A", 0.2, 0.8, 0.2, 0.8, 1)], columns + ", n_ends int")
+    got = {r.storm_id: tuple(r)[2:] for r in bbox.storm_box(scans, fits, build.STORM).collect()}
+    assert got == {1: (1.0, 6.0, 3.0, 9.0, False), 2: (0.2, 0.8, 0.2, 0.8, True)}
+
+
+def plain_match(hosts, source, max_gap=None):
+    """(host ray: source ray) by definition, over (ray, azimuth) lists."""
+    apart = lambda a, b: round(min((a - b) % 360, (b - a) % 360), 9)
+    order = sorted(source, key=lambda q: (q[1], q[0]))
+    around = [order[-1][1] - 360, *[a for _, a in order], order[0][1] + 360]
+    gap = {r: max(a - around[k], around[k + 2] - a) for k, (r, a) in enumerate(order)}
+    found = {h: min(source, key=lambda q: (apart(a, q[1]), q[0]))[0] for h, a in hosts}
+    return {h: r for h, r in found.items() if max_gap is None or gap[r] <= max_gap}
+
+
+@pytest.mark.parametrize("max_gap", [None, 6.0])
+def test_holes_reject_the_rays_beside_them(spark, max_gap):
+    rng = np.random.default_rng(3)
+    even = [5.0 * r for r in range(72)]
+    sweeps = {"hole": [a for a in even if a not in (100.0, 105.0)], "north": [a for a in even if a not in (0.0, 355.0)], "half": even[:36], "one": [17.0], "odd": sorted(rng.uniform(0, 360, 90).tolist()), "twice": even + [50.0]}
+    hosts = [(r, a) for r, a in enumerate([*even, 102.5, 359.9])]
+    rows = [(1, k, r, a) for k, name in enumerate(sweeps) for r, a in enumerate(sweeps[name])]
+    got = polar.angular_match(spark.createDataFrame([(1, *h) for h in hosts], "v int, host_ray int, host_azimuth double"), spark.createDataFrame(rows, "v int, source_sweep int, source_ray int, source_azimuth double"), ["v"], max_gap)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.source_sweep, {})[r.host_ray] = r.source_ray
+    for k, name in enumerate(sweeps):
+        assert found.get(k, {}) == plain_match(hosts, list(enumerate(sweeps[name])), max_gap), name
+    if max_gap:
+        # beside a hole of two rays the two edges go, and the hole; all others stay
+        assert len(found[0]) == 72 - 4 + 1 - 0 and 3 not in found
+
+
+def test_composite_with_a_hole_and_masked_gates(spark):
+    """The upper sweep lacks two rays: it wins but beside the hole, where the lower one fills in."""
+    rays = [("v", s, 100 * s + r, 5.0 * r, 0.5, 0.5 + s, [10.0 * (s + 1), None, float("nan") if s else 3.0, 1.0][: 4 - s]) for s in (0, 1) for r in range(72) if not (s == 1 and r in (20, 21))]
+    rays += [("w", 0, r, 90.0 * r, 0.5, 0.5, [1.0]) for r in range(4)]  # too sparse for itself
+    got = polar.composite(spark.createDataFrame(rays, RAYS), ["volume_key"]).collect()
+    v = {r.ray: r for r in got if r.volume_key == "v"}
+    assert len(v) == 72 and all(r["values"][1:] == [None, 3.0] for r in v.values())
+    assert {k for k, r in v.items() if r.winner_sweep[0] == 0} == {19, 20, 21, 22} and v[19]["values"][0] == 10.0 and v[18]["values"][0] == 20.0
+    assert [r["values"] for r in got if r.volume_key == "w"] == [[None]] * 4
+
+
+def test_frames_follow_the_host_rays(spark):
+    """Sweeps of other azimuths, a frame with fewer sweeps and rays, gates of unlike number."""
+    rays = [(1, 0, 0, r, 60.0 * r, 0.5, None, [float(r), 1.0]) for r in range(5)] + [(1, 0, 1, 10 + r, (60.0 * r + 50) % 360, 1.5, 1.4, [100.0 + r, 2.0, 3.0]) for r in range(6)] + [(1, 1, 4, r, 120.0 * r, 0.7, 0.6, [7.0]) for r in range(3)]
+    out = polar.frames(spark.createDataFrame(rays, "storm int, t int, sweep int, ray int, azimuth double, elevation double, fixed_angle double, values array<double>"), ["storm", "t"], 100.0, 50.0)
+    got = {(r.t, r.channel): r for r in out.collect()}
+    assert set(got) == {(0, 0), (0, 1), (1, 0)} and all(r["shape"] == [6, 3, 2] for r in got.values())
+    first = np.array(got[0, 0].data, float).reshape(6, 3)
+    # hosts look to 50, 110, ... 350: the nearest of 0, 60, ... 240
+    assert first[:, 0].tolist() == [1, 2, 3, 4, 4, 0] and np.isnan(first[:, 2]).all() and first[:, 1].tolist() == [1.0] * 6
+    assert np.array(got[0, 1].data, float).reshape(6, 3)[:, 0].tolist() == [100.0 + r for r in range(6)]
+    assert got[0, 0].azimuth_deg == got[0, 1].azimuth_deg == [50.0, 110.0, 170.0, 230.0, 290.0, 350.0] and got[1, 0].azimuth_deg == [0.0, 120.0, 240.0, None, None, None]
+    assert [got[k].range_m for k in sorted(got)] == [[100.0, 150.0, None], [100.0, 150.0, 200.0], [100.0, None, None]]
+    assert [got[k].elevation_deg for k in sorted(got)] == [0.5, 1.4, 0.6] and [got[k].azimuth_host_sweep_index for k in sorted(got)] == [1, 1, 0]
+
+
+def test_regions_by_runs_equal_flood_fill():
+    rng = np.random.default_rng(4)
+    masks = [rng.random((rng.integers(1, 12), rng.integers(1, 12))) < p for p in (0.1, 0.5, 0.7, 1.0) for _ in range(60)]
+    spiral = np.zeros((41, 41), bool)
+    for k in range(0, 20, 2):
+        spiral[k, k : 41 - k] = spiral[40 - k, k : 41 - k] = spiral[k : 41 - k, k] = spiral[k : 41 - k, 40 - k] = True
+    for mask in [*masks, spiral, np.zeros((3, 4), bool)]:
+        want, todo = np.zeros(mask.shape, int), sorted(map(tuple, np.argwhere(mask)))
+        for at in todo:
+            stack = [at] if not want[at] else []
+            while stack:
+                i, j = stack.pop()
+                if 0 <= i < mask.shape[0] and 0 <= j < mask.shape[1] and mask[i, j] and not want[i, j]:
+                    want[i, j] = at[0] * mask.shape[1] + at[1] + 1
+                    stack += [(i + 1, j), (i - 1, j), (i, j + 1), (i, j - 1)]
+        assert (grid.label_regions(mask) == want).all()
+        found = grid.regions(mask, 1).set_index("region")
+        for region in found.index:
+            y, x = np.nonzero(want == region)
+            r = found.loc[region]
+            assert (r.pixels, r.min_y, r.max_y, r.min_x, r.max_x) == (len(y), y.min(), y.max(), x.min(), x.max())
+            assert (r.centre_y, r.centre_x) == pytest.approx((y.mean(), x.mean()))
+        assert set(found.index) == set(want[want > 0])
+
+
+def test_box_fit_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(g), float(x), float(y), bool(h)) for g, x, y, h in zip(rng.integers(0, 4, 600), rng.normal(0, 9, 600).round(1), rng.normal(2, 9, 600).round(1), rng.random(600) < 0.7)]
+    half = {g: (1.5 + g, 4.0 - g) for g in range(4)}
+    points = spark.createDataFrame([(*r, *half[r[0]]) for r in rows], "g int, x double, y double, hit boolean, w double, h double")
+    got = {r.g: (r.centre_x, r.centre_y, r.hits) for r in bbox.box_fit(points, ["g"], F.col("w"), F.col("h"), 10.0, 0.5).collect()}
+    for g, (w, h) in half.items():
+        mine = np.array([(x, y) for k, x, y, hit in rows if k == g and hit])
+        places = [(-int(((np.abs(mine[:, 0] - cx) <= w + 1e-6) & (np.abs(mine[:, 1] - cy) <= h + 1e-6)).sum()), cx, cy) for cx in np.arange(-10, 10.01, 0.5) for cy in np.arange(-10, 10.01, 0.5)]
+        n, cx, cy = min(places)
+        assert got[g] == (cx, cy, -n)
+
+
+def test_values_are_raised_to_their_running_maximum(spark):
+    rows = spark.createDataFrame([(1, 0, 1.0), (1, 1, 3.0), (1, 2, 2.5), (1, 3, None), (1, 4, 4.0), (2, 0, -1.0)], "k int, i int, v double")
+    assert [r.v for r in summary.running_max_guard(rows, ["k"], ["i"], "v").orderBy("k", "i").collect()] == [1.0, 3.0, 3.0, None, 4.0, -1.0]
+
+
+def test_pack_fills_gaps(spark):
+    cells = spark.createDataFrame([("g", 0, 1, 5.0), ("g", 2, 0, None), ("g", 1, 2, 7.0), ("h", 0, 0, 1.0)], "k string, y int, x int, value double")
+    got = {r.k: (r.height, r.width, r["values"]) for r in grid.pack(cells, ["k"]).collect()}
+    assert got == {"g": (3, 3, [None, 5.0, None, None, None, 7.0, None, None, None]), "h": (1, 1, [1.0])}
