@@ -6,6 +6,7 @@ come from trigonometry or sums of doubles are rounded, so that two engines' last
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..functions.time import micros
 from ..config import load as load_config
+from ..session import shared_folder
 from ..operators import bbox, build, grid, linking, polar, robust, sessions, sites, summary
 from ..sources import outputs, reports, tracks, volumes
 
@@ -571,31 +573,99 @@ def running_max(spark, sf_dir):
     return summary.running_max_guard(_t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "value").select("event_id", "user_id", "value")
 
 
-# the whole build over tracks that stay near their storm's place, every site scanning at the times of some events
+# The whole build over tracks that stay near their storm's place. Every sighting of a kind is a volume of the site nearest to
+# it: two sweeps of 16 rays with 12 gates, whose echo is taken from the vectors.
 _TRACKS = "(SELECT *, 25e0 + (user_id * 377 % 2500) / 100e0 + (event_id % 20) / 50e0 AS latitude, -125e0 + (user_id * 591 % 5800) / 100e0 + (event_id % 13) / 50e0 AS longitude FROM events)"
 _NEAR_TRACKS = _NEAR.replace(P, _TRACKS)
+_GRID = 23700.0
 
 
-@query(f"""WITH {_NEAR_TRACKS}, p AS (SELECT user_id, site, min(ts) AS t FROM near GROUP BY 1, 2), q AS (SELECT * FROM p WHERE user_id IN (SELECT user_id FROM p GROUP BY 1 HAVING count(*) > 1)),
+def _forward(lat: str, lon: str, lat0: str, lon0: str) -> tuple[str, str]:
+    c = f"acos(greatest(-1e0, least(1e0, sin(radians({lat0})) * sin(radians({lat})) + cos(radians({lat0})) * cos(radians({lat})) * cos(radians({lon} - {lon0})))))"
+    k = f"(CASE WHEN {c} < 1e-12 THEN 1e0 ELSE {c} / sin({c}) END * 6371000e0)"
+    return f"{k} * cos(radians({lat})) * sin(radians({lon} - {lon0}))", f"{k} * (cos(radians({lat0})) * sin(radians({lat})) - sin(radians({lat0})) * cos(radians({lat})) * cos(radians({lon} - {lon0})))"
+
+
+def _inverse(x: str, y: str, lat0: str, lon0: str) -> tuple[str, str]:
+    rho, p0 = f"sqrt(({x}) ** 2 + ({y}) ** 2)", f"radians({lat0})"
+    c = f"({rho} / 6371000e0)"
+    return f"degrees(asin(cos({c}) * sin({p0}) + ({y}) * sin({c}) * cos({p0}) / {rho}))", f"{lon0} + degrees(atan2(({x}) * sin({c}), {rho} * cos({p0}) * cos({c}) - ({y}) * sin({p0}) * sin({c})))"
+
+
+def _spans(corners: list[tuple[str, str]]) -> str:
+    lats, lons = (", ".join(c[k] for c in corners) for k in (0, 1))
+    return f"least({lats}) AS min_lat, greatest({lats}) AS max_lat, least({lons}) AS min_lon, greatest({lons}) AS max_lon"
+
+
+_PX, _PY = _forward("latitude", "longitude", "s.lat", "s.lon")
+_SCAN_BOX = _spans([_inverse(x, y, "lat", "lon") for x in ("west", "east") for y in ("south", "north")])
+_FIT_BOX = _spans([_inverse(f"hx + cx {sign} aw / 2", f"hy + cy {sign} ah / 2", "lat", "lon") for sign in "-+"])
+_GATE_LAT, _GATE_LON = _inverse("(10000 + 20000 * g.gate) * cos(radians(0.5)) * sin(radians(22.5 * g.j))", "(10000 + 20000 * g.gate) * cos(radians(0.5)) * cos(radians(22.5 * g.j))", "lat", "lon")
+
+
+@query(f"""WITH RECURSIVE {_NEAR_TRACKS}, p AS (SELECT user_id, site, min(ts) AS t FROM near GROUP BY 1, 2), q AS (SELECT * FROM p WHERE user_id IN (SELECT user_id FROM p GROUP BY 1 HAVING count(*) > 1)),
 fresh AS (SELECT user_id, site, (SELECT max(user_id) FROM near) + row_number() OVER (ORDER BY t, user_id, site) AS id FROM q),
 named AS (SELECT near.* EXCLUDE (k, user_id), coalesce(id, user_id) AS user_id FROM near LEFT JOIN fresh USING (user_id, site)),
 big AS (SELECT * FROM named WHERE user_id IN (SELECT user_id FROM named GROUP BY 1 HAVING count(*) >= 3)), {_CLUSTERS.format(gap=72, rows='big')},
 z AS (SELECT user_id, cluster, count(*) AS n FROM c GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, cluster) AS place, sum(n) OVER (PARTITION BY user_id) AS total, max(n) OVER (PARTITION BY user_id) AS best FROM z),
 m AS (SELECT user_id, cluster, CASE WHEN place = 1 THEN user_id ELSE (SELECT max(user_id) FROM big) + row_number() OVER (PARTITION BY place = 1 ORDER BY user_id, cluster) END AS storm_id FROM r WHERE best >= total * 0.3 AND best >= 3 AND n >= 3),
-kept AS (SELECT event_id, ts, site, d, storm_id FROM c JOIN m USING (user_id, cluster)),
-v AS (SELECT event_id AS vk, event_id % 100 AS site, ts AS vt FROM events),
-l AS (SELECT * FROM (SELECT kept.*, vk, row_number() OVER (PARTITION BY event_id ORDER BY abs(epoch_us(ts) - epoch_us(vt)), vt, vk) AS k FROM kept JOIN v ON kept.site = v.site AND CAST(ts AS DATE) = CAST(vt AS DATE) AND abs(epoch_us(ts) - epoch_us(vt)) <= 14400000000) WHERE k = 1),
-n AS (SELECT storm_id, site, count(*) AS T, min(epoch_us(ts)) AS t0 FROM l GROUP BY 1, 2)
-SELECT event_id AS row_id, CAST(storm_id AS BIGINT) AS storm_id, CAST(site AS VARCHAR) AS radar_site, vk AS volume_key, epoch_us(ts) // 1000 AS time_unix_ms, round(d, 4) AS distance_km, round(s.lat - 0.5, 6) AS min_lat, round(s.lon + 0.5, 6) AS max_lon, n.T AS n_times, n.t0 AS t0_us
-FROM l JOIN n USING (storm_id, site) JOIN {S} s USING (site)""")
+kept AS (SELECT event_id, ts, site, d, latitude, longitude, storm_id FROM c JOIN m USING (user_id, cluster)),
+v AS (SELECT event_id AS vk, site, ts AS vt FROM near WHERE event_type = 'view'),
+l AS (SELECT * EXCLUDE (k), {_PX} AS px, {_PY} AS py FROM (SELECT kept.*, vk, row_number() OVER (PARTITION BY event_id ORDER BY abs(epoch_us(ts) - epoch_us(vt)), vt, vk) AS k FROM kept JOIN v ON kept.site = v.site AND CAST(ts AS DATE) = CAST(vt AS DATE) AND abs(epoch_us(ts) - epoch_us(vt)) <= 14400000000) JOIN {S} s USING (site) WHERE k = 1),
+gates AS (SELECT vk, j, gate, max(100 * CAST(embedding[gate + 1] AS DOUBLE)) AS dbz FROM (SELECT DISTINCT vk FROM l), range(2) a(s), range(16) b(j), range(12) c(gate) JOIN embeddings ON vec_id = (vk * 7 + j * 31 + s * 13) % (SELECT count(*) FROM embeddings) GROUP BY ALL),
+cell AS (SELECT y, x, (x - 10) * {_GRID} AS cx, (y - 10) * {_GRID} AS cy FROM range(21) a(y), range(21) b(x)),
+ray AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY y, x ORDER BY away, j) AS k FROM (SELECT y, x, cx, cy, j, round(least((az - 22.5 * j + 360) % 360, 360 - (az - 22.5 * j + 360) % 360), 9) AS away FROM (SELECT *, (degrees(atan2(cx, cy)) + 360) % 360 AS az FROM cell), range(16) b(j))) WHERE k = 1),
+plan AS (SELECT y, x, j, CAST(greatest(0, least(11, ceil((sqrt(cx ** 2 + cy ** 2) * cos(radians(away)) - 10000) / 20000 - 0.5))) AS BIGINT) AS gate FROM ray),
+near9 AS (SELECT a.i AS dy, b.i AS dx FROM range(-1, 2) a(i), range(-1, 2) b(i)),
+wide AS (SELECT DISTINCT vk, y + dy AS y, x + dx AS x FROM gates JOIN plan USING (j, gate), near9 WHERE dbz >= 20 AND y + dy BETWEEN 0 AND 20 AND x + dx BETWEEN 0 AND 20),
+cells AS (SELECT vk, y - dy AS y, x - dx AS x, (y - dy) * 21 + x - dx + 1 AS id FROM wide, near9 WHERE y - dy BETWEEN 0 AND 20 AND x - dx BETWEEN 0 AND 20 GROUP BY ALL HAVING count(*) = 9),
+reach AS (SELECT vk, y, x, id AS seen FROM cells UNION SELECT c.vk, c.y, c.x, r.seen FROM reach r JOIN cells c ON r.vk = c.vk AND abs(r.y - c.y) + abs(r.x - c.x) = 1),
+labelled AS (SELECT vk, y, x, min(seen) AS region FROM reach GROUP BY 1, 2, 3),
+regions AS (SELECT vk, region, count(*) AS pixels, avg(y) AS centre_y, avg(x) AS centre_x, min(y) AS min_y, max(y) AS max_y, min(x) AS min_x, max(x) AS max_x FROM labelled GROUP BY 1, 2 HAVING count(*) >= 3),
+pt AS (SELECT event_id, vk, (px + 10 * {_GRID}) / {_GRID} AS x, (py + 10 * {_GRID}) / {_GRID} AS y FROM l),
+first AS (SELECT * FROM (SELECT pt.event_id, r.*, row_number() OVER (PARTITION BY event_id ORDER BY b.region IS DISTINCT FROM r.region, sqrt((centre_y - pt.y) ** 2 + (centre_x - pt.x) ** 2), r.region) AS k
+  FROM pt JOIN regions r USING (vk) LEFT JOIN labelled b ON b.vk = pt.vk AND b.y = greatest(0, least(20, round(pt.y))) AND b.x = greatest(0, least(20, round(pt.x)))) WHERE k = 1),
+grown AS (SELECT event_id, vk, min_y, max_y, min_x, max_x, 0 AS step FROM first UNION ALL
+  SELECT g.event_id, g.vk, least(any_value(g.min_y), min(r.min_y)), greatest(any_value(g.max_y), max(r.max_y)), least(any_value(g.min_x), min(r.min_x)), greatest(any_value(g.max_x), max(r.max_x)), any_value(g.step) + 1
+  FROM grown g JOIN regions r ON g.vk = r.vk AND sqrt(greatest(0, r.min_x - (g.max_x + 24 / 23.7e0), (g.min_x - 24 / 23.7e0) - r.max_x) ** 2 + greatest(0, r.min_y - (g.max_y + 24 / 23.7e0), (g.min_y - 24 / 23.7e0) - r.max_y) ** 2) <= 24 / 23.7e0
+  WHERE g.step < 30 GROUP BY g.event_id, g.vk),
+blob AS (SELECT l.*, (min_x - 10) * {_GRID} AS west, (max_x - 10) * {_GRID} AS east, (min_y - 10) * {_GRID} AS south, (max_y - 10) * {_GRID} AS north FROM grown JOIN l USING (event_id, vk) WHERE step = 30),
+scans AS (SELECT *, {_SCAN_BOX} FROM blob),
+wh AS (SELECT storm_id, site, east - west AS w, north - south AS h FROM blob), md AS (SELECT storm_id, site, median(w) AS mw, median(h) AS mh FROM wh GROUP BY 1, 2),
+sd AS (SELECT storm_id, site, any_value(mw) AS mw, any_value(mh) AS mh, median(abs(w - mw)) AS dw, median(abs(h - mh)) AS dh FROM wh JOIN md USING (storm_id, site) GROUP BY 1, 2),
+ce AS (SELECT storm_id, site, avg(w) FILTER (abs(w - mw) <= 2.5 * CASE WHEN dw = 0 THEN 1 ELSE dw END) AS cw, avg(h) FILTER (abs(h - mh) <= 2.5 * CASE WHEN dh = 0 THEN 1 ELSE dh END) AS ch, greatest(any_value(dw), 1) AS sw, greatest(any_value(dh), 1) AS sh FROM wh JOIN sd USING (storm_id, site) GROUP BY 1, 2),
+size AS (SELECT storm_id, site, sum(f * w) / sum(f) AS aw, sum(f * h) / sum(f) AS ah FROM (SELECT storm_id, site, w, h, 1 / (1 + abs(w - cw) / (sw + 1e-12)) / (1 + abs(h - ch) / (sh + 1e-12)) AS f FROM wh JOIN ce USING (storm_id, site)) GROUP BY 1, 2),
+ends AS (SELECT event_id, vk, storm_id, site, lat, lon, (west + east) / 2 AS hx, (south + north) / 2 AS hy, aw, ah FROM (SELECT *, row_number() OVER (PARTITION BY storm_id, site ORDER BY ts, event_id) AS a, row_number() OVER (PARTITION BY storm_id, site ORDER BY ts DESC, event_id DESC) AS b FROM blob) JOIN size USING (storm_id, site) WHERE a = 1 OR b = 1),
+tried AS (SELECT event_id, ix, iy, ix * 11850e0 - 60000 AS cx, iy * 11850e0 - 60000 AS cy, count(*) AS hits FROM ends JOIN gates USING (vk), range(11) a(ix), range(11) b(iy) WHERE dbz >= 20
+  AND abs((10000 + 20000 * gate) * sin(radians(22.5 * j)) - hx - (ix * 11850e0 - 60000)) <= aw / 2 + 1e-5 AND abs((10000 + 20000 * gate) * cos(radians(22.5 * j)) - hy - (iy * 11850e0 - 60000)) <= ah / 2 + 1e-5 GROUP BY ALL),
+fits AS (SELECT *, {_FIT_BOX} FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY hits DESC, ix, iy) AS k FROM tried) JOIN ends USING (event_id) WHERE k = 1),
+whole AS (SELECT storm_id, site, min(min_lat) AS a0, max(max_lat) AS a1, min(min_lon) AS o0, max(max_lon) AS o1, count(*) AS n_times FROM scans GROUP BY 1, 2),
+fitted AS (SELECT storm_id, site, min(min_lat) AS min_lat, max(max_lat) AS max_lat, min(min_lon) AS min_lon, max(max_lon) AS max_lon FROM fits GROUP BY 1, 2 HAVING count(*) = (SELECT count(*) FROM ends e WHERE e.storm_id = fits.storm_id AND e.site = fits.site)),
+box AS (SELECT storm_id, site, coalesce(min_lat, a0) AS min_lat, coalesce(max_lat, a1) AS max_lat, coalesce(min_lon, o0) AS min_lon, coalesce(max_lon, o1) AS max_lon, min_lat IS NOT NULL AS fitted_box, n_times FROM whole LEFT JOIN fitted USING (storm_id, site)),
+room AS (SELECT *, 5 / 110.574 AS da, 5 / (111.320 * greatest(cos(radians((min_lat + max_lat) / 2)), 1e-6)) AS d_o FROM box),
+inside AS (SELECT storm_id, site, count(*) AS n FROM room JOIN {S} s USING (site), (SELECT j, gate FROM range(16) a(j), range(12) b(gate)) g WHERE {_GATE_LAT} BETWEEN min_lat - da AND max_lat + da AND {_GATE_LON} BETWEEN min_lon - d_o AND max_lon + d_o GROUP BY 1, 2)
+SELECT event_id AS row_id, CAST(storm_id AS BIGINT) AS storm_id, CAST(site AS VARCHAR) AS radar_site, vk AS volume_key, epoch_us(ts) // 1000 AS time_unix_ms, round(d, 4) AS distance_km, round(box.min_lat, 6) AS min_lat, round(box.max_lat, 6) AS max_lat, round(box.min_lon, 6) AS min_lon, round(box.max_lon, 6) AS max_lon,
+  fitted_box, n_times, CAST(2 AS BIGINT) AS n_channels, CAST(2 * coalesce(inside.n, 0) AS BIGINT) AS n_filled FROM blob JOIN box USING (storm_id, site) LEFT JOIN inside USING (storm_id, site)""")
 def storm_build(spark, sf_dir):
-    e = _t(spark, sf_dir, "events")
+    e, vectors = _t(spark, sf_dir, "events"), _t(spark, sf_dir, "embeddings")
     lat, lon = _lat("user_id", 377) + (F.col("event_id") % 20) / 50.0, _lon("user_id", 591) + (F.col("event_id") % 13) / 50.0
-    rows = e.select(F.col("event_id").alias("row_id"), F.col("user_id").alias("storm_number"), F.col("ts").alias("time"), lat.alias("latitude"), lon.alias("longitude"))
-    scans = e.select(F.col("event_id").alias("volume_key"), (F.col("event_id") % 100).alias("site"), F.col("ts").alias("volume_time"))
-    config = load_config({"linking": {"min_rows": 3, "max_gap_hours": 72.0, "majority_ratio": 0.3, "time_tolerance_s": 14400.0}})
-    none = spark.createDataFrame([], "volume_key long, sweep int, ray long, azimuth double, elevation double, fixed_angle double, values array<double>")
-    found = build.build(rows, _sites(spark, sf_dir).select("site", "lat", "lon"), scans, none, config)
-    times = found.catalog.select("storm_id", "radar_site", F.col("T").alias("n_times"), micros("t0").alias("t0_us"))
-    return found.context.join(times, ["storm_id", "radar_site"]).select("row_id", "storm_id", "radar_site", "volume_key", "time_unix_ms", _r("distance_to_site").alias("distance_km"), _r("min_lat", 6).alias("min_lat"), _r("max_lon", 6).alias("max_lon"), "n_times", "t0_us")
+    rows = e.select(F.col("event_id").alias("row_id"), F.col("user_id").alias("storm_number"), F.col("ts").alias("time"), lat.alias("latitude"), lon.alias("longitude"), "event_type")
+    radars = _sites(spark, sf_dir).select("site", "lat", "lon")
+    config = load_config({
+        "linking": {"min_rows": 3, "max_gap_hours": 72.0, "majority_ratio": 0.3, "time_tolerance_s": 14400.0},
+        "blobs": {"min_pixels": 3, "grid_m": _GRID, "nearby_km": 24.0, "search_km": 60.0},
+    })
+    scans = sites.nearest_active_site(rows.where("event_type = 'view'"), radars, config.linking.max_distance_km)
+    scans = scans.select(F.col("row_id").alias("volume_key"), F.col("radar_site").alias("site"), F.col("time").alias("volume_time"))
+    rays = scans.select("volume_key").crossJoin(F.broadcast(vectors.agg(F.count("*").alias("n"))))  # one row
+    rays = rays.withColumn("sweep", F.explode(F.sequence(F.lit(0), F.lit(1)))).withColumn("ray", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    rays = rays.withColumn("vec_id", (F.col("volume_key") * 7 + F.col("ray") * 31 + F.col("sweep") * 13) % F.col("n")).join(vectors, "vec_id")
+    dbz = F.transform(F.slice("embedding", 1, 12), lambda v: v.cast("double") * 100)
+    rays = rays.select("volume_key", "sweep", "ray", (F.col("ray") * 22.5).alias("azimuth"), F.lit(0.5).alias("elevation"), (F.col("sweep") + 0.5).cast("double").alias("fixed_angle"), dbz.alias("values"))
+    folder = f"{shared_folder(spark)}/storm-build-{uuid.uuid4().hex}"
+    build.write(build.build(rows.drop("event_type"), radars, scans, rays, config, build.Geometry(10_000.0, 20_000.0, 23.0)), folder)
+    context, frames, catalog = (spark.read.parquet(f"{folder}/{t}").withColumn("radar_site", F.col("radar_site").cast("string")) for t in ("context", "frames", "catalog"))
+    tensors = frames.groupBy("row_id").agg(F.count("*").alias("n_channels"), F.sum(F.size(F.filter("data", lambda v: v.isNotNull()))).alias("n_filled"))
+    found = context.join(catalog.select("storm_id", "radar_site", F.col("T").alias("n_times")), ["storm_id", "radar_site"]).join(tensors, "row_id")
+    return found.select("row_id", "storm_id", "radar_site", "volume_key", "time_unix_ms", _r("distance_to_site").alias("distance_km"), *[_r(s, 6).alias(s) for s in bbox.SIDES], "fitted_box", "n_times", "n_channels", "n_filled")
