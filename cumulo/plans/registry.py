@@ -154,6 +154,21 @@ def space_time_reports(spark, sf_dir):
     return linking.reports_near_cells(found, cells, 60).select("cell_id", F.col("gust").alias("report_id"), _r("obs_distance").alias("obs_distance"))
 
 
+@query(f"""WITH p AS (SELECT * FROM {P}), c AS (SELECT * FROM p WHERE event_type = 'purchase'), r AS (SELECT * FROM p WHERE event_type = 'error')
+SELECT c.event_id AS cell_id, c.event_id // 3 AS volume_key, r.event_id AS report_id, round({_km('c.latitude', 'c.longitude', 'r.latitude', 'r.longitude')}, 4) AS obs_distance, CAST(c.event_id // 3 % 2 AS INTEGER) AS run
+FROM c JOIN r ON abs(epoch_us(c.ts) - epoch_us(r.ts)) <= 3600000000 AND r.latitude BETWEEN c.latitude - 1e0 AND c.latitude + 1e0 AND r.longitude BETWEEN c.longitude - 2e0 AND c.longitude + 2e0""")
+def scan_links(spark, sf_dir):
+    """The table after three runs: over every second scan, over all scans, and over all once more."""
+    p = _points(spark, sf_dir)
+    box = {"min_lat": F.col("latitude") - 1.0, "max_lat": F.col("latitude") + 1.0, "min_lon": F.col("longitude") - 2.0, "max_lon": F.col("longitude") + 2.0}
+    cells = p.where("event_type = 'purchase'").select(F.col("event_id").alias("cell_id"), F.floor(F.col("event_id") / 3).alias("volume_key"), F.col("ts").alias("time"), "latitude", "longitude").withColumns(box)
+    found = p.where("event_type = 'error'").select(F.lit("events").alias("source"), F.col("ts").alias("time"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("event_id").alias("gust"), F.lit("").alias("type"))
+    path = f"{shared_folder(spark)}/scan-links-{uuid.uuid4().hex}"
+    for scans in (cells.where("volume_key % 2 = 0"), cells, cells):
+        linking.add_scans(path, scans, found, 60)
+    return linking.scan_links(spark, path).select("cell_id", "volume_key", F.col("gust").alias("report_id"), _r("obs_distance").alias("obs_distance"), "run")
+
+
 @query(f"""SELECT source, count(*) AS n, round(sum(latitude), 4) AS lat_sum, min(event_id) AS first_id FROM (
 SELECT 'a' AS source, * FROM {P} WHERE lower(event_type) IN ('click', 'view') UNION ALL SELECT 'b', * FROM {P} WHERE event_type = 'error' UNION ALL SELECT 'c', * FROM {P} WHERE value > 10) GROUP BY source""")
 def union_reports(spark, sf_dir):
@@ -370,6 +385,19 @@ def polar_composite(spark, sf_dir):
     return found.select("volume", "ray", valid.cast("long").alias("n_valid"), _r(weighted("values")).alias("checksum"), weighted("winner_sweep").cast("long").alias("winners"))
 
 
+@query("""SELECT CAST(label AS VARCHAR) AS volume_key, CAST(vec_id % 5 AS INTEGER) AS sweep, vec_id AS ray, (vec_id * 37 % 3600) / 10e0 AS azimuth, list_sum(list_transform(embedding[1:32], lambda v: round(CAST(v AS DOUBLE) * 1000))) AS reflectivity, list_sum(list_transform(embedding[33:64], lambda v: round(CAST(v AS DOUBLE) * 1000))) AS velocity
+FROM embeddings WHERE vec_id % 7 <> 0""")
+def field_parts(spark, sf_dir):
+    """Rays put together from a store of geometry and three fields, of which one is not asked and one lacks some rays."""
+    base = _rays(spark, sf_dir).withColumn("volume_key", F.col("label").cast("string"))
+    part = lambda name, first, rows: rows.select("volume_key", "sweep", "ray", "azimuth", "elevation", "fixed_angle", F.lit(name).alias("field"), F.slice("values", first, 32).alias("values"))
+    rays = part("REF", 1, base).unionByName(part("vel", 33, base.where("ray % 7 <> 0"))).unionByName(part("SW", 9, base))
+    name = uuid.uuid4().hex
+    volumes.write_parts(rays, f"{shared_folder(spark)}/parts-{name}", f"parts_{name}", 8)
+    total = lambda c: F.aggregate(F.transform(c, lambda v: F.round(v.cast("double") * 1000)), F.lit(0.0), lambda a, v: a + v).alias(c)
+    return volumes.read_parts(spark, f"parts_{name}", ["Refl", "velocity"]).select("volume_key", "sweep", "ray", "azimuth", total("reflectivity"), total("velocity"))
+
+
 # cells nearest to gates by definition: every cell with every gate
 @query(f"""WITH {_SWEEPS}, u AS (SELECT * FROM r WHERE sweep = 0),
 cell AS (SELECT a.i AS y, b.i AS x, (b.i - 6) * 4.7e0 AS cx, (a.i - 6) * 4.7e0 AS cy FROM range(13) a(i), range(13) b(i)),

@@ -487,3 +487,56 @@ def test_pack_fills_gaps(spark):
     cells = spark.createDataFrame([("g", 0, 1, 5.0), ("g", 2, 0, None), ("g", 1, 2, 7.0), ("h", 0, 0, 1.0)], "k string, y int, x int, value double")
     got = {r.k: (r.height, r.width, r["values"]) for r in grid.pack(cells, ["k"]).collect()}
     assert got == {"g": (3, 3, [None, 5.0, None, None, None, 7.0, None, None, None]), "h": (1, 1, [1.0])}
+
+
+def test_scans_are_linked_once(spark, tmp_path, monkeypatch):
+    columns = "volume_key string, cell_id long, time timestamp, latitude double, longitude double, min_lat double, max_lat double, min_lon double, max_lon double"
+    cell = lambda scan, k, lat: (scan, k, T0, lat, -97.0, lat - 0.1, lat + 0.1, -97.1, -96.9)
+    first = [cell("a", 1, 35.0), cell("a", 2, 36.0), cell("b", 3, 50.0)]  # no report is near b
+    reports_ = spark.createDataFrame([("s", T0 + timedelta(minutes=m), lat, -97.0, 50.0 + m, "w") for m, lat in ((1, 35.0), (4, 35.05), (9, 35.0), (2, 36.0))], "source string, time timestamp, lat double, lon double, gust double, type string")
+    path = str(tmp_path / "links")
+    assert linking.add_scans(path, spark.createDataFrame(first, columns), reports_) == 2
+    links = lambda: sorted((r.volume_key, r.cell_id, r.gust, r.run) for r in linking.scan_links(spark, path).collect())
+    before = [("a", 1, 51.0, 0), ("a", 1, 54.0, 0), ("a", 2, 52.0, 0)]
+    assert links() == before
+    # again: no scan is computed; then one more scan, and only it
+    assert linking.add_scans(path, spark.createDataFrame(first, columns), reports_) == 0 and links() == before
+    assert linking.add_scans(path, spark.createDataFrame([*first, cell("c", 4, 36.0)], columns), reports_) == 1
+    assert links() == [*before, ("c", 4, 52.0, 1)]
+    assert linking.add_scans(str(tmp_path / "none"), spark.createDataFrame([], columns), reports_) == 0
+
+
+def test_field_parts_join_without_a_shuffle(spark, tmp_path):
+    ray = lambda v, r, field, values: (v, 0, 0.5, r, 10.0 * r, 0.5, field, values)
+    rows = [ray(v, r, f, [1.0 * r, float("nan"), None]) for v in ("a", "b") for r in range(6) for f in ("ref", "VEL", "sw") if (v, f) != ("b", "VEL")]
+    rays = spark.createDataFrame(rows, volumes.RAYS)
+    assert volumes.write_parts(rays, str(tmp_path / "parts"), "test_parts", 4) == ["reflectivity", "spectrum_width", "velocity"]
+    try:
+        both = volumes.read_parts(spark, "test_parts", ["refl", "vr"])
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan and "spectrum_width" not in plan
+        # b lacks a part that is asked; nothing is missing of what is asked of reflectivity alone
+        assert sorted((r.volume_key, r.ray, r.azimuth, r.velocity) for r in both.collect()) == [("a", k, 10.0 * k, [1.0 * k, None, None]) for k in range(6)]
+        assert volumes.read_parts(spark, "test_parts", ["refl"]).count() == 12
+    finally:
+        for name in ("geometry", "reflectivity", "velocity", "spectrum_width"):
+            spark.sql(f"DROP TABLE test_parts_{name}")
+
+
+def test_only_asked_folders_are_listed(spark, tmp_path):
+    for day in ("2017/01/04", "2017/01/05"):
+        for site in ("KTLX", "KHGX", "KAMA"):
+            (tmp_path / day / site).mkdir(parents=True)
+            for clock in ("000100", "000600"):
+                (tmp_path / day / site / f"{site}{day.replace('/', '')}_{clock}_V06").write_bytes(b"x")
+            (tmp_path / day / site / f"{site}{day.replace('/', '')}_000100_V06_MDM").write_bytes(b"x")
+    broken = tmp_path / "2017/01/05/KAMA"
+    broken.chmod(0)  # a folder that nobody asks for is not looked into
+    try:
+        wanted = spark.createDataFrame([("KTLX", T0), ("KTLX", T0 + timedelta(hours=3)), ("KHGX", T0 + timedelta(days=1)), ("KNUL", T0), ("KTLX", T0 + timedelta(days=300)), (None, T0)], "site string, time timestamp")
+        found = volumes.list_volumes(spark, str(tmp_path), wanted)
+        assert sorted({r.volume_key.rsplit("/", 1)[0][-15:] for r in found.collect()}) == ["2017/01/04/KTLX", "2017/01/05/KHGX"] and found.count() == 4
+        assert found.inputFiles() and all("KAMA" not in f for f in found.inputFiles())
+        assert volumes.list_volumes(spark, str(tmp_path), wanted.where("site = 'KNUL'")).count() == 0
+    finally:
+        broken.chmod(0o755)
