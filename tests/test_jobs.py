@@ -119,7 +119,7 @@ def test_archive_again_is_the_same(spark, tmp_path):
     few = str(tmp_path / "few.parquet")
     spark.read.parquet(at[0]).where("user_id >= 5").write.parquet(few)
     storm_archive.run(spark, few, at[1], at[2], at[3], out, config)
-    assert files_of(f"{out}/context") == files_of(f"{out}/observations") == files_of(f"{out}/catalog") == []
+    assert files_of(f"{out}/context") == files_of(f"{out}/observations") == [] and spark.read.parquet(f"{out}/catalog").count() == 0
     none = str(tmp_path / "none.parquet")
     spark.read.parquet(at[0]).where("false").write.parquet(none)
     storm_archive.run(spark, none, at[1], none, none, str(tmp_path / "nothing"), config)
