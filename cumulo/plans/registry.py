@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import names
+from ..functions import geo, names
 from ..functions.time import micros
 from ..config import load as load_config
 from ..session import shared_folder
@@ -601,6 +601,56 @@ def running_max(spark, sf_dir):
     return summary.running_max_guard(_t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "value").select("event_id", "user_id", "value")
 
 
+def _sql_steps(given: dict[str, str], steps: list[dict[str, str]]) -> str:
+    """A struct whose fields each step may compute from all before it, as p.name."""
+    names, text = dict.fromkeys(given), "[{" + ", ".join(f"'{n}': {e}" for n, e in given.items()) + "}]"
+    for step in steps:
+        names |= dict.fromkeys(step)
+        text = f"list_transform({text}, lambda p: {{{', '.join(f'{n!r}: {step.get(n, f"p.{n}")}' for n in names)}}})"
+    return text + "[1]"
+
+
+# Geodesics on WGS 84 by Helmert's parameter k1, with a = 6378137 and f = 1 / 298.257223563.
+_FLAT, _POLAR = "(1 / 298.257223563e0)", "(6378137e0 * (1 - 1 / 298.257223563e0))"
+_HELMERT = [{"w": f"sqrt(1 + p.q * ((6378137e0 / {_POLAR}) ** 2 - 1))"}, {"k1": "(p.w - 1) / (p.w + 1)"}, {"ha": "(1 + p.k1 ** 2 / 4) / (1 - p.k1)", "hb": "p.k1 * (1 - 3 * p.k1 ** 2 / 8)"}]
+_DELTA = "p.hb * p.ss * (p.m + p.hb / 4 * (p.cs * (2 * p.m ** 2 - 1) - p.hb / 6 * p.m * (4 * p.ss ** 2 - 3) * (4 * p.m ** 2 - 3)))"
+_EXCESS = f"(1 - p.k) * {_FLAT} * p.sa * (p.s + p.k * p.ss * (p.m + p.k * p.cs * (2 * p.m ** 2 - 1)))"
+_K = f"{_FLAT} / 16 * p.q * (4 + {_FLAT} * (4 - 3 * p.q))"
+
+
+def _forward(lat: str, lon: str, lat0: str, lon0: str) -> str:
+    """struct(x, y) in metres about (lat0, lon0)."""
+    arc = [
+        {"e": "p.c2 * sin(p.l)", "n": "p.c1 * p.s2 - p.s1 * p.c2 * cos(p.l)", "cs": "p.s1 * p.s2 + p.c1 * p.c2 * cos(p.l)"}, {"ss": "sqrt(p.e ** 2 + p.n ** 2)"},
+        {"s": "atan2(p.ss, p.cs)", "sa": "CASE WHEN p.ss = 0 THEN 0 ELSE p.c1 * p.e / p.ss END"}, {"q": "1 - p.sa ** 2"}, {"m": "p.cs - 2 * p.s1 * p.s2 / p.q", "k": _K},
+    ]
+    reduced = lambda c: f"atan((1 - {_FLAT}) * tan(radians({c})))"
+    given = {"u1": reduced(lat0), "u2": reduced(lat), "t": f"radians({lon} - ({lon0}))"}
+    first = {"s1": "sin(p.u1)", "c1": "cos(p.u1)", "s2": "sin(p.u2)", "c2": "cos(p.u2)", "l": "p.t"}
+    return _sql_steps(given, [first, *[*arc, {"l": f"p.t + {_EXCESS}"}] * 5, *arc, *_HELMERT, {"d": f"{_POLAR} * p.ha * (p.s - {_DELTA})", "z": "atan2(p.e, p.n)"}, {"x": "p.d * sin(p.z)", "y": "p.d * cos(p.z)"}])
+
+
+def _inverse(x: str, y: str, lat0: str, lon0: str) -> str:
+    """struct(lat, lon) of a place x, y metres from (lat0, lon0)."""
+    given = {"u1": f"atan((1 - {_FLAT}) * tan(radians({lat0})))", "z": f"atan2({x}, {y})", "d": f"sqrt(({x}) ** 2 + ({y}) ** 2)", "o": f"CAST({lon0} AS DOUBLE)"}
+    bend = {"ss": "sin(p.s)", "cs": "cos(p.s)", "m": "cos(2 * p.g + p.s)"}
+    steps = [{"s1": "sin(p.u1)", "c1": "cos(p.u1)", "sz": "sin(p.z)", "cz": "cos(p.z)"}, {"sa": "p.c1 * p.sz", "g": "atan2(p.s1, p.c1 * p.cz)"}, {"q": "1 - p.sa ** 2"}, {"k": _K}, *_HELMERT, {"v": f"p.d / ({_POLAR} * p.ha)", "s": f"p.d / ({_POLAR} * p.ha)"}]
+    end = {"lat": f"degrees(atan2(p.s1 * p.cs + p.c1 * p.ss * p.cz, (1 - {_FLAT}) * sqrt(p.sa ** 2 + (p.s1 * p.ss - p.c1 * p.cs * p.cz) ** 2)))", "lon": f"p.o + degrees(atan2(p.ss * p.sz, p.c1 * p.cs - p.s1 * p.ss * p.cz) - {_EXCESS})"}
+    return _sql_steps(given, [*steps, *[bend, {"s": f"p.v + {_DELTA}"}] * 5, bend, end])
+
+
+# every sighting seen from one of the sites, anywhere: offsets in metres, and back
+@query(f"""WITH n AS (SELECT count(*) AS n FROM {S}), o AS (SELECT event_id, site, lat, lon, {_forward('latitude', 'longitude', 'lat', 'lon')} AS a FROM {P} p JOIN {S} s ON s.site = p.event_id % (SELECT n FROM n)),
+b AS (SELECT event_id, site, a.x AS x, a.y AS y, {_inverse('a.x / 2', 'a.y / 2', 'lat', 'lon')} AS h FROM o)
+SELECT event_id, CAST(site AS BIGINT) AS site, round(x, 2) AS x_m, round(y, 2) AS y_m, round(h.lat, 7) AS half_lat, round(h.lon, 7) AS half_lon FROM b""")
+def site_offsets(spark, sf_dir):
+    radars = _sites(spark, sf_dir).select("site", "lat", "lon")
+    seen = _points(spark, sf_dir).select("event_id", "latitude", "longitude", (F.col("event_id") % F.lit(radars.count())).alias("site")).join(radars.withColumn("site", F.col("site").cast("long")), "site")
+    seen = geo.project(seen, {"at": ("latitude", "longitude")}, "lat", "lon")
+    seen = geo.unproject(seen, {"half": (F.col("at.x") / 2, F.col("at.y") / 2)}, "lat", "lon")
+    return seen.select("event_id", "site", _r("at.x", 2).alias("x_m"), _r("at.y", 2).alias("y_m"), _r("half.lat", 7).alias("half_lat"), _r("half.lon", 7).alias("half_lon"))
+
+
 # The whole build over tracks that stay near their storm's place. Every sighting of a kind is a volume of the site nearest to
 # it: two sweeps of 16 rays with 12 gates, whose echo is taken from the vectors.
 _TRACKS = "(SELECT *, 25e0 + (user_id * 377 % 2500) / 100e0 + (event_id % 20) / 50e0 AS latitude, -125e0 + (user_id * 591 % 5800) / 100e0 + (event_id % 13) / 50e0 AS longitude FROM events)"
@@ -608,27 +658,14 @@ _NEAR_TRACKS = _NEAR.replace(P, _TRACKS)
 _GRID = 23700.0
 
 
-def _forward(lat: str, lon: str, lat0: str, lon0: str) -> tuple[str, str]:
-    c = f"acos(greatest(-1e0, least(1e0, sin(radians({lat0})) * sin(radians({lat})) + cos(radians({lat0})) * cos(radians({lat})) * cos(radians({lon} - {lon0})))))"
-    k = f"(CASE WHEN {c} < 1e-12 THEN 1e0 ELSE {c} / sin({c}) END * 6371000e0)"
-    return f"{k} * cos(radians({lat})) * sin(radians({lon} - {lon0}))", f"{k} * (cos(radians({lat0})) * sin(radians({lat})) - sin(radians({lat0})) * cos(radians({lat})) * cos(radians({lon} - {lon0})))"
-
-
-def _inverse(x: str, y: str, lat0: str, lon0: str) -> tuple[str, str]:
-    rho, p0 = f"sqrt(({x}) ** 2 + ({y}) ** 2)", f"radians({lat0})"
-    c = f"({rho} / 6371000e0)"
-    return f"degrees(asin(cos({c}) * sin({p0}) + ({y}) * sin({c}) * cos({p0}) / {rho}))", f"{lon0} + degrees(atan2(({x}) * sin({c}), {rho} * cos({p0}) * cos({c}) - ({y}) * sin({p0}) * sin({c})))"
-
-
-def _spans(corners: list[tuple[str, str]]) -> str:
-    lats, lons = (", ".join(c[k] for c in corners) for k in (0, 1))
+def _spans(corners: list[str]) -> str:
+    lats, lons = (", ".join(f"{c}.{k}" for c in corners) for k in ("lat", "lon"))
     return f"least({lats}) AS min_lat, greatest({lats}) AS max_lat, least({lons}) AS min_lon, greatest({lons}) AS max_lon"
 
 
-_PX, _PY = _forward("latitude", "longitude", "s.lat", "s.lon")
-_SCAN_BOX = _spans([_inverse(x, y, "lat", "lon") for x in ("west", "east") for y in ("south", "north")])
-_FIT_BOX = _spans([_inverse(f"hx + cx {sign} aw / 2", f"hy + cy {sign} ah / 2", "lat", "lon") for sign in "-+"])
-_GATE_LAT, _GATE_LON = _inverse("(10000 + 20000 * g.gate) * cos(radians(0.5)) * sin(radians(22.5 * g.j))", "(10000 + 20000 * g.gate) * cos(radians(0.5)) * cos(radians(22.5 * g.j))", "lat", "lon")
+_SCAN_PLACES = ", ".join(f"{_inverse(x, y, 'lat', 'lon')} AS {x[0]}{y[0]}" for x in ("west", "east") for y in ("south", "north"))
+_FIT_PLACES = ", ".join(f"{_inverse(f'hx + cx {sign} aw / 2', f'hy + cy {sign} ah / 2', 'lat', 'lon')} AS {name}" for name, sign in (("sw", "-"), ("ne", "+")))
+_BOX_PLACES = ", ".join(_forward(f"{a}_lat {i} da", f"{o}_lon {j} d_o", "lat", "lon") for a, i in (("min", "-"), ("max", "+")) for o, j in (("min", "-"), ("max", "+")))
 
 
 @query(f"""WITH RECURSIVE {_NEAR_TRACKS}, p AS (SELECT user_id, site, min(ts) AS t FROM near GROUP BY 1, 2), q AS (SELECT * FROM p WHERE user_id IN (SELECT user_id FROM p GROUP BY 1 HAVING count(*) > 1)),
@@ -640,7 +677,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, cluster
 m AS (SELECT user_id, cluster, CASE WHEN place = 1 THEN user_id ELSE (SELECT max(user_id) FROM big) + row_number() OVER (PARTITION BY place = 1 ORDER BY user_id, cluster) END AS storm_id FROM r WHERE best >= total * 0.3 AND best >= 3 AND n >= 3),
 kept AS (SELECT event_id, ts, site, d, latitude, longitude, storm_id FROM c JOIN m USING (user_id, cluster)),
 v AS (SELECT event_id AS vk, site, ts AS vt FROM near WHERE event_type = 'view'),
-l AS (SELECT * EXCLUDE (k), {_PX} AS px, {_PY} AS py FROM (SELECT kept.*, vk, row_number() OVER (PARTITION BY event_id ORDER BY abs(epoch_us(ts) - epoch_us(vt)), vt, vk) AS k FROM kept JOIN v ON kept.site = v.site AND CAST(ts AS DATE) = CAST(vt AS DATE) AND abs(epoch_us(ts) - epoch_us(vt)) <= 14400000000) JOIN {S} s USING (site) WHERE k = 1),
+l AS (SELECT * EXCLUDE (k), {_forward('latitude', 'longitude', 's.lat', 's.lon')} AS pos FROM (SELECT kept.*, vk, row_number() OVER (PARTITION BY event_id ORDER BY abs(epoch_us(ts) - epoch_us(vt)), vt, vk) AS k FROM kept JOIN v ON kept.site = v.site AND CAST(ts AS DATE) = CAST(vt AS DATE) AND abs(epoch_us(ts) - epoch_us(vt)) <= 14400000000) JOIN {S} s USING (site) WHERE k = 1),
 gates AS (SELECT vk, j, gate, max(100 * CAST(embedding[gate + 1] AS DOUBLE)) AS dbz FROM (SELECT DISTINCT vk FROM l), range(2) a(s), range(16) b(j), range(12) c(gate) JOIN embeddings ON vec_id = (vk * 7 + j * 31 + s * 13) % (SELECT count(*) FROM embeddings) GROUP BY ALL),
 cell AS (SELECT y, x, (x - 10) * {_GRID} AS cx, (y - 10) * {_GRID} AS cy FROM range(21) a(y), range(21) b(x)),
 ray AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY y, x ORDER BY away, j) AS k FROM (SELECT y, x, cx, cy, j, round(least((az - 22.5 * j + 360) % 360, 360 - (az - 22.5 * j + 360) % 360), 9) AS away FROM (SELECT *, (degrees(atan2(cx, cy)) + 360) % 360 AS az FROM cell), range(16) b(j))) WHERE k = 1),
@@ -651,7 +688,7 @@ cells AS (SELECT vk, y - dy AS y, x - dx AS x, (y - dy) * 21 + x - dx + 1 AS id
 reach AS (SELECT vk, y, x, id AS seen FROM cells UNION SELECT c.vk, c.y, c.x, r.seen FROM reach r JOIN cells c ON r.vk = c.vk AND abs(r.y - c.y) + abs(r.x - c.x) = 1),
 labelled AS (SELECT vk, y, x, min(seen) AS region FROM reach GROUP BY 1, 2, 3),
 regions AS (SELECT vk, region, count(*) AS pixels, avg(y) AS centre_y, avg(x) AS centre_x, min(y) AS min_y, max(y) AS max_y, min(x) AS min_x, max(x) AS max_x FROM labelled GROUP BY 1, 2 HAVING count(*) >= 3),
-pt AS (SELECT event_id, vk, (px + 10 * {_GRID}) / {_GRID} AS x, (py + 10 * {_GRID}) / {_GRID} AS y FROM l),
+pt AS (SELECT event_id, vk, (l.pos.x + 10 * {_GRID}) / {_GRID} AS x, (l.pos.y + 10 * {_GRID}) / {_GRID} AS y FROM l),
 first AS (SELECT * FROM (SELECT pt.event_id, r.*, row_number() OVER (PARTITION BY event_id ORDER BY b.region IS DISTINCT FROM r.region, sqrt((centre_y - pt.y) ** 2 + (centre_x - pt.x) ** 2), r.region) AS k
   FROM pt JOIN regions r USING (vk) LEFT JOIN labelled b ON b.vk = pt.vk AND b.y = greatest(0, least(20, round(pt.y))) AND b.x = greatest(0, least(20, round(pt.x)))) WHERE k = 1),
 grown AS (SELECT event_id, vk, min_y, max_y, min_x, max_x, 0 AS step FROM first UNION ALL
@@ -659,7 +696,7 @@ grown AS (SELECT event_id, vk, min_y, max_y, min_x, max_x, 0 AS step FROM first
   FROM grown g JOIN regions r ON g.vk = r.vk AND sqrt(greatest(0, r.min_x - (g.max_x + 24 / 23.7e0), (g.min_x - 24 / 23.7e0) - r.max_x) ** 2 + greatest(0, r.min_y - (g.max_y + 24 / 23.7e0), (g.min_y - 24 / 23.7e0) - r.max_y) ** 2) <= 24 / 23.7e0
   WHERE g.step < 30 GROUP BY g.event_id, g.vk),
 blob AS (SELECT l.*, (min_x - 10) * {_GRID} AS west, (max_x - 10) * {_GRID} AS east, (min_y - 10) * {_GRID} AS south, (max_y - 10) * {_GRID} AS north FROM grown JOIN l USING (event_id, vk) WHERE step = 30),
-scans AS (SELECT *, {_SCAN_BOX} FROM blob),
+scans AS (SELECT *, {_spans(['ws', 'wn', 'es', 'en'])} FROM (SELECT *, {_SCAN_PLACES} FROM blob)),
 wh AS (SELECT storm_id, site, east - west AS w, north - south AS h FROM blob), md AS (SELECT storm_id, site, median(w) AS mw, median(h) AS mh FROM wh GROUP BY 1, 2),
 sd AS (SELECT storm_id, site, any_value(mw) AS mw, any_value(mh) AS mh, median(abs(w - mw)) AS dw, median(abs(h - mh)) AS dh FROM wh JOIN md USING (storm_id, site) GROUP BY 1, 2),
 ce AS (SELECT storm_id, site, avg(w) FILTER (abs(w - mw) <= 2.5 * CASE WHEN dw = 0 THEN 1 ELSE dw END) AS cw, avg(h) FILTER (abs(h - mh) <= 2.5 * CASE WHEN dh = 0 THEN 1 ELSE dh END) AS ch, greatest(any_value(dw), 1) AS sw, greatest(any_value(dh), 1) AS sh FROM wh JOIN sd USING (storm_id, site) GROUP BY 1, 2),
@@ -667,12 +704,14 @@ size AS (SELECT storm_id, site, sum(f * w) / sum(f) AS aw, sum(f * h) / sum(f) A
 ends AS (SELECT event_id, vk, storm_id, site, lat, lon, (west + east) / 2 AS hx, (south + north) / 2 AS hy, aw, ah FROM (SELECT *, row_number() OVER (PARTITION BY storm_id, site ORDER BY ts, event_id) AS a, row_number() OVER (PARTITION BY storm_id, site ORDER BY ts DESC, event_id DESC) AS b FROM blob) JOIN size USING (storm_id, site) WHERE a = 1 OR b = 1),
 tried AS (SELECT event_id, ix, iy, ix * 11850e0 - 60000 AS cx, iy * 11850e0 - 60000 AS cy, count(*) AS hits FROM ends JOIN gates USING (vk), range(11) a(ix), range(11) b(iy) WHERE dbz >= 20
   AND abs((10000 + 20000 * gate) * sin(radians(22.5 * j)) - hx - (ix * 11850e0 - 60000)) <= aw / 2 + 1e-5 AND abs((10000 + 20000 * gate) * cos(radians(22.5 * j)) - hy - (iy * 11850e0 - 60000)) <= ah / 2 + 1e-5 GROUP BY ALL),
-fits AS (SELECT *, {_FIT_BOX} FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY hits DESC, ix, iy) AS k FROM tried) JOIN ends USING (event_id) WHERE k = 1),
+fits AS (SELECT *, {_spans(['sw', 'ne'])} FROM (SELECT *, {_FIT_PLACES} FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY hits DESC, ix, iy) AS k FROM tried) JOIN ends USING (event_id) WHERE k = 1)),
 whole AS (SELECT storm_id, site, min(min_lat) AS a0, max(max_lat) AS a1, min(min_lon) AS o0, max(max_lon) AS o1, count(*) AS n_times FROM scans GROUP BY 1, 2),
 fitted AS (SELECT storm_id, site, min(min_lat) AS min_lat, max(max_lat) AS max_lat, min(min_lon) AS min_lon, max(max_lon) AS max_lon FROM fits GROUP BY 1, 2 HAVING count(*) = (SELECT count(*) FROM ends e WHERE e.storm_id = fits.storm_id AND e.site = fits.site)),
 box AS (SELECT storm_id, site, coalesce(min_lat, a0) AS min_lat, coalesce(max_lat, a1) AS max_lat, coalesce(min_lon, o0) AS min_lon, coalesce(max_lon, o1) AS max_lon, min_lat IS NOT NULL AS fitted_box, n_times FROM whole LEFT JOIN fitted USING (storm_id, site)),
 room AS (SELECT *, 5 / 110.574 AS da, 5 / (111.320 * greatest(cos(radians((min_lat + max_lat) / 2)), 1e-6)) AS d_o FROM box),
-inside AS (SELECT storm_id, site, count(*) AS n FROM room JOIN {S} s USING (site), (SELECT j, gate FROM range(16) a(j), range(12) b(gate)) g WHERE {_GATE_LAT} BETWEEN min_lat - da AND max_lat + da AND {_GATE_LON} BETWEEN min_lon - d_o AND max_lon + d_o GROUP BY 1, 2)
+metric AS (SELECT storm_id, site, list_transform(c, lambda q: q.x) AS xs, list_transform(c, lambda q: q.y) AS ys FROM (SELECT storm_id, site, [{_BOX_PLACES}] AS c FROM room JOIN {S} s USING (site))),
+inside AS (SELECT storm_id, site, count(*) AS n FROM metric, (SELECT (10000 + 20000 * gate) * cos(radians(0.5)) AS far, radians(22.5 * j) AS z FROM range(16) a(j), range(12) b(gate)) g
+  WHERE far * sin(z) BETWEEN list_min(xs) - 1e-6 AND list_max(xs) + 1e-6 AND far * cos(z) BETWEEN list_min(ys) - 1e-6 AND list_max(ys) + 1e-6 GROUP BY 1, 2)
 SELECT event_id AS row_id, CAST(storm_id AS BIGINT) AS storm_id, CAST(site AS VARCHAR) AS radar_site, vk AS volume_key, epoch_us(ts) // 1000 AS time_unix_ms, round(d, 4) AS distance_km, round(box.min_lat, 6) AS min_lat, round(box.max_lat, 6) AS max_lat, round(box.min_lon, 6) AS min_lon, round(box.max_lon, 6) AS max_lon,
   fitted_box, n_times, CAST(2 AS BIGINT) AS n_channels, CAST(2 * coalesce(inside.n, 0) AS BIGINT) AS n_filled FROM blob JOIN box USING (storm_id, site) LEFT JOIN inside USING (storm_id, site)""")
 def storm_build(spark, sf_dir):

@@ -25,13 +25,49 @@ def test_geometry(spark):
     assert one(spark, geo.wrap_around(F.lit(179.9), -179.8)) == pytest.approx(-180.1)
     lat, lon = geo.box_centre(10, 20, 170, -170)
     assert (one(spark, lat), one(spark, lon)) == (15, -180)
-    x, y = geo.azimuthal_forward(F.lit(35.5), F.lit(-97.1), 35.0, -97.0)
-    lat, lon = geo.azimuthal_inverse(x, y, 35.0, -97.0)
-    assert one(spark, lat) == pytest.approx(35.5) and one(spark, lon) == pytest.approx(-97.1)
     low, high = geo.ray_window(F.lit(90.0), 10.0, 20.0, -1.0, 1.0)
     assert (one(spark, low), one(spark, high)) == (pytest.approx(10), pytest.approx(20))
 
 
+def test_ellipsoid(spark):
+    """Published geodesics, then the way back; a place itself, the date line, a pole, an opposite place and nulls."""
+    dms = lambda d, m, s: d + m / 60 + s / 3600
+    # the equator's and the first meridian's degree, a long line of a geodesic library's manual, and a survey manual's line
+    known = [(0.0, 0.0, 0.0, 1.0, 111319.491, 90.0), (0.0, 0.0, 1.0, 0.0, 110574.389, 0.0), (40.6, -73.8, 51.6, -0.5, 5551759.400, 51.19888285),
+             (-dms(37, 57, 3.7203), dms(144, 25, 29.5244), -dms(37, 39, 10.1561), dms(143, 55, 35.3839), 54972.271, dms(306, 52, 5.37))]
+    odd = [(35.0, -97.0, 35.0, -97.0), (35.0, 179.9, 36.0, -179.9), (90.0, 0.0, 89.0, 50.0), (0.0, 0.0, 0.5, 179.7), (None, 0.0, 1.0, 1.0), (1.0, 0.0, None, 1.0)]
+    rng = np.random.default_rng(5)
+    near = [(float(a), float(o), float(a + da), float(o + do)) for a, o, da, do in zip(rng.uniform(-65, 65, 50), rng.uniform(-180, 180, 50), rng.uniform(-4, 4, 50), rng.uniform(-4, 4, 50))]
+    rows = [(k, *r[:4]) for k, r in enumerate([*known, *odd, *near])]
+    df = geo.project(spark.createDataFrame(rows, "k int, a double, b double, c double, d double"), {"at": ("c", "d")}, "a", "b")
+    got = {r.k: r for r in geo.unproject(df, {"back": ("at.x", "at.y"), "origin": (F.lit(0.0), F.lit(0.0))}, "a", "b").collect()}
+    for k, (*_, metres, azimuth) in enumerate(known):
+        assert np.hypot(got[k]["at"].x, got[k]["at"].y) == pytest.approx(metres, abs=1e-3)
+        assert np.degrees(np.arctan2(got[k]["at"].x, got[k]["at"].y)) % 360 == pytest.approx(azimuth, abs=2e-6)
+    assert tuple(got[4]["at"]) == (0.0, 0.0) and all(got[k]["at"] is None and got[k].back is None for k in (7, 8, 9))
+    for k in set(got) - {7, 8, 9}:
+        r = got[k]
+        # a tenth of a millimetre
+        assert r.back.lat == pytest.approx(r.c, abs=1e-9) and (r.back.lon - r.d + 180) % 360 - 180 == pytest.approx(0, abs=1e-9), r
+        assert r.origin.lat == pytest.approx(r.a, abs=1e-9)
+
+
+def test_rays_in_a_box_equal_gates_in_it(spark):
+    boxes = [(3000.0, 9000.0, -4000.0, 6000.0), (-2000.0, 2000.0, -1500.0, 900.0), (-9000.0, -2500.0, 1000.0, 7000.0)]
+    rays = [(b, r, 7.5 * r, 19.5, [float(g) for g in range(12)], *box) for b, box in enumerate(boxes) for r in range(48)] + [(9, 0, None, 0.5, [1.0], 0.0, 1.0, 0.0, 1.0), (9, 1, 3.0, 0.5, None, 0.0, 1.0, 0.0, 1.0)]
+    df = spark.createDataFrame(rays, "b int, ray int, azimuth double, elevation double, values array<double>, x0 double, x1 double, y0 double, y1 double")
+    got = {(r.b, r.ray): r["values"] for r in polar.crop_rays(df, ["x0", "x1", "y0", "y1"], 500.0, 1000.0).collect()}
+    kept = 0
+    for b, (x0, x1, y0, y1) in enumerate(boxes):
+        for r in range(48):
+            for g in range(12):
+                far, z = (500 + 1000 * g) * np.cos(np.radians(19.5)), np.radians(7.5 * r)
+                inside = x0 <= far * np.sin(z) <= x1 and y0 <= far * np.cos(z) <= y1
+                kept += inside
+                assert got[b, r][g] == (g if inside else None)
+    assert kept > 100 and got[9, 0] == [None] and got[9, 1] is None
+
+
 def test_names(spark):
     assert names.canonical_fields([" Refl", None, "zdr", "ref", "My field-2"]) == ["reflectivity", "differential_reflectivity", "my_field_2"]
     assert names.choose_field("vel", ["reflectivity", "velocity"]) == "velocity"
@@ -370,8 +406,8 @@ def test_a_storm_far_from_its_radar_that_grows(spark, lon):
         places = [(dx, dy, int((np.abs(at[:, 0] - hx - dx) <= r.avg_width / 2 + 1e-6).astype(int) @ (np.abs(at[:, 1] - hy - dy) <= r.avg_height / 2 + 1e-6))) for dx in np.arange(-20e3, 20001, 1e3) for dy in np.arange(-20e3, 20001, 1e3)]
         dx, dy, most = max(places, key=lambda p: p[2])
         assert r.hits == most
-        lat, _ = geo.azimuthal_inverse(F.lit(hx + dx - r.avg_width / 2), F.lit(hy + dy - r.avg_height / 2), 35.0, lon)
-        assert r.min_lat == pytest.approx(one(spark, lat), abs=1e-9)
+        corner = geo.unproject(spark.range(1), {"c": (F.lit(float(hx + dx - r.avg_width / 2)), F.lit(float(hy + dy - r.avg_height / 2)))}, 35.0, lon).first()["c"]
+        assert r.min_lat == pytest.approx(corner.lat, abs=1e-9)
     still = out.storm_boxes.first()
     assert still.fitted_box and 35.8 < still.min_lat < still.max_lat < 36.1 and still.min_lon < lon < still.max_lon < still.min_lon + 1
     assert (still.min_lat, still.max_lon) == (min(r.min_lat for r in ends.values()), max(r.max_lon for r in ends.values()))
