@@ -9,14 +9,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, names
 from ..functions.time import micros
 from ..config import load as load_config
 from ..session import shared_folder
-from ..operators import bbox, build, grid, linking, polar, robust, sessions, sites, summary
+from ..operators import bbox, build, grid, grid_store, linking, polar, robust, sessions, sites, summary
 from ..sources import outputs, reports, tracks, volumes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -412,6 +412,31 @@ def cell_gates(spark, sf_dir):
     return found.select("y", "x", "ray", "gate", _r(F.col("value").cast("double"), 6).alias("value"))
 
 
+# every 64 rows are a volume, turned by one of three angles; by definition, every cell with every ray of its volume, then every gate
+@query("""WITH r AS (SELECT vec_id // 64 AS volume, vec_id AS ray, (vec_id % 64) * 5.625e0 + vec_id // 64 % 3 * 0.7e0 AS az, embedding FROM embeddings),
+cell AS (SELECT a.i AS y, b.i AS x, (b.i - 11) * 9e0 AS cx, (a.i - 11) * 9e0 AS cy FROM range(23) a(i), range(23) b(i)),
+polar AS (SELECT *, (degrees(atan2(cx, cy)) + 360) % 360 AS az FROM cell),
+one AS (SELECT * FROM (SELECT y, x, cx, cy, volume, ray, r.az, row_number() OVER (PARTITION BY volume, y, x ORDER BY round(least((polar.az - r.az + 360) % 360, 360 - (polar.az - r.az + 360) % 360), 9), r.az, ray) AS k FROM polar, r) WHERE k = 1),
+gate AS (SELECT volume, y, x, o.ray, i AS gate, row_number() OVER (PARTITION BY volume, y, x ORDER BY round((cx - (3 + i * 1.5e0) * sin(radians(o.az))) ** 2 + (cy - (3 + i * 1.5e0) * cos(radians(o.az))) ** 2, 7), i) AS k FROM one o, range(64) t(i)),
+n AS (SELECT volume, len(azimuths) AS plan_rows, count(*) OVER (PARTITION BY azimuths) AS n_sharing FROM (SELECT volume, list(az ORDER BY az) AS azimuths FROM r GROUP BY volume))
+SELECT g.volume, count(*) AS n_cells, round(sum(CAST(embedding[gate + 1] AS DOUBLE) * (y * 23 + x + 1)), 4) AS checksum, any_value(n_sharing) AS n_sharing, any_value(plan_rows) AS plan_rows FROM gate g JOIN r ON g.ray = r.ray JOIN n ON g.volume = n.volume WHERE k = 1 GROUP BY 1""")
+def stored_grids(spark, sf_dir):
+    """Grids from a store that is filled with the even volumes first, then with those geometries that it has not."""
+    i = F.col("vec_id")
+    volume = F.floor(i / 64)
+    azimuth = (i % 64) * 5.625 + volume % 3 * 0.7
+    rays = _t(spark, sf_dir, "embeddings").select(volume.alias("volume"), i.alias("ray"), azimuth.alias("azimuth"), F.col("embedding").alias("values"))
+    placed, of = grid_store.lines(rays, ["volume"]), grid_store.Grid(9.0, 1.5, 3.0, 1.5, 64)
+    folder = f"{shared_folder(spark)}/plans-{uuid.uuid4().hex}"
+    grid_store.extend(folder, placed.where("volume % 2 = 0"), ["volume"], of)
+    grid_store.extend(folder, placed, ["volume"], of)
+    total = F.aggregate(F.transform("values", lambda v, k: v * (k + 1)), F.lit(0.0), lambda a, v: a + v)
+    rows = spark.read.parquet(folder).groupBy("geometry").agg(F.count("*").alias("plan_rows"))
+    shared = placed.select("volume", "geometry").distinct().withColumn("n_sharing", F.count("*").over(Window.partitionBy("geometry"))).join(rows, "geometry")
+    found = grid_store.grids(folder, placed, ["volume"], of).join(shared, "volume")
+    return found.select("volume", F.size("values").cast("long").alias("n_cells"), _r(total).alias("checksum"), "n_sharing", "plan_rows")
+
+
 # frames of three sweeps with azimuths of their own; by definition, every host ray with every ray of each sweep
 @query("""WITH f AS (SELECT label, vec_id AS ray, CAST(vec_id % 4 AS INTEGER) AS t, CAST(vec_id % 3 AS INTEGER) AS sweep, (vec_id * 37 % 3600) / 10e0 AS az, embedding[1:CAST(20 + label AS INTEGER)] AS v FROM embeddings),
 n AS (SELECT label, t, sweep, count(*) AS h, row_number() OVER (PARTITION BY label, t ORDER BY sweep) - 1 AS channel FROM f GROUP BY 1, 2, 3),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cumulo import config
 from cumulo.functions import geo, names, rank
-from cumulo.operators import bbox, build, grid, linking, polar, robust, sessions, sites, summary
+from cumulo.operators import bbox, build, grid, grid_store, linking, polar, robust, sessions, sites, summary
 from cumulo.sources import outputs, reports, schema, tracks, volumes
 from cumulo.streaming import sessions as stream
 
@@ -173,6 +173,43 @@ def test_grid_plan_equals_brute_force(spark):
     assert all(cells[c.y, c.x] == values[c.ray, c.gate] for c in plan)
 
 
+def test_grid_plans_are_stored_by_geometry(spark, tmp_path):
+    """Three volumes of two geometries, one with a ray without azimuth; against whole scans."""
+    folder, of = str(tmp_path / "plans"), grid_store.Grid(250.0, 250.0, 250.0, 250.0, 5)
+    assert of.half_m == 1500 and of.side == 13
+    az = {1: [30.0, 100.0, 200.0, 300.0], 2: [200.0, 300.0, 390.0, 100.0], 3: [10.0, 20.0, 250.0, None]}
+    rows = [(v, r, a, [float(100 * v + 10 * r + g) for g in range(5)]) for v, some in az.items() for r, a in enumerate(some)]
+    rays = spark.createDataFrame(rows, "v int, ray int, azimuth double, values array<double>")
+    placed = grid_store.lines(rays, ["v"]).cache()
+    assert placed.select("geometry").distinct().count() == 2 and placed.where("v = 3").count() == 3
+    grid_store.extend(folder, placed.where("v = 2"), ["v"], of)
+    assert [r.v for r in grid_store.grids(folder, placed, ["v"], of).orderBy("v").collect()] == [1, 2]
+    grid_store.extend(folder, placed, ["v"], of)
+    stored = lambda: sorted((r.geometry, r.line, len(r.cells)) for r in spark.read.parquet(folder).collect())
+    whole = stored()
+    assert len(whole) == 7 and sum(n for *_, n in whole) == 2 * 13 * 13
+    files = {p for p in (tmp_path / "plans").rglob("*.parquet")}
+    grid_store.extend(folder, placed, ["v"], of)
+    assert stored() == whole and {p for p in (tmp_path / "plans").rglob("*.parquet")} == files
+    # a plan that lacks lines, as after a call that was broken off, is made again
+    part = next((tmp_path / "plans").glob("grid=*/geometry=*"))
+    two = spark.read.parquet(str(part)).limit(2).collect()
+    spark.createDataFrame(two, "line int, cells array<struct<y:int,x:int,gate:int>>").write.mode("overwrite").parquet(str(part))
+    grid_store.extend(folder, placed, ["v"], of)
+    assert stored() == whole
+    for r in grid_store.grids(folder, placed, ["v"], of).collect():
+        mine = sorted((a % 360, values) for v, _, a, values in rows if v == r.v and a is not None)
+        want = grid.from_polar(np.array([a for a, _ in mine]), np.array([values for _, values in mine]), of.half_m, of.step_m, of.first_range_m, of.gate_m)
+        assert r["values"] == want.reshape(-1).tolist() and r.height == r.width == 13
+    # jittered azimuths share the plan of even sectors, others do not
+    jitter = [(v, r, (45.0 + 90 * r + (v - 1) * 0.3) % 360, [1.0] * 5) for v in (1, 2, 9) for r in range(4)]
+    near = grid_store.lines(spark.createDataFrame(jitter, rays.schema), ["v"], 0.5)
+    assert len({r.geometry for r in near.where("v < 9").collect()}) == 1 and near.select("geometry").distinct().count() == 2
+    empty = rays.where("false")
+    grid_store.extend(folder, grid_store.lines(empty, ["v"]), ["v"], of)
+    assert stored() == whole and grid_store.grids(folder, grid_store.lines(empty, ["v"]), ["v"], of).count() == 0
+
+
 def test_impute_nearest(spark):
     cells = [(g, y, x, None if g == 2 or (y, x) == (0, 1) else float(3 * y + x)) for g in (1, 2) for y in range(3) for x in range(3)]
     grids = grid.pack(spark.createDataFrame(cells, "g int, y int, x int, value double"), ["g"])
