@@ -267,9 +267,15 @@ def test_context_manifest_subset_bundle(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "sub")).count() == 1
     outputs.subset_by_site(spark, str(tmp_path / "ctx"), str(tmp_path / "sub"), 2017, None, ["KTLX"])
     assert [r.radar_site for r in spark.read.csv(str(tmp_path / "sub-catalog"), header=True).collect()] == ["KHGX"]
-    text = outputs.write_with_sidecar(spark, df.where("storm_id = 1"), str(tmp_path / "KTLX_1_context.parquet"))
-    side = json.loads(text)
-    assert side["sha256"] == hashlib.sha256((tmp_path / "KTLX_1_context.parquet").read_bytes()).hexdigest() and side["columns"]["time"]["declared"]
+    hashes = outputs.file_hashes(spark, str(tmp_path / "ctx"))
+    sides = {r.applies_to: json.loads(r.sidecar) for r in outputs.sidecars(spark.read.parquet(str(tmp_path / "ctx")), hashes).collect()}
+    assert len(sides) == 2
+    for path, side in sides.items():
+        assert side["applies_to"] == path and side["sha256"] == hashlib.sha256((tmp_path / path).read_bytes()).hexdigest()
+        assert side["columns"]["time"] == {"type": "timestamp", "declared": True} and not side["columns"]["year"]["declared"]
+    first, second = sorted(sides)
+    listed = spark.createDataFrame([(first, None), (second, "ab"), ("ctx/gone", ""), (None, None)], "applies_to string, sha256 string")
+    assert {r.applies_to: r.sha256 for r in outputs.backfill(listed, hashes).collect()} == {first: sides[first]["sha256"], second: "ab", "ctx/gone": None, None: None}
     with pytest.raises(ValueError):
         outputs.write_frames(df, str(tmp_path / "f"), {"radar_site": "KTLX"})
     frames = spark.createDataFrame([(2017, "KTLX", [1.0])], "year int, radar_site string, data array<double>")
@@ -383,7 +389,7 @@ def test_build_from_tracks_to_tensors(spark, tmp_path):
     geometry = build.Geometry(first_range_m=500.0, gate_m=1000.0, max_gap_degrees=6.0)
     lats = {1: 35.09, 2: 36.0, 3: 40.0}
     tracks_ = spark.createDataFrame([(10 * s + k, s, minutes(k), lats[s], -97.0) for s in lats for k in range(3)], TRACKS)
-    radars = spark.createDataFrame([("KTLX", 35.0, -97.0), ("KNUL", None, None), ("KHGX", 36.0, -96.99), ("KBAD", 40.0, -97.0)], "site string, lat double, lon double")
+    radars = spark.createDataFrame([("KTLX", 35.0, -97.0, 370.0), ("KNUL", None, None, None), ("KHGX", 36.0, -96.99, None), ("KBAD", 40.0, -97.0, 1.0)], "site string, lat double, lon double, alt double")
     volumes_ = spark.createDataFrame([(f"{site}-{k}", site, minutes(k) + timedelta(seconds=10)) for site in ("KTLX", "KHGX", "KBAD") for k in range(3)], "volume_key string, site string, volume_time timestamp")
     # echo from 8 to 12 km within 10 degrees of north; KHGX sees nothing; of KBAD no ray can be read
     north = {0, 1, 2, 70, 71}
@@ -409,6 +415,10 @@ def test_build_from_tracks_to_tensors(spark, tmp_path):
     assert {(f.channel, f.elevation_deg, f.azimuth_host_sweep_index) for f in frames} == {(0, 0.5, 0), (1, 1.5, 0)}
     f = frames[0]
     assert f.azimuth_deg == [5.0 * r for r in range(72)] and f.range_m[:2] == [500.0, 1500.0] and f.source_key == f"KTLX-{round((f.time - T0).seconds / 300)}"
+    side = json.loads(f.attributes)
+    assert set(side) == set(schema.PRODUCT_ATTRIBUTES) and side["shape_T_H_W_C"] == [3, 72, 20, 2] and side["product_prefix"] == "KTLX_1_reflectivity" and (side["site_lat"], side["site_alt_m"]) == (35.0, 370.0)
+    assert side["context_sha256"] == hashlib.sha256((tmp_path / "set" / side["context_relpath"]).read_bytes()).hexdigest()
+    assert side["context_relpath"] in spark.read.text(str(tmp_path / "set" / side["context_schema_relpath"])).first()["value"]
     assert (f.bbox_min_lat, f.bbox_max_lon) == (still.min_lat, still.max_lon)
     inside = ~np.isnan(np.array(f.data, float).reshape(72, 20))
     assert inside[0, 8:11].all() and not inside[0, 0] and not inside[36].any()
