@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tracks import cache_key, cached
+
 COLUMNS = ["source", "time", "lat", "lon", "gust", "type"]
 # Wind types of the first feed, and ids of the third feed's networks.
 WIND_TYPES = ("tstm wind", "tstm wnd gst", "non-tstm wnd gst", "marine tstm wind")
@@ -53,18 +55,22 @@ def feed_stations(raw: DataFrame, column: str = "body", network: str = "network"
     return _finish(rows.select("network", "lat", "lon", F.try_to_timestamp(F.col("z")["t"]).alias("time"), F.col("z")["g"].alias("gust"), F.lit("station").alias("type")), F.concat(F.lit("synoptic_"), F.lower("network")))
 
 
-def read_feed_a(spark: SparkSession, path: str, types: tuple[str, ...] = WIND_TYPES) -> DataFrame:
-    return feed_a(spark.read.csv(path, header=True, mode="DROPMALFORMED"), types)
+def read_feed_a(spark: SparkSession, path: str, types: tuple[str, ...] = WIND_TYPES, cache: str | None = None, force: bool = False) -> DataFrame:
+    """The first feed's file, from a snapshot of just this reading if ``cache`` holds one with all columns."""
+    read = lambda: feed_a(spark.read.csv(path, header=True, mode="DROPMALFORMED"), types)
+    return read() if cache is None else cached(spark, cache, cache_key(feed="a", path=path, types=sorted(types)), read, COLUMNS, force)
 
 
-def read_feed_b(spark: SparkSession, folder: str, years: list[int]) -> DataFrame:
-    """``{year}_wind.csv`` of each year that exists; an error if none does."""
+def read_feed_b(spark: SparkSession, folder: str, years: list[int], cache: str | None = None, force: bool = False) -> DataFrame:
+    """``{year}_wind.csv`` of each year that exists, an error if none does; snapshots as for the first feed, keyed by
+    the files that exist, so that a year that arrives later is taken up."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     paths = [p for y in years if (h := jvm.org.apache.hadoop.fs.Path(p := f"{folder}/{y}_wind.csv")).getFileSystem(conf).exists(h)]
     if not paths:
         raise FileNotFoundError(f"no report file in {folder} for {years}")
-    return feed_b(spark.read.csv(paths, header=True))
+    read = lambda: feed_b(spark.read.csv(paths, header=True))
+    return read() if cache is None else cached(spark, cache, cache_key(feed="b", paths=paths), read, COLUMNS, force)
 
 
 def union(*feeds: DataFrame) -> DataFrame:

@@ -210,6 +210,29 @@ def test_grid_plans_are_stored_by_geometry(spark, tmp_path):
     assert stored() == whole and grid_store.grids(folder, grid_store.lines(empty, ["v"]), ["v"], of).count() == 0
 
 
+def test_report_feeds_keep_snapshots(spark, tmp_path):
+    """A snapshot serves later reads; it is made anew if forced, if a column lacks, and for other parameters."""
+    cache, a = str(tmp_path / "cache"), tmp_path / "a.csv"
+    line = "2017-01-04 0{h}:00:00,35.0,-97.0,{g},{kind}"
+    write = lambda *g: a.write_text("\n".join(["VALID,LAT,LON,MAG,TYPETEXT", *[line.format(h=h, g=x, kind="TSTM WND GST" if h else "HAIL") for h, x in enumerate(g)]]))
+    gusts = lambda **more: sorted(r.gust for r in reports.read_feed_a(spark, str(a), cache=cache, **more).collect())
+    write(50, 60, 70)
+    assert gusts() == [60, 70]
+    write(50, 61, 71)
+    assert gusts() == [60, 70] and gusts(types=("hail",)) == [50] and gusts(force=True) == [61, 71]
+    snapshots = list((tmp_path / "cache").iterdir())
+    assert len(snapshots) == 2
+    for path in snapshots:
+        spark.range(3).write.mode("overwrite").parquet(str(path))
+    assert gusts() == [61, 71]
+    for year in (2016, 2017):
+        (tmp_path / f"{year}_wind.csv").write_text(f"date,time,slat,elat,slon,elon,mag\n{year}-05-01,12:00:00,35,37,-97,,55")
+        rows = reports.read_feed_b(spark, str(tmp_path), [2016, 2017], cache).collect()
+        assert {(r.time.year, r.lat, r.lon) for r in rows} == {(y, 36.0, -97.0) for y in range(2016, year + 1)}
+    with pytest.raises(FileNotFoundError):
+        reports.read_feed_b(spark, str(tmp_path), [1999], cache)
+
+
 def test_impute_nearest(spark):
     cells = [(g, y, x, None if g == 2 or (y, x) == (0, 1) else float(3 * y + x)) for g in (1, 2) for y in range(3) for x in range(3)]
     grids = grid.pack(spark.createDataFrame(cells, "g int, y int, x int, value double"), ["g"])
