@@ -362,6 +362,32 @@ def test_points_are_not_moved_for_their_site(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_dense_sites_are_searched_near_first(spark):
+    """A tile as high as the reach would list every site; the near distances are searched first, and the lists stay short."""
+    rng = np.random.default_rng(7)
+    t = datetime(2017, 6, 14)
+    places = [(float(a), float(o)) for a, o in zip(rng.uniform(-1, 1, 400), rng.uniform(178.5, 181.5, 400))]
+    rows = [(f"S{k:04}", *places[k % 400], [(t if k % 3 else None, None if k % 5 else t + timedelta(k % 4))] if k % 7 else None) for k in range(1200)] + [("FAR", 4.0, 180.0, None), (None, None, None, None)]
+    s = spark.createDataFrame(rows, "site string, lat double, lon double, active_ranges array<struct<start:timestamp,end:timestamp>>")
+    points = [(k, float(a), float((o + 180) % 360 - 180), t + timedelta(int(k % 6) - 1)) for k, (a, o) in enumerate(zip(rng.uniform(-4, 7, 300), rng.uniform(176, 184, 300)))] + [(300, None, 0.0, t)]
+    p = spark.createDataFrame(points, "point_id int, latitude double, longitude double, time timestamp")
+    assert len(sites._distances(s.where("lat is not null"), 250.0)) > 3 and sites._distances(s.where("site = 'FAR'"), 250.0) == [250.0]
+
+    def km(a, b, c, d):
+        a, b, c, d = map(np.radians, (a, b, c, d))
+        return 2 * 6371 * np.arcsin(np.sqrt(np.sin((c - a) / 2) ** 2 + np.cos(a) * np.cos(c) * np.sin((d - b) / 2) ** 2))
+
+    def want(ranged):
+        on = lambda r, u: not (ranged and r[3]) or ((r[3][0][0] or u) <= u <= (r[3][0][1] or u))
+        best = {k: min(((km(a, o, r[1], r[2]), r[0]) for r in rows if r[0] and on(r, u)), default=None) for k, a, o, u in points[:300]}
+        return {k: site for k, (d, site) in best.items() if d <= 250}
+
+    for ranged in (False, True):
+        found = sites.nearest_active_site(p, s if ranged else s.drop("active_ranges"), 250.0)
+        assert {r.point_id: r.radar_site for r in found.collect()} == want(ranged)
+    assert 150 < len(want(False)) < 300 and want(True) != want(False)
+
+
 def test_reports_meet_cells_once(spark):
     t = datetime(2017, 5, 1, 12)
     rng = np.random.default_rng(2)
