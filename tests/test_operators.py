@@ -1,5 +1,6 @@
 import hashlib
 import json
+import os
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -388,6 +389,21 @@ def test_dense_sites_are_searched_near_first(spark):
     assert 150 < len(want(False)) < 300 and want(True) != want(False)
 
 
+def test_sites_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    """A year of a site is one file, the sites are dealt to tasks, and a busy site's storms lie together."""
+    rows = spark.range(400).selectExpr("id as row_id", "concat('S', id % 20) as radar_site", "id % 100 as storm_id", "timestamp'2017-06-14' as time", *[f"1.5D as {c}" for c in ("latitude", "longitude", *bbox.SIDES)])
+    once = str(tmp_path / "once")
+    outputs.write_context(rows, once)
+    files = [f for _, _, names in os.walk(once) for f in names if f.endswith(".parquet")]
+    assert len(files) == 20 and len({f[:10] for f in files}) > 1
+    monkeypatch.setattr(outputs, "SITE_ROWS", 5)
+    busy = str(tmp_path / "busy")
+    outputs.write_context(rows, busy)
+    storms = spark.read.parquet(busy).selectExpr("storm_id", "_metadata.file_path as file").distinct()
+    assert storms.count() == 100 and spark.read.parquet(busy).count() == 400
+    assert storms.select("file").distinct().count() > 20
+
+
 def test_reports_meet_cells_once(spark):
     t = datetime(2017, 5, 1, 12)
     rng = np.random.default_rng(2)
