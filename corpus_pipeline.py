@@ -31,7 +31,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates (five-word shingles, similarity 0.8): the
-    smallest doc_id. SimHash links and positional signatures give the candidates."""
+    smallest doc_id. op7's operator (fingerprints, byte-position index, bit check, components) gives the candidates, and
+    so does the same index over min-hash positions for pairs that differ in more bits; each is then verified."""
     return similar_texts.keep_one(docs)
 
 

@@ -4,13 +4,14 @@ Two texts are near duplicates if the Jaccard index of their sets of ``SHINGLE``-
 least ``SIMILARITY``. SimHash alone cannot find them: at that similarity fingerprints differ by 3 to 12
 and more of 64 bits, and then no byte need agree. So candidates come from two inverted indexes:
 
-* fingerprints: the byte-position keys of ``simhash_dedup``. A pair within ``MAX_BITS`` is worth verifying;
+* fingerprints: ``simhash_dedup`` as op7 runs it, by its fingerprints (three-word shingles), byte-position index, bit check
+  and components. The texts of one of its components are a list, and a pair within ``MAX_BITS`` is worth verifying;
 * the same idea over a signature whose positions agree with a probability equal to the similarity:
   ``BANDS`` x ``ROWS`` min-hashes of 16 bits. A posting key is a band of positions; texts that meet in
   a list have their equal positions tallied, and a pair that reaches ``LEAST_EQUAL`` is worth verifying.
   A pair at the threshold meets in a list with probability 1 - (1 - 0.8^5)^20 = 0.9996.
 
-Texts with equal shingle sets are one node from the start. Pairs are verified on whole shingle sets, in two
+Texts with equal shingle sets and fingerprints are one node from the start. Pairs are verified on whole shingle sets, in two
 passes. The first verifies a maximum spanning forest of the tallies of each list (lists longer than
 ``LIST_ROWS`` are dealt to parts for it), which links most of what belongs together. A tally is an estimate,
 so an edge of the forest may be false and a true link may be left out. The second pass takes every pair of a
@@ -28,13 +29,14 @@ id and text one can stay; empty table -> no rows; extra columns are kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash_dedup
 from .common import bound_batches, grouped, hot_join, materialize, release_memory, small_side
 from .graph import connected_components
 
@@ -42,7 +44,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
 #: Equal positions, of BANDS * ROWS, that make a pair worth verifying; its mean at 0.8 is 80, deviation 4.
 LEAST_EQUAL = 64
-#: Fingerprints within so many of 64 bits make a pair worth verifying; such two share 8 - MAX_BITS bytes.
+#: Fingerprints within so many of 64 bits are linked by ``simhash_dedup``, and make a pair worth verifying.
 MAX_BITS = 2
 #: Members of a list, or of a part of it, that the first pass looks at together; members of either side of a block.
 LIST_ROWS, BLOCK_ROWS = 256, 256
@@ -70,13 +72,6 @@ def shingle_hashes(text: bytes, k: int = SHINGLE) -> np.ndarray:
     return np.array([digest(joined[s : e - 1], SEED) for s, e in zip([0, *ends], ends[k - 1 :])], np.uint64)
 
 
-def _simhash(hashes: np.ndarray) -> int:
-    if not len(hashes):
-        return 0
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * bits > len(hashes), bitorder="little").view("<i8")[0])
-
-
 def _signature(distinct: np.ndarray) -> np.ndarray:
     """Min-hashes of a set, a block of shingles at a time."""
     low = (distinct ^ (distinct >> np.uint64(32))).astype(np.uint32)
@@ -88,8 +83,10 @@ def _signature(distinct: np.ndarray) -> np.ndarray:
     return out
 
 
-def _node(distinct: np.ndarray) -> int:
-    return _mix(np.array([distinct.sum(dtype=np.uint64), (distinct * (distinct | np.uint64(1))).sum(dtype=np.uint64), len(distinct)], np.uint64))
+def _read(text: bytes) -> tuple[np.ndarray, int, int]:
+    """Shingle set, fingerprint and node of a text."""
+    distinct, fp = np.unique(shingle_hashes(text)), simhash_dedup.fingerprint(text)
+    return distinct, fp, _mix(np.array([distinct.sum(dtype=np.uint64), (distinct * (distinct | np.uint64(1))).sum(dtype=np.uint64), len(distinct), fp], np.uint64))
 
 
 def node_of(text: str):
@@ -99,26 +96,25 @@ def node_of(text: str):
     def node(texts):
         import pandas as pd
 
-        return pd.Series([_node(np.unique(shingle_hashes((t or "").encode()))) for t in texts], dtype="int64")
+        return pd.Series([_read((t or "").encode())[2] for t in texts], dtype="int64")
 
     return node(F.col(text))
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, node (of the shingle set), fp, signature, bands of every row."""
+    """doc_id, node (of the shingle set and fp), fp (op7's), signature, bands of every row."""
 
     def scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             node, fp, signature, bands = [], [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
-                hashes = shingle_hashes(text or b"")
-                distinct = np.unique(hashes)
-                node.append(_node(distinct))
-                fp.append(_simhash(hashes))
+                distinct, bits, name = _read(text or b"")
+                node.append(name)
+                fp.append(bits)
                 sig = _signature(distinct)
                 signature.append(sig.astype("<u2").tobytes())
                 bands.append([_mix(b.astype(np.uint64)) for b in sig.reshape(BANDS, ROWS)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(fp, pa.int64()), pa.array(signature, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "node", "fp", "signature", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(np.array(fp, "<u8").view("<i8")), pa.array(signature, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "node", "fp", "signature", "bands"])
         release_memory()
 
     return bound_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("__text")).mapInArrow(scan, "doc_id long, node long, fp long, signature binary, bands array<long>")
@@ -170,15 +166,15 @@ class _Members:
         self.fp = rows["fp"].to_numpy().view(np.uint64)
 
 
-def _byte_masks() -> list[int]:
-    """The sets of 8 - MAX_BITS bytes of a fingerprint."""
-    return [sum(0xFF << (8 * p) for p in c) for c in combinations(range(8), 8 - MAX_BITS)]
+def with_simhash_groups(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with the component that op7's links put each into, by the fingerprint that names it."""
+    found = simhash_dedup.components(nodes.select(F.col("node").alias("doc_id"), "fp"), MAX_BITS)
+    return nodes.join(found.select(F.col("doc_id").alias("node"), F.col("label").alias("simhash_group")), "node")
 
 
 def list_members(nodes: DataFrame) -> DataFrame:
-    """position, key, n, node: the nodes of each list of two and more."""
-    bytes_of = [F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >= 1 << 63 else m).cast("long")) for m in _byte_masks()]
-    posted = nodes.select("node", F.posexplode(F.concat("bands", F.array(*bytes_of))).alias("position", "key"))
+    """position, key, n, node: the nodes of each list of two and more. The last position is op7's component."""
+    posted = nodes.select("node", F.posexplode(F.concat("bands", F.array("simhash_group"))).alias("position", "key"))
     lists = posted.groupBy("position", "key").agg(F.count("*").alias("n")).where("n > 1")
     lists = materialize(lists, "signature-lists")
     return materialize(posted.join(small_side(lists, BROADCAST_ROWS), ["position", "key"]).select("position", "key", "n", "node"), "list-members")
@@ -217,8 +213,8 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFr
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py() or b"")) for t in batch.column(0).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "shingles"])
+            read = [_read(t.as_py() or b"") for t in batch.column(0).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array([x[2] for x in read], pa.int64()), pa.array([x[0].tobytes() for x in read], pa.binary())], names=["node", "shingles"])
         release_memory()
 
     sets = found.select("t").mapInArrow(cut, "node long, shingles binary")
@@ -249,7 +245,7 @@ def _similar(shared, both, similarity: float):
 
 def open_blocks(nodes: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
     """The lists whose members are in several components, in blocks: position, key, part, block, node, label,
-    outside (the list's largest component), row (or column), signature, fp.
+    outside (the list's largest component), row (or column), signature, fp, simhash_group.
 
     Of two components one is not the list's largest, so all members, in parts (the rows), meet the members
     outside the largest, in blocks (the columns): a list that is one component costs nothing.
@@ -265,7 +261,7 @@ def open_blocks(nodes: DataFrame, members: DataFrame, labels: DataFrame) -> Data
     kept = ["node", "label", "outside"]
     rows = labelled.select("position", "key", one_of("parts").alias("part"), all_of("blocks").alias("block"), *kept, F.lit(True).alias("row"))
     columns = labelled.where("outside").select("position", "key", all_of("parts").alias("part"), one_of("blocks").alias("block"), *kept, F.lit(False).alias("row"))
-    return rows.unionByName(columns).join(nodes.select("node", "signature", "fp"), "node").select("position", "key", "part", "block", *kept, "row", "signature", "fp")
+    return rows.unionByName(columns).join(nodes.select("node", "signature", "fp", "simhash_group"), "node").select("position", "key", "part", "block", *kept, "row", "signature", "fp", "simhash_group")
 
 
 def _block(group: pa.Table) -> tuple[_Members, _Members, np.ndarray]:
@@ -273,7 +269,8 @@ def _block(group: pa.Table) -> tuple[_Members, _Members, np.ndarray]:
     position = group["position"][0].as_py()
     row = group["row"].to_numpy(zero_copy_only=False).astype(bool)
     down, across = _Members(group.filter(pa.array(row))), _Members(group.filter(pa.array(~row)))
-    label, outside = (down.rows[c].to_numpy(zero_copy_only=False) for c in ("label", "outside"))
+    label, outside, group_of = (down.rows[c].to_numpy(zero_copy_only=False) for c in ("label", "outside", "simhash_group"))
+    other_group = across.rows["simhash_group"].to_numpy()
     asked = np.zeros((len(row[row]), len(row[~row])), bool)
     for j, other in enumerate(across.rows["label"].to_pylist()):
         worth = (tallies(down.signature, down.fp, across.signature[j], across.fp[j]) >= 0) & (label != other)
@@ -281,15 +278,14 @@ def _block(group: pa.Table) -> tuple[_Members, _Members, np.ndarray]:
         worth &= ~(outside.astype(bool) & (down.node >= across.node[j]))
         at = np.flatnonzero(worth)
         if len(at):
-            asked[at, j] = _first_meeting(down.signature[at], down.fp[at], across.signature[j], across.fp[j]) == position
+            asked[at, j] = _first_meeting(down.signature[at], group_of[at], across.signature[j], other_group[j]) == position
     return down, across, asked
 
 
-def _first_meeting(signatures: np.ndarray, prints: np.ndarray, signature: np.ndarray, fp: np.uint64) -> np.ndarray:
-    """The first position at which each text meets another one: a band, or a set of fingerprint bytes."""
+def _first_meeting(signatures: np.ndarray, groups: np.ndarray, signature: np.ndarray, group: int) -> np.ndarray:
+    """The first position at which each text meets another one: a band, or op7's component."""
     bands = (signatures == signature).reshape(-1, BANDS, ROWS).all(2)
-    bytes_ = np.stack([((prints ^ fp) & np.uint64(m)) == 0 for m in _byte_masks()], 1)
-    return np.concatenate([bands, bytes_], 1).argmax(1)
+    return np.concatenate([bands, (groups == group)[:, None]], 1).argmax(1)
 
 
 def nodes_to_verify(blocks: DataFrame) -> DataFrame:
@@ -377,7 +373,8 @@ def similar_components(docs: DataFrame, nodes: DataFrame, similarity: float) ->
 def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, node, label, group_id): group_id is the smallest doc_id of the group, null if it has none."""
     rows = materialize(sketches(docs), "sketches")
-    nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min("fp").alias("fp"), F.min("signature").alias("signature"), F.min("bands").alias("bands")), "nodes")
+    nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min("fp").alias("fp"), F.min("signature").alias("signature"), F.min("bands").alias("bands")), "texts")
+    nodes = materialize(with_simhash_groups(nodes), "nodes")
     labels = similar_components(docs, nodes, similarity)
     linked = nodes.select("node", "least").join(small_side(labels, BROADCAST_ROWS), "node").select("node", "least", F.col("component").alias("label"))
     linked = materialize(linked, "linked-nodes")

@@ -232,6 +232,17 @@ def test_similar_texts_pairs_across_the_parts_of_a_list(spark, monkeypatch):
     assert [got[k] for k in range(len(texts))] == brute_groups(texts).tolist()
 
 
+def test_similar_texts_take_the_links_of_the_simhash_operator(spark):
+    # this pair shares no band of min-hashes; two of five three-word shingles are "a a a", so op7's fingerprints are equal
+    at = set(random.Random(3430).sample(range(1, 45), 5))
+    pair = [" ".join(f"a a a a {'e3430y' if k in edited else 'x'}{k}" for k in range(46)) for edited in ((), at)]
+    bands = [similar_texts._signature(np.unique(similar_texts.shingle_hashes(t.encode()))).astype(np.uint16).reshape(similar_texts.BANDS, -1) for t in pair]
+    assert not (bands[0] == bands[1]).all(1).any() and brute_groups(pair).tolist() == [0, 0]
+    other = " ".join(f"a a a a z{k}" for k in range(46))  # the same fingerprint, but not similar
+    got = {r.doc_id: r.group_id for r in similar_texts.groups(docs_of(spark, [*enumerate([*pair, other])])).select("doc_id", "group_id").collect()}
+    assert got == {0: 0, 1: 0, 2: 2}
+
+
 def test_similar_texts_hold_a_large_group_of_near_copies(spark):
     rng = random.Random(29)
     texts = []
