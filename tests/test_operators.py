@@ -654,6 +654,21 @@ def test_scans_are_linked_once(spark, tmp_path, monkeypatch):
     assert linking.add_scans(str(tmp_path / "none"), spark.createDataFrame([], columns), reports_) == 0
 
 
+def test_links_of_dense_scans_are_not_written(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    columns = "volume_key string, cell_id long, time timestamp, latitude double, longitude double, min_lat double, max_lat double, min_lon double, max_lon double"
+    cells = lambda scan, n: spark.createDataFrame([(scan, k, T0, 35.0, -97.0, 34.9, 35.1, -97.1, -96.9) for k in range(n)], columns)
+    feed = lambda n, m: spark.createDataFrame([("s", T0 + timedelta(minutes=m), 35.0, -97.0, float(k), "w") for k in range(n)] + [("s", T0, 60.0, 20.0, -1.0, "far")], "source string, time timestamp, lat double, lon double, gust double, type string")
+    path = tmp_path / "links"
+    assert linking.add_scans(str(path), cells("a", 30), feed(40, 4)) == 1
+    # a run keeps its own reports and window: these are more, and too late for the first one's
+    assert linking.add_scans(str(path), cells("a", 30).unionByName(cells("b", 2)), feed(50, 20), 60) == 1
+    counts = {(r.volume_key, r.run): r["count"] for r in linking.scan_links(spark, str(path)).groupBy("volume_key", "run").count().collect()}
+    assert counts == {("a", 0): 30 * 40, ("b", 1): 2 * 50}
+    assert sum(pq.ParquetFile(f).metadata.num_rows for f in path.rglob("*.parquet")) == 30 + 40 + 2 + 50
+
+
 def test_field_parts_join_without_a_shuffle(spark, tmp_path):
     ray = lambda v, r, field, values: (v, 0, 0.5, r, 10.0 * r, 0.5, field, values)
     rows = [ray(v, r, f, [1.0 * r, float("nan"), None]) for v in ("a", "b") for r in range(6) for f in ("ref", "VEL", "sw") if (v, f) != ("b", "VEL")]
