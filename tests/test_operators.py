@@ -703,3 +703,44 @@ def test_only_asked_folders_are_listed(spark, tmp_path):
         assert volumes.list_volumes(spark, str(tmp_path), wanted.where("site = 'KNUL'")).count() == 0
     finally:
         broken.chmod(0o755)
+
+
+def test_volumes_of_one_geometry_are_matched_once(spark, monkeypatch):
+    """Twelve volumes of three geometries: three are matched, and every volume gets the match it has alone."""
+    rays = [(v, s, r, (360.0 / 9 * r + 7.0 * (v % 3) + 11.0 * s) % 360, 0.5, 0.5 + s, [float(v + s + r)]) for v in range(12) for s in range(2) for r in range(9 - s)]
+    df = spark.createDataFrame(rays, "volume_key int, sweep int, ray int, azimuth double, elevation double, fixed_angle double, values array<double>")
+    own, seen = polar.angular_match, []
+    monkeypatch.setattr(polar, "angular_match", lambda hosts, *more: seen.append(hosts.count()) or own(hosts, *more))
+    got = {(r.volume_key, r.host_ray, r.source_sweep): (r.source_ray, r.host_azimuth) for r in polar.host_index(df, ["volume_key"]).collect()}
+    assert seen == [27] and len(got) == 12 * 9 * 2
+    hosts = df.where("sweep = 0").selectExpr("volume_key", "ray as host_ray", "azimuth as host_azimuth")
+    sources = df.selectExpr("volume_key", "sweep as source_sweep", "ray as source_ray", "azimuth as source_azimuth")
+    assert {k: v[0] for k, v in got.items()} == {(r.volume_key, r.host_ray, r.source_sweep): r.source_ray for r in own(hosts, sources, ["volume_key"]).collect()}
+
+
+def test_a_ray_window_is_found_once_for_all_gates(spark):
+    """The window stays out of the function that is run for every gate."""
+    df = spark.createDataFrame([(10.0, 0.5, [1.0] * 8, -3e3, 3e3, -5e3, 5e3)], "azimuth double, elevation double, values array<double>, x0 double, x1 double, y0 double, y1 double")
+    plan = polar.crop_rays(df, ["x0", "x1", "y0", "y1"], 500.0, 1000.0)._jdf.queryExecution().optimizedPlan().toString()
+    of_gates = next(line for line in plan.split("\n") if "transform(" in line)
+    assert "SIN(" not in of_gates.upper()
+
+
+def test_frames_have_no_file_for_every_site(spark, tmp_path):
+    rows = spark.range(300).selectExpr("id as row_id", "concat('S', id % 100) as radar_site", "id % 50 as storm_id", "2017 as year", "0 as channel", "array(1.0) as data")
+    outputs.write_frames(outputs.deal_sites(rows, rows, 50), str(tmp_path / "f"))
+    files = [f for _, _, names in os.walk(tmp_path / "f") for f in names if f.endswith(".parquet")]
+    found = spark.read.parquet(str(tmp_path / "f"))
+    assert 1 < len(files) < 20 and found.count() == 300 and found.select("radar_site", F.col("_metadata.file_path")).distinct().count() == 100
+
+
+def test_scratch_tables_go(spark, tmp_path):
+    from cumulo.session import cut_lineage, scratch
+
+    with scratch(spark):
+        kept = cut_lineage(spark.range(3), "t")
+        at = kept.inputFiles()[0].removeprefix("file://")
+        kept.write.parquet(str(tmp_path / "out"))
+        assert os.path.exists(at)
+    assert not os.path.exists(at) and spark.read.parquet(str(tmp_path / "out")).count() == 3
+    assert os.path.exists(cut_lineage(spark.range(3), "t").inputFiles()[0].removeprefix("file://"))
