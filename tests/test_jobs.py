@@ -137,3 +137,26 @@ def test_command_line(tmp_path, job):
     assert done.returncode == 0, done.stderr[-2000:]
     assert f"{out}/catalog" in done.stderr
     assert files_of(f"{out}/catalog")
+
+
+def test_archive_leaves_only_its_output(spark, tmp_path, monkeypatch):
+    """A run leaves no intermediate table, and writes no observation twice."""
+    from cumulo import session
+    from cumulo.sources import outputs
+
+    shared, wrote = str(tmp_path / "shared"), []
+    monkeypatch.setattr(session, "shared_folder", lambda _: f"file://{shared}")
+    monkeypatch.setattr(outputs, "cut_lineage", lambda df, label: wrote.append(df.columns) or session.cut_lineage(df, label))
+    config = storm_archive.read_config(spark, f"{HOME}/jobs/storm_archive.json")
+    storm_archive.run(spark, *[f"{SF}/{t}.parquet" for t in ("events", "supplier", "events", "events")], str(tmp_path / "out"), config)
+    assert files_of(shared) == [] and not any("obs_distance" in columns for columns in wrote)
+
+
+def test_busy_sites_observations_are_dealt(spark, tmp_path, monkeypatch):
+    config, at = storm_archive.read_config(spark, f"{HOME}/jobs/storm_archive.json"), [f"{SF}/{t}.parquet" for t in ("events", "supplier", "events", "events")]
+    storm_archive.run(spark, *at, str(tmp_path / "a"), config)
+    monkeypatch.setattr(storm_archive, "OBSERVED_POINTS", 2)
+    monkeypatch.setattr(storm_archive, "CONTEXT_POINTS", 2)
+    storm_archive.run(spark, *at, str(tmp_path / "b"), config)
+    rows = lambda run, t: Counter(map(str, spark.read.parquet(f"{tmp_path}/{run}/{t}").collect()))
+    assert all(rows("a", t) == rows("b", t) for t in ("context", "observations", "catalog"))
